@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +68,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return Stored(df, name).df
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, where they don't have it on their path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_factloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="factloom-")) / "factloom.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, f"factloom/{source.relative_to(package)}")
+    sc.addPyFile(str(archive))
+    sc._factloom_shipped = True
+
+
+def mapped(df: DataFrame, function, schema: str) -> DataFrame:
+    """mapInArrow with the package shipped."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let the context cleaner delete the shuffle files of finished, unreferenced jobs."""
     import gc

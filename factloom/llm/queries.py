@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and their SQL, where SQL can express them."""
 
-from . import mixing, sharding
+from . import minhash, mixing, sharding
 
 QUERIES = {
     "op2_sharding": sharding.op2_sharding,
+    "op7_minhash": minhash.op7_minhash,
     "op9_mixing": mixing.op9_mixing,
 }
 
