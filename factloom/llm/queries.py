@@ -1,9 +1,11 @@
 """The registered queries of this subpackage and their SQL, where SQL can express them."""
 
-from . import minhash, mixing, sharding
+from . import minhash, mixing, packing, sharding, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_sharding": sharding.op2_sharding,
+    "op4_packing": packing.op4_packing,
     "op7_minhash": minhash.op7_minhash,
     "op9_mixing": mixing.op9_mixing,
 }
