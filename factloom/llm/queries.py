@@ -1,10 +1,11 @@
 """The registered queries of this subpackage and their SQL, where SQL can express them."""
 
-from . import minhash, mixing, packing, sharding, toxicity
+from . import minhash, mixing, packing, sharding, suffixes, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_sharding": sharding.op2_sharding,
+    "op3_suffixes": suffixes.op3_suffixes,
     "op4_packing": packing.op4_packing,
     "op7_minhash": minhash.op7_minhash,
     "op9_mixing": mixing.op9_mixing,
