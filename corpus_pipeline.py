@@ -1,11 +1,73 @@
-"""A corpus pipeline: stages that each call one operator of ``factloom.llm``."""
+"""A corpus pipeline: each stage calls one operator of ``factloom.llm``.
 
-STAGES: list = []
+Every stage but the last returns the columns of ``documents``; a stage works on
+all rows its predecessor kept, and what it decides takes effect.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from factloom.llm import common, minhash, mixing, packing, suffixes, toxicity
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents that the nearest labelled examples call toxic go; all others stay as they are."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score_documents(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("t_id")).distinct()
+    toxic = common.stored(scored, "pipeline-toxic")
+    return docs.join(toxic, F.col("doc_id") == F.col("t_id"), "left_anti")
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    """One document of each group of near copies stays, the one with the smallest id."""
+    found = minhash.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("n_id")).distinct()
+    copies = common.stored(found, "pipeline-copies")
+    return docs.join(copies, F.col("doc_id") == F.col("n_id"), "left_anti")
+
+
+def cut_repeats(spark, docs, sf_dir):
+    """Bytes of passages that an earlier document has go; a document that loses all of its bytes goes.
+
+    A character that is cut in two loses the rest of its bytes as well; n_chars follows the text.
+    """
+    cut = suffixes.remove_repeats(docs, with_text=True).where("n_removed > 0")
+    kept = F.try_validate_utf8(F.col("kept").cast("string"))
+    mended = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\\x{FFFD}", "")
+    cut = cut.select(F.col("doc_id").alias("c_id"), F.coalesce(kept, mended).alias("c_text"))
+    cut = common.stored(cut, "pipeline-cut")
+    met = docs.join(cut, F.col("doc_id") == F.col("c_id"), "left").where("c_id IS NULL OR length(c_text) > 0")
+    text = F.when(F.col("c_id").isNull(), F.col("text")).otherwise(F.col("c_text"))
+    changed = {"text": text, "n_chars": F.when(F.col("c_id").isNull(), F.col("n_chars")).otherwise(F.length("c_text").cast(docs.schema["n_chars"].dataType))}
+    return met.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Documents in training order, as often as their source's target takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark, docs, sf_dir):
+    """Pieces of the mixed documents in sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", drop_near_copies),
+    ("suffix_array_dedup", cut_repeats),
+    ("mixing", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
+
+#: Toxicity, components and tokens can't be expressed in SQL; tests/llm/test_pipeline.py uses brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = common.stored(docs, f"pipeline-{name}")
     return docs

@@ -1,18 +1,21 @@
 """The registered queries of this subpackage and their SQL, where SQL can express them."""
 
-from . import embdup, minhash, mixing, packing, search, sharding, suffixes, toxicity
+from . import embdup, maxent, minhash, mixing, packing, preference, search, sharding, suffixes, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_sharding": sharding.op2_sharding,
     "op3_suffixes": suffixes.op3_suffixes,
     "op4_packing": packing.op4_packing,
+    "op5_maxent": maxent.op5_maxent,
     "op6_search": search.op6_search,
     "op7_minhash": minhash.op7_minhash,
     "op8_embdup": embdup.op8_embdup,
     "op9_mixing": mixing.op9_mixing,
+    "op10_preference": preference.op10_preference,
 }
 
 ORACLES = {
     "op9_mixing": mixing.SQL,
+    "op10_preference": preference.SQL,
 }
