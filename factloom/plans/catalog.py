@@ -1,13 +1,14 @@
 """Registered queries over the supplied tables, each with equivalent SQL."""
 
+from . import flow_queries, fusion_queries, text_queries
+
 FLAGSHIP = "fusion_status_tristate"
-QUERIES: dict = {}
-ORACLES: dict = {}
+PLANS = (fusion_queries, text_queries, flow_queries)
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return {k: v for plan in PLANS for k, v in plan.Q.items()}
 
 
 def oracle_sql() -> dict:
-    return dict(ORACLES)
+    return {k: v for plan in PLANS for k, v in plan.S.items() if v}
