@@ -1,0 +1,173 @@
+"""Source adapters: page snapshots to evidence rows.
+
+Every adapter is a row of ``ADAPTERS``: how records are cut from the lines or
+links of a page, which fields they have, how pages are taken (``paged`` or
+``offset``) and which rows are kept before the entity is made.  The parsing
+itself is one of a few plans over exploded lines or links.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions import geo, text
+
+
+@dataclass(frozen=True)
+class Adapter:
+    kind: str  # links, blocks, before, labels, table, sections
+    fields: dict = field(default_factory=dict)
+    take: str = "offset"
+    pattern: str = ""
+    mark: str = ""
+    keep: str = ""
+    stop: tuple = ()
+
+
+# What the pages of each source look like (link shapes, line marks, labels).
+ADAPTERS = {
+    "agencyhub": Adapter("blocks", {"employees": "([0-9,]+(?:-[0-9,]+名|名以上))"}, "paged", mark="詳細を見る", keep="株式会社|有限会社|合同会社"),
+    "article": Adapter("headings", {"profileText": ""}, pattern="[はがの、]", stop=(8,)),
+    "aspic": Adapter("links", {"address": "所在地", "profileText": "サービス概要"}, pattern="/service/([0-9]+)"),
+    "boxil": Adapter("links", {"profileText": "サービス"}, "paged", pattern="/service/([0-9]+)/?$"),
+    "buzztan": Adapter("labels", {"address": "所在地", "profileText": "特徴", "officialUrl": "公式サイト"}, keep="東京都"),
+    "digimado": Adapter("links", {"address": "所在地", "officialUrl": "公式サイト"}, pattern="/product/([^/]+)/?$"),
+    "digitre": Adapter("links", {"address": "住所"}, "paged", pattern="/company/([^/]+)/?$"),
+    "engage": Adapter("before", {"jobText": "", "jobLocation": ""}, mark="^(東京都|北海道|京都府|大阪府|.{2,3}県)"),
+    "green": Adapter("links", {"employees": "従業員数", "address": "本社所在地"}, pattern="/company/([0-9]+)"),
+    "grip": Adapter("links", {"address": "所在地", "employees": "従業員数", "officialUrl": "公式サイト"}, "paged", pattern="/companies/([^/]+)/?$"),
+    "hikakubiz": Adapter("links", {"address": "所在地", "officialUrl": "公式サイト"}, pattern="/company/([^/]+)/?$"),
+    "houjingoo": Adapter("blocks", {"address": "(東京都[^|]*)", "employees": "従業員数[:：]?([0-9,]+)"}, "paged", mark="^更新日："),
+    "imitsu": Adapter("links", {"address": "住所", "founded": "設立", "profileText": "事業内容"}, pattern="/supplier/([0-9]+)"),
+    "jaro": Adapter("sections", {"profileText": ""}, pattern="^(.+?)（([0-9]+)社）$"),
+    "jcia": Adapter("table", {"name": 0, "address": 1}, keep="東京都"),
+    "kyujinbox": Adapter("before", {"jobText": "", "jobLocation": ""}, "paged", mark="^(東京都|北海道|京都府|大阪府|.{2,3}県).*$"),
+    "meetsmore": Adapter("links", {"profileText": ""}, pattern="/services/([^/]+)/?$"),
+    "pitact": Adapter("labels", {"address": "所在地", "employees": "従業員数"}, "paged"),
+    "prtimes": Adapter("links", {"address": "本社所在地", "officialUrl": "URL"}, pattern="/companyrdf\\.php|/main/html/searchrlp/company_id/([0-9]+)"),
+    "salesnow": Adapter("links", {"address": "本社所在地", "employees": "従業員数", "founded": "設立"}, "paged", pattern="/db/companies/([0-9]+)"),
+    "slidelib": Adapter("headings", {"officialUrl": "サービスサイトへ"}, pattern="", stop=(8,)),
+    "stanby": Adapter("before", {"jobText": "", "jobLocation": ""}, "paged", mark="^(東京都|北海道|京都府|大阪府|.{2,3}県).*$"),
+    "wantedly": Adapter("links", {"address": "所在地", "wantedlyMembers": "メンバー"}, pattern="/companies/([^/?]+)"),
+    "webkanji": Adapter("links", {"profileText": "", "officialUrl": "公式サイト"}, pattern="/company/([^/]+)/?$", stop=("search", "list", "ranking")),
+    "gbizinfo": Adapter("table", {"name": 0, "address": 2, "employees": 5}),
+    "mynavi": Adapter("labels", {"address": "本社所在地", "employees": "従業員", "founded": "設立"}),
+    "careertasu": Adapter("labels", {"address": "本社所在地", "employees": "従業員数", "founded": "設立"}),
+    "openwork": Adapter("labels", {"address": "所在地", "employees": "社員数", "officialUrl": "URL"}),
+    "edinet": Adapter("table", {"name": 6, "address": 9}),
+}
+
+
+def page_lines(pages: DataFrame) -> DataFrame:
+    """(url, pos, line) of snapshots."""
+    return pages.select("url", F.posexplode(text.lines(F.col("text"))).alias("pos", "line"))
+
+
+def page_links(pages: DataFrame) -> DataFrame:
+    return pages.select("url", F.posexplode("anchors").alias("pos", "a")).select("url", "pos", "a.href", "a.text")
+
+
+def entity_links(pages: DataFrame, pattern: str, stop: tuple = ()) -> DataFrame:
+    """(url, pos, id, name, href): links of one shape, the first of each id."""
+    rows = page_links(pages).withColumn("id", F.regexp_extract("href", pattern, 1)).where((F.col("id") != "") & ~F.col("id").isin(list(stop) or [""]))
+    w = Window.partitionBy("url", "id").orderBy("pos")
+    first = rows.withColumn("_at", F.row_number().over(w)).where("_at = 1").drop("_at")
+    return first.select("url", "pos", "id", text.trimmed(F.element_at(F.split("text", "\n"), 1)).alias("name"), "href")
+
+
+def blocks(pages: DataFrame, mark: str) -> DataFrame:
+    """(url, block, lines): records that end with a line of the mark."""
+    w = Window.partitionBy("url").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    ended = F.coalesce(F.sum(F.when(F.col("line").rlike(mark), 1).otherwise(0)).over(w), F.lit(0))
+    rows = page_lines(pages).withColumn("block", ended)
+    per = rows.groupBy("url", "block").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]).alias("lines"), F.max(F.col("line").rlike(mark)).alias("closed"))
+    return per.where("closed").drop("closed")
+
+
+def before_mark(pages: DataFrame, mark: str) -> DataFrame:
+    """(url, pos, title, name, place): a place line, the line before it the company, the one before that the title."""
+    w = Window.partitionBy("url").orderBy("pos")
+    rows = page_lines(pages).withColumn("name", F.lag("line", 1).over(w)).withColumn("title", F.lag("line", 2).over(w))
+    return rows.where(F.col("line").rlike(mark) & F.col("name").isNotNull()).select("url", "pos", "title", "name", F.col("line").alias("place"))
+
+
+def labelled_values(pages: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """(url, field, value): "label<tab>value", "label：value", or the line after a label line."""
+    w = Window.partitionBy("url").orderBy("pos")
+    rows = page_lines(pages).withColumn("after", F.lead("line").over(w))
+    named = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lit(label).alias("label")) for f, label in labels.items() if label]))
+    tried = rows.select("url", "pos", "line", "after", named.alias("n")).select("url", "pos", "line", "after", "n.*")
+    inline = F.when(F.startswith("line", F.col("label")) & F.substring(F.col("line"), F.length("label") + 1, F.lit(1)).isin("\t", ":", "："), F.substring(F.col("line"), F.length("label") + 2, F.length("line")))
+    value = F.coalesce(inline, F.when(F.col("line") == F.col("label"), F.col("after")))
+    first = Window.partitionBy("url", "field").orderBy("pos")
+    return tried.withColumn("value", text.trimmed(value)).where("value IS NOT NULL AND value <> ''").withColumn("_at", F.row_number().over(first)).where("_at = 1").select("url", "field", "value")
+
+
+def table_rows(pages: DataFrame, columns: dict[str, int]) -> DataFrame:
+    """Tab-separated lines as rows; "-" is null."""
+    width = max(columns.values()) + 1
+    rows = page_lines(pages).withColumn("c", F.split("line", "\t")).where(F.size("c") >= width)
+    return rows.select("url", "pos", *[F.nullif(text.trimmed(F.col("c")[i]), F.lit("-")).alias(n) for n, i in columns.items()])
+
+
+def sections(pages: DataFrame, header: str) -> DataFrame:
+    """(url, section, name): names under the last header line before them."""
+    w = Window.partitionBy("url").orderBy("pos")
+    title = F.regexp_extract("line", header, 1)
+    rows = page_lines(pages).withColumn("section", F.last(F.when(title != "", title), True).over(w))
+    return rows.where((title == "") & F.col("section").isNotNull()).select("url", "section", F.col("line").alias("name"), "pos")
+
+
+def headings(pages: DataFrame, follows: str, within: int) -> DataFrame:
+    """(url, pos, name): lines whose name starts a line, with one of ``follows`` after it, within the next lines."""
+    lines = page_lines(pages)
+    ahead = lines.select("url", F.col("pos").alias("p2"), F.col("line").alias("l2"))
+    names = lines.select("url", "pos", F.explode(text.name_candidates(F.col("line"))).alias("name")).where(F.length("name").between(2, 40))
+    # look ahead by an equi-join on the place: every name is dealt to the next lines only
+    dealt = names.select("url", "pos", "name", F.explode(F.sequence(F.col("pos") + 1, F.col("pos") + within)).alias("p2"))
+    met = dealt.join(ahead, ["url", "p2"]).where(F.startswith("l2", F.col("name")) & F.substring(F.col("l2"), F.length("name") + 1, F.lit(1)).rlike(follows or "."))
+    return met.groupBy("url", "pos").agg(F.min_by("name", F.struct(-F.length("name"), F.col("p2"))).alias("name"))
+
+
+def taken(rows: DataFrame, adapter: Adapter, order: list[str], limit: int, offset: int = 0) -> DataFrame:
+    """Paging: all records of the pages read, or limit and offset within one page."""
+    if adapter.take == "paged":
+        return rows.limit(limit) if limit else rows
+    w = Window.partitionBy("url").orderBy(*order)
+    return rows.withColumn("_at", F.row_number().over(w)).where(F.col("_at").between(offset + 1, offset + limit)).drop("_at")
+
+
+def names(pages: DataFrame, source: str) -> DataFrame:
+    """(url, pos, name) of the records that a source's list pages show."""
+    a = ADAPTERS[source]
+    if a.kind == "links":
+        out = entity_links(pages, a.pattern, a.stop)
+    elif a.kind == "blocks":
+        out = blocks(pages, a.mark).select("url", F.col("block").alias("pos"), F.element_at("lines", 1).alias("name"), F.array_join("lines", " | ").alias("body"))
+    elif a.kind == "before":
+        out = before_mark(pages, a.mark)
+    elif a.kind == "sections":
+        out = sections(pages, a.pattern)
+    elif a.kind == "table":
+        out = table_rows(pages, a.fields)
+    elif a.kind == "headings":
+        out = headings(pages, a.pattern, a.stop[0])
+    else:
+        out = labelled_values(pages, {"name": "会社名", **a.fields}).groupBy("url").pivot("field", ["name", *a.fields]).agg(F.first("value")).withColumn("pos", F.lit(0))
+    if a.keep:
+        whole = F.concat_ws(" ", *[F.col(c) for c in out.columns if c not in ("url", "pos", "lines")])
+        out = out.where(whole.rlike(a.keep))
+    return out
+
+
+def evidence(details: DataFrame, source: str, at: Column) -> DataFrame:
+    """Evidence rows (name_url, seq, field, value, source, url, at) of detail pages: the source's labelled fields, and an address' prefecture."""
+    a = ADAPTERS[source]
+    labels = {f: v for f, v in a.fields.items() if isinstance(v, str) and v and "(" not in v}
+    rows = labelled_values(details, labels)
+    order = F.array_position(F.array(*[F.lit(f) for f in labels]), F.col("field"))
+    value = F.when(F.col("field") == "address", geo.strip_postal(F.col("value"))).otherwise(F.col("value"))
+    return rows.select(F.col("url"), order.alias("seq"), "field", value.alias("value"), F.lit(source).alias("source"), at.alias("at"))
