@@ -184,3 +184,12 @@ def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedd
 
 def op8_embdup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+SQL = """WITH RECURSIVE live AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM live a JOIN live b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT vec_id AS id, vec_id AS spot FROM embeddings UNION SELECT r.id, e.b FROM reach r JOIN links e ON e.a = r.spot),
+least AS (SELECT id, min(spot) AS component_id FROM reach GROUP BY id), counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept FROM embeddings e JOIN least ON id = e.vec_id LEFT JOIN counts ON a = e.vec_id"""

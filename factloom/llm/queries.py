@@ -16,6 +16,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op7_minhash": minhash.SQL,
+    "op8_embdup": embdup.SQL,
     "op9_mixing": mixing.SQL,
     "op10_preference": preference.SQL,
 }
