@@ -39,9 +39,10 @@ from . import common
 LENGTH = 2048
 END = 0
 SALTS = 64
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 TOKENIZER = "word_bpe_49k.json"
-_SPLIT = re.compile(r"\s+")
+#: The white space of the tokenizer (Python's own also has the bytes 1C to 1F).
+_SPLIT = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -50,19 +51,48 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the rest from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 class Tokenizer:
-    """ids(text) for whole texts, remembering the ids of words (at most ``remembered``)."""
+    """ids(text) for whole texts, remembering the ids of words in two generations of ``remembered`` words.
+
+    A word of Latin letters and then ASCII marks is its letters and its marks for
+    the tokenizer as well, so both are looked up alone and go to the merge model
+    without the steps before it; every other word takes the whole tokenizer.
+    """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer as Loaded
 
-        self.loaded, self.remembered, self.known = Loaded.from_file(path), remembered, {}
-
-    def learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > self.remembered:
-            self.known.clear()
-        for w, e in zip(words, self.loaded.encode_batch(words, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, np.uint32).tobytes()
+        self.loaded, self.remembered, self.known, self.old = Loaded.from_file(path), remembered, {}, {}
+        self.merge = self.loaded.model.tokenize
+        letters = byte_letters()
+        self.letters = [letters[b] for b in range(256)]
+
+    def part(self, part: str) -> bytes:
+        found = self.known.get(part) or self.old.get(part)
+        if found is None:
+            shown = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+            found = np.array([t.id for t in self.merge(shown)], np.uint32).tobytes()
+        self.known[part] = found
+        return found
+
+    def learn(self, word: str) -> None:
+        found = self.old.get(word)
+        if found is None:
+            plain = _PLAIN.match(word)
+            if plain:
+                found = self.part(plain[1].lower())
+                if plain[2]:
+                    found += self.part(plain[2])
+            else:
+                found = np.array(self.loaded.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
+        self.known[word] = found
 
     def ids(self, text: str) -> np.ndarray:
         parts = text.split() if text.isascii() and not _ODD.search(text) else _SPLIT.split(text)
@@ -70,17 +100,15 @@ class Tokenizer:
         try:
             return np.frombuffer(b"".join([known[w] for w in parts]), np.uint32)
         except KeyError:
-            new = list({w for w in parts if w not in known})
-            if len(new) + len(known) > self.remembered:
-                known.clear()
-                new = list(set(parts))
-            if len(new) > self.remembered:
-                return np.array(self.loaded.encode(text, add_special_tokens=False).ids, np.uint32)
-            self.learn(new)
-            known = self.known
+            if len(known) > self.remembered:
+                self.old, self.known = known, {}
+                known = self.known
+            for w in {w for w in parts if w not in known}:
+                self.learn(w)
             return np.frombuffer(b"".join([known[w] for w in parts]), np.uint32)
 
 
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!\"#$%&()*+,./:;=?@\\[\\]^_`{|}~-]*)\\Z")
 #: str.split() also splits here, the tokenizer's white space does not
 _ODD = re.compile("[\x1c-\x1f]")
 _loaded: dict[str, Tokenizer] = {}
