@@ -7,9 +7,9 @@ calibrates.  Document frequencies cover all documents.
 
 Examples are in an inverted index cut into blocks of ``BLOCK`` examples that
 also holds the largest weight of every term in every block.  A document's dot
-product with those maxima bounds every cosine in a block; blocks are visited
-from the highest bound and the search ends when no bound can reach the k-th best
-cosine, so the neighbours are exact.  Neighbours vote with weight
+product with those maxima bounds every cosine in a block; the
+blocks of the highest bounds give a k-th best cosine, and only the postings of
+blocks whose bound can reach it are read, so the neighbours are exact.  Neighbours vote with weight
 1 / (1 - cosine + 0.05); isotonic regression on the calibrating rows turns the
 vote into a probability, and the neighbours' ids are the evidence.
 
@@ -32,7 +32,7 @@ from .common import U64, mix
 
 SAMPLE = 20_000
 TERMS = 4096
-BLOCK = 64
+BLOCK = 32
 NEIGHBOURS = 16
 MIN_ROWS = 4
 LEAST_CHI2 = 15.0
@@ -102,46 +102,46 @@ class BlockMaxIndex:
     """Unit vectors of examples, by block, with every term's largest weight in every block."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, labels: np.ndarray, ids: np.ndarray):
-        self.idf, self.labels, self.ids = idf, labels, ids
-        vectors = [(i, *self.vector(t, n)) for i, (t, n) in enumerate(rows)]
-        blocks = -(-len(rows) // BLOCK)
-        self.maxima = np.zeros((len(idf), blocks), np.float32)
-        self.blocks = []
-        for b in range(blocks):
-            part = vectors[b * BLOCK : (b + 1) * BLOCK]
-            local = np.concatenate([np.full(len(t), i - b * BLOCK) for i, t, _ in part])
-            term = np.concatenate([t for _, t, _ in part])
-            weight = np.concatenate([w for _, _, w in part])
-            np.maximum.at(self.maxima[:, b], term, (weight * (1 + 1e-6)).astype(np.float32))
-            self.blocks.append((local, term, weight, len(part)))
+        self.idf = idf
+        vectors = [self.vector(t, n) for t, n in rows]
+        # examples with the same heaviest terms share blocks, so that a block's maxima are near its members' weights
+        heavy = [tuple(t[np.argsort(-w, kind="stable")[:3]]) for t, w in vectors]
+        order = sorted(range(len(rows)), key=lambda i: (heavy[i], ids[i]))
+        self.labels, self.ids = labels[order], ids[order]
+        vectors = [(i, *vectors[k]) for i, k in enumerate(order)]
+        self.maxima = np.zeros((len(idf), -(-len(rows) // BLOCK)), np.float32)
+        example = np.concatenate([np.full(len(t), i) for i, t, _ in vectors])
+        term = np.concatenate([t for _, t, _ in vectors])
+        weight = np.concatenate([w for _, _, w in vectors])
+        np.maximum.at(self.maxima, (term, example // BLOCK), (weight * (1 + 1e-6)).astype(np.float32))
+        by_term = np.argsort(term, kind="stable")
+        self.example, self.weight = example[by_term], weight[by_term]
+        self.start = np.searchsorted(term[by_term], np.arange(len(idf) + 1))
 
     def vector(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1 + np.log(n)) * self.idf[t]
         return t, w / max(np.sqrt((w * w).sum()), 1e-300)
 
     def nearest(self, t: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Exact: (cosines, examples) of the k nearest with a positive cosine, ties to the earlier example."""
+        """Exact: (cosines, examples) of the k nearest with a positive cosine, ties to the smaller id."""
         t, w = self.vector(t, n)
-        dense = np.zeros(len(self.idf))
-        dense[t] = w
         bound = (w @ self.maxima[t]) * (1 + 1e-6)
-        order = np.argsort(-bound, kind="stable")
-        found, which, least = np.zeros(0), np.zeros(0, np.int64), 0.0
-        for b in order:
-            if bound[b] <= 0 or bound[b] < least:
-                break
-            local, term, weight, size = self.blocks[b]
-            cos = np.bincount(local, weights=weight * dense[term], minlength=size)
-            good = np.flatnonzero((cos > 1e-12) & (cos >= least))
-            if len(good):
-                found, which = np.concatenate([found, cos[good]]), np.concatenate([which, good + b * BLOCK])
-                if len(found) > k:
-                    best = np.lexsort((which, -found))[:k]
-                    found, which = found[best], which[best]
-                if len(found) == k:
-                    least = found.min()
-        best = np.lexsort((which, -found))
-        return found[best], which[best]
+        size = self.start[t + 1] - self.start[t]
+        at = np.arange(size.sum()) + np.repeat(self.start[t] - (np.cumsum(size) - size), size)
+        example, part = self.example[at], np.repeat(w, size) * self.weight[at]
+        block = example // BLOCK
+        # the blocks of the highest bounds give a k-th best cosine; only blocks that can reach it are scored in full
+        opened = np.zeros(len(bound), bool)
+        opened[np.argsort(-bound, kind="stable")[: max(4, 2 * k // BLOCK)]] = True
+        first = opened[block]
+        cos = np.bincount(example[first], weights=part[first], minlength=len(self.ids))
+        least = np.partition(cos, len(cos) - k)[len(cos) - k] if len(cos) >= k else 0.0
+        keep = (bound > 0) & (bound >= least * (1 - 1e-9))
+        rest = keep[block]
+        cos = np.bincount(example[rest], weights=part[rest], minlength=len(self.ids))
+        which = np.flatnonzero((cos > 1e-12) & (cos >= least * (1 - 1e-9)))
+        best = np.lexsort((self.ids[which], -cos[which]))[:k]
+        return cos[which[best]], which[best]
 
     def vote(self, cos: np.ndarray, which: np.ndarray) -> float:
         w = 1 / (1.05 - np.minimum(cos, 1))
@@ -195,6 +195,7 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> list[tuple[float, float]]
 def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, score, predicted, evidence) for every row of ``docs``."""
     spark = docs.sparkSession
+    docs = docs.select("doc_id", "text")
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     marks = marks.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
     picked = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
