@@ -9,6 +9,8 @@ polynomial fingerprints of the bytes: the prefix sum ``H`` of
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -25,7 +27,7 @@ MASK64 = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _BYTE_CODE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | U64(1)
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -44,7 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share.  Only where the session names none (tests) is one made."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="factloom-")
+        folder = tempfile.mkdtemp(prefix="factloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        root = f"file://{folder}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
@@ -82,10 +86,37 @@ def ship(spark: SparkSession) -> None:
     sc._factloom_shipped = True
 
 
+def trim() -> None:
+    """Give freed memory back: Python workers live on, beside other tasks' workers."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+#: Bytes of an Arrow batch that goes to a Python worker.
+BATCH_BYTES = 8 << 20
+
+
 def mapped(df: DataFrame, function, schema: str) -> DataFrame:
-    """mapInArrow with the package shipped."""
-    ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """mapInArrow with the package shipped, small batches (set for the session) and memory given back at the end."""
+    spark = df.sparkSession
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+    def run(batches):
+        yield from function(batches)
+        trim()
+
+    return df.mapInArrow(run, schema)
+
+
+def sorted_distinct(values: np.ndarray) -> np.ndarray:
+    ranked = np.sort(values)
+    return ranked[np.r_[True, ranked[1:] != ranked[:-1]]] if len(ranked) else ranked
 
 
 def free_shuffles(spark: SparkSession) -> None:
@@ -228,3 +259,40 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
             break
     both.drop()
     return label.df.select("id", "component")
+
+
+# ---------------------------------------------------------------------- bitmaps
+
+
+BITMAP_BITS = 1 << 25
+_BITMAP_BLOCK = 1 << 15
+
+
+def _bitmap_block(table: pa.Table) -> pa.Table:
+    bits = np.zeros(_BITMAP_BLOCK, bool)
+    bits[table.column("bit").to_numpy()] = True
+    return pa.table({"block": table.column("block")[:1], "body": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+
+def bitmap_slot(column):
+    return F.pmod(F.xxhash64(column, F.lit(9)), F.lit(BITMAP_BITS))
+
+
+def bitmap(df: DataFrame, column: str):
+    """A broadcast bitmap of ``BITMAP_BITS`` bits (4 MB at any input) over the ids of ``column``.
+
+    A pre-filter only: ids that share a bit pass, and an exact join follows.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    slot = df.select(bitmap_slot(F.col(column)).alias("slot")).distinct()
+    parts = slot.select((F.col("slot") / _BITMAP_BLOCK).cast("int").alias("block"), (F.col("slot") % _BITMAP_BLOCK).cast("int").alias("bit"))
+    bits = np.zeros(BITMAP_BITS // 8, np.uint8)
+    for r in parts.groupBy("block").applyInArrow(_bitmap_block, "block int, body binary").collect():
+        at = r["block"] * _BITMAP_BLOCK // 8
+        bits[at : at + _BITMAP_BLOCK // 8] = np.frombuffer(r["body"], np.uint8)
+    return spark.sparkContext.broadcast(bits)
+
+
+def in_bitmap(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)

@@ -55,7 +55,7 @@ def shingles(word: np.ndarray, doc: np.ndarray, n_docs: int, k: int = WORDS) ->
     for d in range(n_docs):
         n = counts[d]
         if n >= k:
-            out.append(np.unique(whole[at[d] : at[d + 1] - k + 1]))
+            out.append(common.sorted_distinct(whole[at[d] : at[d + 1] - k + 1]))
         elif n:
             part = word[at[d] : at[d + 1]] * _COEF[:n]
             out.append(mix(part.sum(dtype=U64, keepdims=True) + np.array([n], U64) * _SHORT))
@@ -111,14 +111,28 @@ def _sketched(batches):
             )
 
 
-def _sets(batches):
-    for batch in batches:
-        ids = batch.column(0)
-        data, off = common.utf8(batch.column(1))
-        for lo, hi in common.slices(off):
-            word, doc = common.words(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
-            sets = shingles(word, doc, hi - lo)
-            yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "items"])
+def _sets(wanted):
+    """Sets of the rows whose id is in the bitmap ``wanted``, six bytes a shingle."""
+
+    def run(batches):
+        bits = wanted.value
+        for batch in batches:
+            batch = batch.filter(pa.array(common.in_bitmap(bits, batch.column("slot").to_numpy())))
+            ids = batch.column("id")
+            data, off = common.utf8(batch.column("text"))
+            for lo, hi in common.slices(off):
+                word, doc = common.words(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
+                sets = shingles(word, doc, hi - lo)
+                body = [s.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(body, pa.binary())], ["id", "items"])
+
+    return run
+
+
+def unpacked(body: bytes) -> np.ndarray:
+    wide = np.zeros((len(body) // 6, 8), np.uint8)
+    wide[:, 2:] = np.frombuffer(body, np.uint8).reshape(-1, 6)
+    return wide.reshape(-1).view(U64)
 
 
 def _confirmed(percent: int):
@@ -126,7 +140,7 @@ def _confirmed(percent: int):
         for batch in batches:
             keep = []
             for a, b in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), U64) for v in (a, b))
+                x, y = unpacked(a.as_buffer()), unpacked(b.as_buffer())
                 if len(y) < len(x):
                     x, y = y, x
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
@@ -156,7 +170,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     common.free_shuffles(spark)
     pair = [F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")]
     tried = common.stored(shared.where((F.col("id") != F.col("centre")) & fits).select(*pair).distinct(), "minhash-pairs-0")
-    links, sets = _confirm(rows, shared, tried, percent)
+    links = _confirm(rows, tried, percent)
     label = common.components(links, "minhash")
     for turn in range(1, rounds):
         named = shared.join(label.withColumnRenamed("id", "l_id"), F.col("id") == F.col("l_id"), "left").select(
@@ -174,8 +188,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         if fresh.limit(1).count() == 0:
             break
         tried = tried.union(fresh)
-        more, _ = _confirm(rows, shared, fresh, percent)
-        links = links.union(more)
+        links = links.union(_confirm(rows, fresh, percent))
         label = common.components(links, "minhash")
     common.free_shuffles(spark)
     settled = classes.join(label.withColumnRenamed("id", "l_id"), F.col("rep") == F.col("l_id"), "left").select(
@@ -189,16 +202,35 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     )
 
 
-def _confirm(rows: DataFrame, shared: DataFrame, pairs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The pairs (a, b) whose full sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w_id")).distinct()
-    texts = rows.join(wanted, F.col("id") == F.col("w_id")).select("id", "text")
-    sets = common.stored(common.mapped(texts, _sets, "id long, items binary"), "minhash-sets")
+def _confirm(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough.
+
+    Sets are made again where the texts are read: a bitmap of the pairs' ids, of a
+    fixed size, leaves out the rest, so texts are never shuffled.
+    """
+    wanted = common.bitmap(pairs.select(F.explode(F.array("a", "b")).alias("w_id")), "w_id")
+    slotted = rows.where("id IS NOT NULL").select("id", "text", common.bitmap_slot(F.col("id")).alias("slot"))
+    sets = common.stored(common.mapped(slotted, _sets(wanted), "id long, items binary"), "minhash-sets")
     left = pairs.join(sets.select(F.col("id").alias("a_id"), F.col("items").alias("a_items")), F.col("a") == F.col("a_id")).drop("a_id")
     both = left.join(sets.select(F.col("id").alias("b_id"), F.col("items").alias("b_items")), F.col("b") == F.col("b_id"))
     good = common.mapped(both.select("a", "b", "a_items", "b_items"), _confirmed(percent), "a long, b long")
-    return common.stored(good, "minhash-links"), sets
+    links = common.stored(good, "minhash-links")
+    common.free_shuffles(rows.sparkSession)
+    return links
 
 
 def op7_minhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL = """WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM words),
+sizes AS (SELECT doc_id, CAST(len(g) AS BIGINT) AS n FROM grams),
+flat AS (SELECT doc_id, hash(s) AS h, s FROM (SELECT doc_id, unnest(g) AS s FROM grams)),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM flat x JOIN flat y ON x.h = y.h AND x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * c >= 75 * (s.n + t.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS id, doc_id AS spot FROM sizes UNION SELECT r.id, e.b FROM reach r JOIN both_ways e ON e.a = r.spot)
+SELECT s.doc_id, s.n AS n_shingles, min(r.spot) AS component_id, s.doc_id = min(r.spot) AS kept FROM sizes s JOIN reach r ON r.id = s.doc_id GROUP BY s.doc_id, s.n"""
