@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from . import common
 from .common import U64
 
-CHUNK_BYTES = 1 << 24
-CHUNK = "chunk_id long, ids binary, offs binary, body binary"
+CHUNK_BYTES = 1 << 22
+CHUNK = "chunk_id long, ids binary, copies binary, offs binary, body binary"
 
 
 def squeeze(data) -> bytes:
@@ -52,24 +52,29 @@ def _chunked(most: int):
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        ids, texts, size = [], [], 0
+        ids, copies, texts, size, marked = [], [], [], 0, set()
 
         def row():
             offs = np.zeros(len(texts) + 1, np.int64)
             np.cumsum([len(t) for t in texts], out=offs[1:])
             return pa.RecordBatch.from_arrays(
                 [pa.array([(part << 32) + number], pa.int64()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
-                 pa.array([offs.tobytes()], pa.binary()), pa.array([squeeze(b"".join(texts))], pa.binary())],
-                ["chunk_id", "ids", "offs", "body"],
+                 pa.array([np.array(copies, bool).tobytes()], pa.binary()), pa.array([offs.tobytes()], pa.binary()), pa.array([squeeze(b"".join(texts))], pa.binary())],
+                ["chunk_id", "ids", "copies", "offs", "body"],
             )
 
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            data, off = common.utf8(batch.column(1))
+            keys = batch.column("id").to_numpy(zero_copy_only=False)
+            prints, marks = batch.column("print").to_pylist(), batch.column("mark").to_pylist()
+            data, off = common.utf8(batch.column("text"))
             for i in range(len(batch)):
                 if size >= most and keys[i] != ids[-1]:
                     yield row()
-                    number, ids, texts, size = number + 1, [], [], 0
+                    number, ids, copies, texts, size = number + 1, [], [], [], 0
+                if marks[i]:
+                    marked = {m for m in marked if m[0] == keys[i]} | {(keys[i], prints[i])}
+                    continue
+                copies.append((keys[i], prints[i]) in marked)
                 ids.append(keys[i])
                 texts.append(data[off[i] : off[i + 1]].tobytes())
                 size += len(texts[-1])
@@ -80,7 +85,11 @@ def _chunked(most: int):
 
 
 def chunked(rows: DataFrame, most: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk_id, ids, offs, body) of rows (id long, text), in the order of the partitions and their rows."""
+    """(chunk_id, ids, copies, offs, body) of rows (id long, print, text, mark), in the order of the partitions and their rows.
+
+    A row with ``mark`` is no document: it says of the documents with its id and
+    print that follow it that they are copies.
+    """
     return common.mapped(rows, _chunked(most), CHUNK)
 
 
@@ -110,15 +119,21 @@ def _answered(earlier: bool):
         parts = [decode_sorted(b.as_buffer().to_pybytes()) for b in table.column("body")]
         sizes = np.array([len(p) for p in parts])
         values = np.concatenate(parts)
-        order = np.argsort(values, kind="stable")
+        del parts
+        order = np.argsort(values)
         ranked = values[order]
         new = np.r_[True, ranked[1:] != ranked[:-1]]
-        hit = np.zeros(len(values), bool)
+        del values, ranked
+        block = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+        start, group = np.flatnonzero(new), np.cumsum(new) - 1
+        hit = np.zeros(len(order), bool)
         if earlier:
-            hit[order] = ~new
+            hit[order] = block > np.minimum.reduceat(block, start)[group]
         else:
-            hit[order] = ~new | np.r_[~new[1:], False]
+            hit[order] = (np.diff(np.r_[start, len(order)]) > 1)[group]
+        del order, block, group
         bits = [squeeze(np.packbits(h).tobytes()) for h in np.split(hit, np.cumsum(sizes)[:-1])]
+        common.trim()
         return pa.table({"chunk_id": table.column("chunk_id"), "bucket": table.column("bucket"), "n": pa.array(sizes, pa.int64()), "bits": pa.array(bits, pa.binary())})
 
     return run

@@ -122,9 +122,12 @@ def sorted_distinct(values: np.ndarray) -> np.ndarray:
 def free_shuffles(spark: SparkSession) -> None:
     """Let the context cleaner delete the shuffle files of finished, unreferenced jobs."""
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # handles of this process first, then what they held in the JVM
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def partitions(spark: SparkSession) -> int:

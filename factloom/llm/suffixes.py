@@ -14,6 +14,8 @@ sorting names brings equal prefixes together.
    whole window, sorted with the others, and compared with its neighbours: the
    earliest document among equal prefixes keeps its bytes.
 
+Equal texts need none of that: all but the one of smallest id lose every byte.
+
 Documents are range-sorted by id into chunks first, so that the order of chunks
 is the order of ids; a chunk and a bucket of the sort exchange one row of sorted
 names and one row of bits (``chunks``).  A name that a third of all documents
@@ -45,15 +47,15 @@ GRAM = WINDOW - MODULUS + 1
 _NULL_ID = -(1 << 63)
 
 
-def _sampled(off: np.ndarray, data: np.ndarray, bits: int):
-    """(positions, names) of the sampled suffixes of documents that hold a window."""
+def _sampled(off: np.ndarray, data: np.ndarray, copies: np.ndarray, bits: int):
+    """(positions, names) of the sampled suffixes of documents that hold a window and are not copies."""
     positions, names = [], []
     for lo, hi in common.slices(off):
         a, b = off[lo], off[hi]
         if b - a < WINDOW:
             continue
         size = np.diff(off[lo : hi + 1])
-        usable = np.where(size >= WINDOW, size - GRAM + 1, 0)
+        usable = np.where((size >= WINDOW) & ~copies[lo:hi], size - GRAM + 1, 0)
         n = (usable + MODULUS - 1) // MODULUS * len(COVER)
         first = np.cumsum(n) - n
         step = np.arange(n.sum()) - np.repeat(first, n)
@@ -68,14 +70,17 @@ def _sampled(off: np.ndarray, data: np.ndarray, bits: int):
     return np.concatenate(positions), np.concatenate(names)
 
 
-def _windows(off: np.ndarray, data: np.ndarray, repeated: np.ndarray, bits: int):
+def _windows(off: np.ndarray, data: np.ndarray, live: np.ndarray, repeated: np.ndarray, bits: int):
     """(positions, names) of the windows over which a repeated sampled suffix starts."""
-    mark = np.zeros(len(data) + 2, np.int32)
-    np.add.at(mark, np.maximum(repeated - MODULUS + 1, 0), 1)
-    np.add.at(mark, repeated + 1, -1)
-    wanted = np.cumsum(mark[: len(data)]) > 0
+    mark = np.zeros(len(data) + 2, np.int8)  # at most the cover's size is open at once
+    first = repeated - MODULUS + 1
+    mark[first[first > 0]] += 1
+    mark[0] += (first <= 0).sum()
+    mark[repeated + 1] -= 1
+    wanted = np.cumsum(mark[: len(data)], dtype=np.int8) > 0
+    del mark
     size = np.diff(off)
-    tail = np.minimum(size, WINDOW - 1)  # no window starts in the last bytes of a document
+    tail = np.where(live > 0, np.minimum(size, WINDOW - 1), size)  # no window starts in the last bytes of a document, or in a copy
     ends = np.repeat(off[1:], tail)
     wanted[ends - 1 - (np.arange(len(ends)) - np.repeat(np.cumsum(tail) - tail, tail))] = False
     positions, names = [], []
@@ -93,34 +98,36 @@ def _windows(off: np.ndarray, data: np.ndarray, repeated: np.ndarray, bits: int)
 
 def _grouped(names: np.ndarray):
     """Sort once: (distinct names, order, group of each ordered place, first place of each group)."""
-    order = np.argsort(names, kind="stable")
+    order = np.argsort(names)
     ranked = names[order]
     new = np.r_[True, ranked[1:] != ranked[:-1]] if len(ranked) else np.zeros(0, bool)
     start = np.flatnonzero(new)
     return ranked[start], order, np.cumsum(new) - 1, start
 
 
-def _candidates(ids, off, data, answers, bits1, bits2):
-    pos, names = _sampled(off, data, bits1)
+def _candidates(ids, off, data, copies, answers, bits1, bits2):
+    pos, names = _sampled(off, data, copies, bits1)
     if not len(pos):
         return np.zeros(0, np.int64), np.zeros(0, U64)
     distinct, order, group, start = _grouped(names)
     doc = ids[np.searchsorted(off, pos[order], "right") - 1]
     local = np.minimum.reduceat(doc, start) < np.maximum.reduceat(doc, start)
     repeated = (chunks.heard(answers) | local)[group]
-    return _windows(off, data, np.sort(pos[order[repeated]]), bits2)
+    return _windows(off, data, np.where(copies, 0, np.diff(off)), np.sort(pos[order[repeated]]), bits2)
 
 
 def _rows(batch):
-    for r in batch.to_pylist():
-        yield r, *chunks.opened(r["ids"], r["offs"], r["body"])
+    for i in range(len(batch)):  # one chunk at a time in memory
+        r = batch.slice(i, 1).to_pylist()[0]
+        ids, off, data = chunks.opened(r["ids"], r["offs"], r.pop("body"))
+        yield r, ids, off, data, np.frombuffer(r["copies"], bool)
 
 
 def _first_messages(bits: int, buckets: int):
     def run(batches):
         for batch in batches:
-            for r, _, off, data in _rows(batch):
-                yield chunks.messages(r["chunk_id"], np.unique(_sampled(off, data, bits)[1]), bits, buckets)
+            for r, _, off, data, copies in _rows(batch):
+                yield chunks.messages(r["chunk_id"], common.sorted_distinct(_sampled(off, data, copies, bits)[1]), bits, buckets)
 
     return run
 
@@ -128,9 +135,9 @@ def _first_messages(bits: int, buckets: int):
 def _second_messages(bits1: int, bits2: int, buckets: int):
     def run(batches):
         for batch in batches:
-            for r, ids, off, data in _rows(batch):
-                _, names = _candidates(ids, off, data, r["first"], bits1, bits2)
-                yield chunks.messages(r["chunk_id"], np.unique(names), bits2, buckets)
+            for r, ids, off, data, copies in _rows(batch):
+                _, names = _candidates(ids, off, data, copies, r["first"], bits1, bits2)
+                yield chunks.messages(r["chunk_id"], common.sorted_distinct(names), bits2, buckets)
 
     return run
 
@@ -138,9 +145,9 @@ def _second_messages(bits1: int, bits2: int, buckets: int):
 def _removed(bits1: int, bits2: int, with_text: bool):
     def run(batches):
         for batch in batches:
-            for r, ids, off, data in _rows(batch):
-                pos, names = _candidates(ids, off, data, r["first"], bits1, bits2)
-                cover = np.zeros(len(data) + WINDOW + 1, np.int32)
+            for r, ids, off, data, copies in _rows(batch):
+                pos, names = _candidates(ids, off, data, copies, r["first"], bits1, bits2)
+                cover = np.zeros(len(data) + WINDOW + 1, np.int8)  # at most WINDOW are open at once
                 if len(pos):
                     distinct, order, group, start = _grouped(names)
                     doc = ids[np.searchsorted(off, pos[order], "right") - 1]
@@ -149,11 +156,13 @@ def _removed(bits1: int, bits2: int, with_text: bool):
                     gone = pos[order[goes]]
                     cover[gone] += 1  # positions are distinct
                     cover[gone + WINDOW] -= 1
-                out = np.cumsum(cover[: len(data)]) > 0
+                out = np.cumsum(cover[: len(data)], dtype=np.int8) > 0
                 n, removed, spans, sums, texts = np.diff(off), [], [], [], []
                 for i in range(len(ids)):
                     a, b = off[i], off[i + 1]
                     mine = out[a:b]
+                    if copies[i] and b - a >= WINDOW:
+                        mine[:] = True
                     k = int(mine.sum())
                     removed.append(k)
                     spans.append(int((mine[1:] & ~mine[:-1]).sum() + mine[0]) if k else 0)
@@ -178,8 +187,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes) of every row."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(docs[key].cast("long"), F.lit(_NULL_ID)).alias("id"), docs[text].alias("text"))
-    ranged = rows.repartitionByRange(common.partitions(spark), "id").sortWithinPartitions("id")
+    # equal texts: all but the smallest id are copies, named by a marker row that the range sort puts before them
+    printed = rows.select("id", F.xxhash64("text").alias("print"), F.xxhash64("text", F.lit(1)).alias("second"), F.octet_length("text").alias("n"))
+    least = printed.where(F.col("n") >= WINDOW).groupBy("print", "second", "n").agg(F.min("id").alias("first"), F.count("*").alias("rows"))
+    least = common.stored(least.where("rows > 1").select("print", "second", "n", "first"), "repeats-equal")
+    copies = common.stored(printed.join(least, ["print", "second", "n"]).where("id > first").select("id", "print"), "repeats-copies")
+    texts = rows.select("id", F.xxhash64("text").alias("print"), "text", F.lit(False).alias("mark"))
+    texts = texts.unionAll(copies.select("id", "print", F.lit(None).cast("string").alias("text"), F.lit(True).alias("mark")))
+    ranged = texts.repartitionByRange(common.partitions(spark), "id").sortWithinPartitions("id", F.desc("mark"))
     table = common.stored(chunks.chunked(ranged), "repeats-chunks")
+    del ranged, texts, copies, least, printed
     common.free_shuffles(spark)
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     scale = math.log2(max(total, 2))
@@ -187,10 +204,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     buckets = 2 * common.partitions(spark)
     sent = common.mapped(table, _first_messages(bits1, buckets), "bucket int, chunk_id long, body binary")
     first = common.stored(chunks.ask(sent, earlier=False).withColumnRenamed("answers", "first").withColumnRenamed("chunk_id", "f_id"), "repeats-first")
+    del sent
     common.free_shuffles(spark)
     known = table.join(first, F.col("chunk_id") == F.col("f_id"), "left").drop("f_id")
     sent = common.mapped(known, _second_messages(bits1, bits2, buckets), "bucket int, chunk_id long, body binary")
     second = common.stored(chunks.ask(sent, earlier=True).withColumnRenamed("answers", "second").withColumnRenamed("chunk_id", "s_id"), "repeats-second")
+    del sent, known
     common.free_shuffles(spark)
     both = first.join(second, F.col("f_id") == F.col("s_id"), "left").drop("s_id")
     known = table.join(both, F.col("chunk_id") == F.col("f_id"), "left").drop("f_id")
