@@ -39,7 +39,7 @@ from . import common
 LENGTH = 2048
 END = 0
 SALTS = 64
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 TOKENIZER = "word_bpe_49k.json"
 #: The white space of the tokenizer (Python's own also has the bytes 1C to 1F).
 _SPLIT = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
