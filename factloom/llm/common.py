@@ -232,11 +232,17 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 # ------------------------------------------------------------------- components
 
 
-def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, name: str = "components", max_rounds: int = 500) -> DataFrame:
     """(id, component): the smallest id reachable over undirected ``edges`` (a, b).
 
-    Hash-to-min with pointer jumping.  Every round is written, so a lost executor
-    costs one round; messages to a vertex are minima, combined before the shuffle.
+    Min-label hooking with pointer jumping: the smallest label that a vertex hears
+    from its neighbours goes to the vertex and to the owner of its own label, so a
+    whole region moves at once.  Labels only fall and stay inside the component;
+    rounds go on until none changes, and then all ends of edges agree.  Meeting the
+    bound ``max_rounds`` is an error, never a result.
+
+    Every round is written, so a lost executor costs one round; messages to a
+    vertex are minima, combined before the shuffle.
     """
     both = Stored(
         edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(),
@@ -244,15 +250,13 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
     )
     label = Stored(both.df.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("component")), f"{name}-0")
     for turn in range(1, max_rounds + 1):
-        told = both.df.join(label.df, F.col("b") == F.col("id")).groupBy(F.col("a").alias("to")).agg(F.min("component").alias("heard"))
-        nearer = label.df.join(told, F.col("id") == F.col("to"), "left").select(
-            "id", F.col("component").alias("old"), F.least("component", F.coalesce("heard", "component")).alias("component")
-        )
+        told = both.df.join(label.df, F.col("b") == F.col("id")).groupBy(F.col("a").alias("at")).agg(F.min("component").alias("heard"))
+        sent = told.join(label.df, F.col("at") == F.col("id")).select(F.explode(F.array("id", "component")).alias("to"), "heard")
+        least = sent.groupBy("to").agg(F.min("heard").alias("heard"))
+        nearer = label.df.join(least, F.col("id") == F.col("to")).select("id", F.col("component").alias("old"), F.least("component", "heard").alias("component"))
         step = Stored(nearer, f"{name}-{turn}n")
         up = step.df.select(F.col("id").alias("up_id"), F.col("component").alias("up"))
-        jumped = step.df.join(up, F.col("component") == F.col("up_id"), "left").select(
-            "id", F.least("component", F.coalesce("up", "component")).alias("component"), "old"
-        )
+        jumped = step.df.join(up, F.col("component") == F.col("up_id")).select("id", F.least("component", "up").alias("component"), "old")
         now = Stored(jumped, f"{name}-{turn}")
         changed = now.df.where("component <> old").limit(1).count()
         label.drop()
@@ -260,6 +264,8 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
         label = now
         if not changed:
             break
+    else:
+        raise RuntimeError(f"{name}: components still change after {max_rounds} rounds")
     both.drop()
     return label.df.select("id", "component")
 
