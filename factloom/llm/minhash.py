@@ -9,9 +9,11 @@ Pair counts stay linear: equal sets collapse to their smallest id first, and a
 bucket gives a star, not a clique.  A bucket's centre is its member of smallest
 priority, and four priorities are dealt over the bands, so that different
 buckets of one family have different centres while a large family shares few.
-Further rounds put new centres into buckets that still hold several components,
-so a centre that resembles nobody costs no link.  Every candidate link is
-confirmed on the full sets, and confirmed links are merged into components.
+Further rounds put new centres into buckets that still hold several components.
+In those that hold several after the rounds, blocks of members are compared with
+one another on the full sets, so every pair that shares a bucket is linked, in
+one component, or compared.  Every candidate link is confirmed on the full sets,
+and confirmed links are merged into components.
 
 Defined cases: null and empty texts have empty sets and no links; fewer words
 than a shingle are one shingle; rows that share an id are one document; a null
@@ -35,6 +37,9 @@ ROWS = 4
 PRIORITIES = 4
 ROUNDS = 3
 PERCENT = 75
+#: Documents and shingles, about, of a block when members of a bucket are compared with one another.
+LEAF = 512
+LEAF_ITEMS = 1 << 20
 
 _COEF = mix(np.arange(1, 17, dtype=U64)) | U64(1)
 _PROBE = (mix(np.arange(BINS * 64, dtype=U64)) >> U64(57)).astype(np.int64).reshape(BINS, 64)
@@ -190,6 +195,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         tried = tried.union(fresh)
         links = links.union(_confirm(rows, fresh, percent))
         label = common.components(links, "minhash")
+    found = _finished(rows, heads, shared, label, percent)
+    if found.limit(1).count():
+        label = common.components(links.union(found), "minhash")
     common.free_shuffles(spark)
     settled = classes.join(label.withColumnRenamed("id", "l_id"), F.col("rep") == F.col("l_id"), "left").select(
         F.col("fp1").alias("c1"), F.col("fp2").alias("c2"), F.col("n").alias("cn"), F.coalesce("component", "rep").alias("group")
@@ -202,6 +210,132 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     )
 
 
+def _crossing(x: dict, y: dict, band: int, percent: int, same: bool) -> np.ndarray:
+    """Pairs of two blocks that are to be compared here: other components, sizes that fit, and no earlier common bucket."""
+    least = np.minimum(x["n"][:, None], y["n"])
+    pairs = (x["component"][:, None] != y["component"]) & (100 * least >= percent * np.maximum(x["n"][:, None], y["n"]))
+    for k in range(band):
+        pairs &= x["bands"][:, k, None] != y["bands"][:, k]
+    return np.triu(pairs, 1) if same else pairs
+
+
+def _block_pair(table: pa.Table) -> tuple[dict, dict, bool]:
+    """The two blocks that a group of rows holds; one block twice where it meets itself."""
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    block = table.column("block").to_numpy()
+    bands = np.array(table.column("bands").combine_chunks().flatten().to_numpy()).reshape(table.num_rows, -1)
+    out = []
+    for b in (i, j):
+        at = np.flatnonzero(block == b)
+        out.append({"at": at, "bands": bands[at], **{c: table.column(c).to_numpy()[at] for c in ("id", "n", "component")}})
+    return out[0], out[1], i == j
+
+
+def _open_members(percent: int):
+    """Members of a pair of blocks that have something to compare."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x, y, same = _block_pair(table)
+        pairs = _crossing(x, y, table.column("band")[0].as_py(), percent, same)
+        at = np.unique(np.r_[x["at"][pairs.any(axis=1)], y["at"][pairs.any(axis=0)]]).astype(np.int64)
+        return table.take(pa.array(at))
+
+    return run
+
+
+def overlaps(x: list[np.ndarray], y: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
+    """Common shingles of the sets x[i], y[j] where ``pairs`` holds."""
+    out = np.zeros(pairs.shape, np.int64)
+    row, col = np.nonzero(pairs)
+    if len(row) < 4 * (len(x) + len(y)):
+        for i, j in zip(row, col):
+            a, b = (x[i], y[j]) if len(x[i]) <= len(y[j]) else (y[j], x[i])
+            at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+            out[i, j] = (b[at] == a).sum()
+        return out
+    sides = []
+    for sets in (x, y):
+        items = np.concatenate(sets)
+        order = np.argsort(items, kind="stable")
+        sides.append((items[order], np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order]))
+    shared = np.intersect1d(sides[0][0], sides[1][0])
+    for lo in range(0, len(shared), 2048):  # columns of the blocks' incidence matrices
+        part = shared[lo : lo + 2048]
+        cells = []
+        for (items, owner), sets in zip(sides, (x, y)):
+            i, j = np.searchsorted(items, part[0]), np.searchsorted(items, part[-1], "right")
+            at = np.searchsorted(part, items[i:j])
+            hit = part[at] == items[i:j]
+            cell = np.zeros((len(sets), len(part)), np.float32)
+            cell[owner[i:j][hit], at[hit]] = 1
+            cells.append(cell)
+        out += (cells[0] @ cells[1].T).astype(np.int64)
+    return out
+
+
+def _compared(percent: int):
+    """Links of a pair of blocks, found on the full sets: one for each two components that meet here."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x, y, same = _block_pair(table)
+        pairs = _crossing(x, y, table.column("band")[0].as_py(), percent, same)
+        body = table.column("items")
+        sets = [[unpacked(body[int(k)].as_buffer()) for k in side["at"]] for side in (x, y)]
+        both = overlaps(*sets, pairs)
+        row, col = np.nonzero(pairs & (100 * both >= percent * (x["n"][:, None] + y["n"] - both)))
+        ends = np.stack([x["component"][row], y["component"][col]])
+        _, first = np.unique(np.sort(ends, axis=0), axis=1, return_index=True)
+        a, b = x["id"][row[first]], y["id"][col[first]]
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    return run
+
+
+def _finished(rows: DataFrame, heads: DataFrame, shared: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Links between the components that still meet in a bucket, every such pair compared.
+
+    A bucket's largest component (T) is cut into blocks, the rest (R) into others, and
+    R meets R and T; T with itself has nothing to compare.  A pair is compared in its first
+    common bucket only.  Sets go only to blocks where a pair is left.
+    """
+    spark = rows.sparkSession
+    named = shared.join(label.withColumnRenamed("id", "l_id"), F.col("id") == F.col("l_id"), "left").select(
+        "bucket", "band", "id", "n", F.coalesce("component", "id").alias("component")
+    )
+    per = named.groupBy("bucket", "component").agg(F.count("*").alias("times"), F.sum("n").alias("items"))
+    whole = per.groupBy("bucket").agg(
+        F.count("*").alias("parts"), F.sum("times").alias("size"), F.sum("items").alias("items"),
+        F.max(F.struct("times", "items", "component")).alias("top"),
+    )
+    # a bucket of two had its only pair tried with its centre
+    blocks = lambda times, items: F.greatest(F.ceil(times / LEAF), F.ceil(items / LEAF_ITEMS), F.lit(1)).cast("int")
+    mixed = common.stored(
+        whole.where("parts > 1 AND size > 2").select(
+            "bucket", F.col("top.component").alias("top"), blocks(F.col("top.times"), F.col("top.items")).alias("n_top"),
+            blocks(F.col("size") - F.col("top.times"), F.col("items") - F.col("top.items")).alias("n_rest"),
+        ),
+        "minhash-mixed",
+    )
+    rest = F.col("component") != F.col("top")
+    spot = F.xxhash64("id", "band")
+    block = F.when(rest, F.pmod(spot, F.col("n_rest"))).otherwise(F.col("n_rest") + F.pmod(spot, F.col("n_top"))).cast("int")
+    last = F.when(rest, F.col("n_rest") + F.col("n_top") - 1).otherwise(F.col("n_rest") - 1)
+    dealt = named.join(mixed, "bucket").withColumn("block", block)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+    dealt = dealt.select("bucket", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "n", "component")
+    dealt = dealt.join(heads.select(F.col("id").alias("h_id"), "bands").dropDuplicates(["h_id"]), F.col("id") == F.col("h_id")).drop("h_id")
+    shape = "bucket long, band int, i int, j int, block int, id long, n long, component long, bands array<long>"
+    left = common.stored(dealt.groupBy("bucket", "i", "j").applyInArrow(_open_members(percent), shape), "minhash-open")
+    common.free_shuffles(spark)
+    wanted = common.bitmap(left.select("id").distinct(), "id")
+    slotted = rows.where("id IS NOT NULL").select("id", "text", common.bitmap_slot(F.col("id")).alias("slot"))
+    sets = common.stored(common.mapped(slotted, _sets(wanted), "id long, items binary"), "minhash-leaf-sets")
+    full = left.join(sets.withColumnRenamed("id", "s_id"), F.col("id") == F.col("s_id")).drop("s_id")
+    links = common.stored(full.groupBy("bucket", "i", "j").applyInArrow(_compared(percent), "a long, b long").distinct(), "minhash-leaf-links")
+    common.free_shuffles(spark)
+    return links
+
+
 def _confirm(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
