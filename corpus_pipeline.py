@@ -12,31 +12,47 @@ from factloom.llm import common, minhash, mixing, packing, suffixes, toxicity
 
 
 def drop_toxic(spark, docs, sf_dir):
-    """Documents that the nearest labelled examples call toxic go; all others stay as they are."""
+    """Documents that the nearest labelled examples call toxic go; all others stay as they are.
+
+    The vote depends on the text alone, so it goes back to the rows by the text's fingerprints.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.score_documents(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("t_id")).distinct()
-    toxic = common.stored(scored, "pipeline-toxic")
-    return docs.join(toxic, F.col("doc_id") == F.col("t_id"), "left_anti")
+    names = ("row_print", "row_second")
+    scored = toxicity.score_documents(docs.select("doc_id", "text", *common.prints()), labels, carry=names)
+    toxic = common.stored(scored.where("predicted = 1").select(*names).distinct(), "pipeline-toxic")
+    return docs.select("*", *common.prints()).join(toxic, list(names), "left_anti").select(*docs.columns)
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """One document of each group of near copies stays, the one with the smallest id."""
-    found = minhash.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("n_id")).distinct()
-    copies = common.stored(found, "pipeline-copies")
-    return docs.join(copies, F.col("doc_id") == F.col("n_id"), "left_anti")
+    """One row of each group of near copies stays, the one with the smallest id (rows without an id come last).
+
+    Rows that repeat are near copies of each other, those without words too if their ids and texts are equal.
+    """
+    rows = common.keyed(docs, "pipeline-near")
+    groups = minhash.near_duplicates(rows, key=common.ROW_KEY).select(F.col(common.ROW_KEY).alias("n_key"), "n_shingles", "component_id")
+    light = rows.select(F.col(common.ROW_KEY).alias("g_key"), F.col("doc_id").cast("long").alias("g_id"), *common.prints())
+    met = light.join(groups, F.col("g_key") == F.col("n_key"))
+    wordless = F.col("n_shingles") == 0  # no links: a row repeats if its id and its text do
+    group = [F.when(~wordless, F.col("component_id")).alias("g"), *[F.when(wordless, F.col(c)).alias(c) for c in ("g_id", "row_print", "row_second")]]
+    place = F.struct(F.col("g_id").isNull(), F.col("g_id"), F.col("g_key"))
+    first = met.select(wordless.alias("w"), *group, place.alias("place")).groupBy("w", "g", "g_id", "row_print", "row_second").agg(F.min("place").alias("place"))
+    kept = common.stored(first.select(F.col("place.g_key").alias("n_key")), "pipeline-kept")
+    return rows.join(kept, F.col(common.ROW_KEY) == F.col("n_key"), "left_semi").select(*docs.columns)
 
 
 def cut_repeats(spark, docs, sf_dir):
     """Bytes of passages that an earlier document has go; a document that loses all of its bytes goes.
 
     A character that is cut in two loses the rest of its bytes as well; n_chars follows the text.
+    Rows that share an id, or have none, come after all others.
     """
-    cut = suffixes.remove_repeats(docs, with_text=True).where("n_removed > 0")
+    rows = common.keyed(docs, "pipeline-repeats")
+    cut = suffixes.remove_repeats(rows, key=common.ROW_KEY, with_text=True).where("n_removed > 0")
     kept = F.try_validate_utf8(F.col("kept").cast("string"))
     mended = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\\x{FFFD}", "")
     cut = cut.select(F.col("doc_id").alias("c_id"), F.coalesce(kept, mended).alias("c_text"))
     cut = common.stored(cut, "pipeline-cut")
-    met = docs.join(cut, F.col("doc_id") == F.col("c_id"), "left").where("c_id IS NULL OR length(c_text) > 0")
+    met = rows.join(cut, F.col(common.ROW_KEY) == F.col("c_id"), "left").where("c_id IS NULL OR length(c_text) > 0")
     text = F.when(F.col("c_id").isNull(), F.col("text")).otherwise(F.col("c_text"))
     changed = {"text": text, "n_chars": F.when(F.col("c_id").isNull(), F.col("n_chars")).otherwise(F.length("c_text").cast(docs.schema["n_chars"].dataType))}
     return met.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])

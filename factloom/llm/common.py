@@ -270,6 +270,34 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 500
     return label.df.select("id", "component")
 
 
+# --------------------------------------------------------------------- row keys
+
+
+ROW_KEY = "row_key"
+
+
+def prints(text: str = "text") -> list:
+    """128 bits that tell texts apart, as ``row_print`` and ``row_second``."""
+    return [F.xxhash64(text).alias("row_print"), F.xxhash64(text, F.lit(1)).alias("row_second")]
+
+
+def keyed(docs: DataFrame, name: str, key: str = "doc_id") -> DataFrame:
+    """``docs`` with a long ``ROW_KEY`` of its own on every row.
+
+    Rows whose ``key`` is null or also on another row are written with new keys above
+    all others; every other row has its ``key``.
+    """
+    ids = docs.select(docs[key].cast("long").alias("k"))
+    shared = stored(ids.groupBy("k").count().where("k IS NULL OR count > 1").select("k"), f"{name}-shared")
+    plain = docs.withColumn(ROW_KEY, docs[key].cast("long"))
+    if shared.limit(1).count() == 0:
+        return plain
+    top = ids.agg(F.coalesce(F.max("k"), F.lit(0))).first()[0]
+    odd = docs.join(shared, docs[key].cast("long").eqNullSafe(F.col("k")), "left_semi")
+    odd = stored(odd.withColumn(ROW_KEY, F.lit(top + 1) + F.monotonically_increasing_id()), f"{name}-odd")
+    return plain.join(shared, F.col(ROW_KEY).eqNullSafe(F.col("k")), "left_anti").unionByName(odd)
+
+
 # ---------------------------------------------------------------------- bitmaps
 
 

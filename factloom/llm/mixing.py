@@ -103,9 +103,10 @@ def mixed_documents(docs: DataFrame, columns: list[str] | None = None, **how) ->
     """Whole documents in training order, one row per time a document is taken.
 
     A document is repeated for every pass over its source that takes it or a part of it.
+    Rows that share an id, or have none, are documents of their own.
     """
     columns = columns or docs.columns
-    key = "doc_id"
+    docs, key = common.keyed(docs, "mix"), common.ROW_KEY
     plan = plan_mix(docs, [key], **how).where("passes > 0")
     shown = plan.select(
         F.col(key).alias("mix_key"), "weight", "before", "target", "source_size", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)).alias("turn")

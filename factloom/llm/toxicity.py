@@ -93,7 +93,8 @@ def _features(vocabulary: np.ndarray):
                 key, n = np.unique(d[real] * TERMS + at[real], return_counts=True)
                 bounds = np.searchsorted(key, np.arange(hi - lo + 1) * TERMS).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(v.astype(np.int32))) for v in (key % TERMS, n)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *lists], ["doc_id", "idx", "tf"])
+                carried = [batch.column(k).slice(lo, hi - lo) for k in range(2, batch.num_columns)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *lists, *carried], ["doc_id", "idx", "tf", *batch.schema.names[2:]])
 
     return run
 
@@ -170,7 +171,10 @@ def _voted(index):
                 vote, proof = known[key]
                 votes.append(vote)
                 proofs.append(proof)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.float64()), pa.array(proofs, pa.list_(pa.int64()))], ["doc_id", "vote", "evidence"])
+            carried = [batch.column(k) for k in range(3, batch.num_columns)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(votes, pa.float64()), pa.array(proofs, pa.list_(pa.int64())), *carried], ["doc_id", "vote", "evidence", *batch.schema.names[3:]]
+            )
 
     return run
 
@@ -192,10 +196,11 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> list[tuple[float, float]]
     return knots
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, score, predicted, evidence) for every row of ``docs``."""
+def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, score, predicted, evidence, and the long columns ``carry``) for every row of ``docs``."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", *carry)
+    carried = "".join(f", {c} long" for c in carry)
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     marks = marks.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
     picked = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -212,7 +217,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     best = summed.select("term", chi2.alias("chi2")).where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(TERMS)
     vocabulary = np.sort(np.array([r["term"] for r in best.collect()], np.int64).view(U64))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    made = common.mapped(docs.select("doc_id", "text"), _features(vocabulary), f"doc_id {kind}, idx array<int>, tf array<int>")
+    made = common.mapped(docs, _features(vocabulary), f"doc_id {kind}, idx array<int>, tf array<int>{carried}")
     features = common.stored(made, "toxic-features")
     df = np.zeros(max(len(vocabulary), 1))
     for r in features.select(F.explode("idx").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect():  # TERMS rows at most
@@ -228,7 +233,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
             np.array([r["toxic"] for r in rows], float), np.array([r["doc_id"] for r in rows], np.int64),
         )
     shared = spark.sparkContext.broadcast(index)
-    voted = common.stored(common.mapped(features, _voted(shared), f"doc_id {kind}, vote double, evidence array<long>"), "toxic-votes")
+    voted = common.stored(common.mapped(features, _voted(shared), f"doc_id {kind}, vote double, evidence array<long>{carried}"), "toxic-votes")
     proof = voted.join(known, F.col("doc_id") == F.col("label_id")).where("calibrates").select("vote", "toxic").limit(sample).collect()
     votes, truth = np.array([r["vote"] for r in proof]), np.array([r["toxic"] for r in proof], float)
     silent = votes < 0
@@ -244,8 +249,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
         score = F.when(F.col("vote") < 0, floor).when(F.col("vote") < knots[0][0], first).otherwise(
             F.when(above.isNull(), below["p"]).otherwise(below["p"] + (above["p"] - below["p"]) * (F.col("vote") - below["v"]) / (above["v"] - below["v"]))
         )
-    scored = voted.select("doc_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("score"), "evidence")
-    return scored.select("doc_id", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "evidence")
+    scored = voted.select("doc_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("score"), "evidence", *carry)
+    return scored.select("doc_id", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "evidence", *carry)
 
 
 def held_out(doc_id, remainder: int = 0):
