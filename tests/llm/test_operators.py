@@ -220,16 +220,72 @@ def test_toxicity(spark):
     assert toxicity.score_documents(empty(spark), lab).count() == 0
 
 
-def test_block_max_search_is_exact():
+def test_toxicity_against_brute_force(spark):
+    """Scores again in plain Python: terms, document frequencies, evidence, cosines, votes and their calibration."""
+    rng = np.random.default_rng(4)
+    words = np.array([f"w{k}" for k in range(60)])
+    rows = [(i, " ".join(rng.choice(words, 12)) + (" vile" if i % 3 == 0 and i % 7 else ""), "en", "s", 1) for i in range(300)]
+    rows += [(300, "vile " * 4000 + "w1", "en", "s", 1), (301, rows[3][1], "en", "s", 1), (302, rows[3][1], "en", "s", 1), (303, "unknown", "en", "s", 1), (304, None, "en", "s", 1)]
+    labels = [(i, 1, int(i % 3 == 0)) for i in range(304)]
+    df, lab = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    table = toxicity.labelled(df, lab, toxicity.EXAMPLES, toxicity.CALIBRATING, toxicity.SAMPLE_BYTES).to_pylist()
+    text = {r[0]: (r[1] or "").split() for r in rows}
+    examples, proofs = ([(r["doc_id"], r["toxic"]) for r in table if r["calibrates"] == c] for c in (False, True))
+    known = {w for i, _ in examples for w in text[i]}
+    share = sum(t for _, t in examples) / len(examples)
+
+    def weight(w):
+        df_ = sum(w in set(t) for t in text.values())
+        n, hot = (sum(w in set(text[i]) for i, t in examples if t >= least) for least in (0, 1))
+        odds = math.log((hot + 10 * share) / (n - hot + 10 * (1 - share))) - math.log(share / (1 - share))
+        return (math.log((len(rows) + 1) / (df_ + 1)) + 1) * odds**2
+
+    weights = {w: weight(w) for w in known}
+
+    def vector(i):
+        v = {w: (1 + math.log(text[i].count(w))) * weights[w] for w in set(text[i]) & known}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    vectors = {i: vector(i) for i in text}
+
+    def vote(i):
+        near = sorted(((-sum(x * vectors[e].get(w, 0) for w, x in vectors[i].items()), e, t) for e, t in examples))
+        near = [(c, e, t) for c, e, t in near if c < -1e-12]
+        last = near[min(16, len(near)) - 1][0] if near else 0
+        sure = [(c, e, t) for c, e, t in near if c < last - 1e-9]
+        tied = sorted((e, t, c) for c, e, t in near if abs(c - last) <= 1e-9)[: 16 - len(sure)]
+        chosen = sure + [(c, e, t) for e, t, c in tied]
+        w = [1 / (1.05 - min(-c, 1)) for c, _, _ in chosen]
+        return sum(a * t for a, (_, _, t) in zip(w, chosen)) / sum(w) if chosen else -1.0
+
+    knots = toxicity.isotonic(np.array([vote(i) for i, _ in proofs if vote(i) >= 0]), np.array([t for i, t in proofs if vote(i) >= 0], float))
+    x, p = zip(*knots)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(df, lab).collect()}
+    assert list(x) == sorted(x) and list(p) == sorted(p)
+    silent = [t for i, t in proofs if vote(i) < 0]
+    for i in text:
+        v = vote(i)
+        want = np.interp(v, x, p) if v >= 0 else (sum(silent) + 0.05) / (len(silent) + 1)
+        assert abs(got[i] - want) < 1e-6, (i, v)
+    assert got[3] == got[301] == got[302]
+
+
+def test_block_max_search_is_exact_and_leaves_postings_unread():
     rng = np.random.default_rng(0)
-    rows = [(t := np.unique(rng.zipf(1.3, 12) % 300), rng.integers(1, 4, len(t)).astype(float)) for _ in range(500)]
-    index = toxicity.BlockMaxIndex(rows, rng.random(300) + 1, np.zeros(500), np.arange(500))
-    dense = np.zeros((500, 300))
-    for i, (t, n) in enumerate(rows):
-        dense[i, t] = index.vector(t, n)[1]
-    for t, n in rows[:60]:
-        q = np.zeros(300)
+    group = np.repeat(np.arange(20), 40)
+    rows = [(t := np.unique(np.r_[rng.integers(0, 300, 4), 300 + 30 * g + rng.integers(0, 30, 25)]), rng.integers(1, 4, len(t)).astype(float)) for g in group]
+    index = toxicity.BlockMaxIndex(rows, rng.random(900) + 1, np.zeros(800), np.arange(800))
+    dense = np.zeros((800, 900))
+    for i, k in enumerate(index.ids):
+        t, w = index.vector(*rows[k])
+        dense[i, t] = w
+    rare = dense[:, index.column < 0] > 0
+    read = whole = 0
+    for (t, n), (cos, which, touched) in zip(rows[::8], index.nearest(rows[::8], 16)):
+        q = np.zeros(900)
         q[t] = index.vector(t, n)[1]
-        cos, which = index.nearest(t, n, 16)
         best = np.sort(dense @ q)[::-1][:16]
         assert np.allclose(cos, best[best > 1e-12])
+        read, whole = read + touched, whole + rare[:, q[index.column < 0] > 0].sum()
+    assert read < whole / 2
