@@ -42,7 +42,7 @@ def test_sharding(spark, docs):
 
 
 def test_sharding_moves_little():
-    counts = {c: 5 for c in range(sharding.CELLS)}
+    counts = {c * sharding.NODES: 5 for c in range(sharding.CELLS)}
     before, after = (sharding.place(counts, n, 64) for n in (8, 9))
     owner = lambda placed: {(c, first + k): s for c, first, n, s, _ in placed for k in range(n)}
     a, b = owner(before), owner(after)
@@ -50,6 +50,34 @@ def test_sharding_moves_little():
     assert sum(a[k] != b[k] for k in a) < len(a) / 2
 
 
+def test_sharding_against_every_key_on_its_own(spark):
+    """Rounds over single keys in ring order, without cells; and every hot id in salts."""
+    rows = [(i, f"text {i % 7}", "en", "s", 1) for i in range(700)]
+    got = {r["doc_id"]: r["shard"] for r in sharding.shard_rows(spark.createDataFrame(rows, DOCS), virtual_nodes=5, cells=16).collect()}
+    points = sharding.ring(8, 5)
+    keys = sorted((int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16), i) for i, *_ in rows)
+    room, left, want = {s: 700 // 8 + (s < 700 % 8) for s in range(8)}, dict((i, at) for at, i in keys), {}
+    for turn in range(8):
+        for at, i in keys:
+            shard = sharding.clockwise(points, at, 8)[turn]
+            if i in left and room[shard]:
+                want[i], room[shard] = shard, room[shard] - 1
+                left.pop(i)
+    assert got == want
+    hot = spark.createDataFrame([(None if i % 2 else 5, f"text {i}", "en", "s", 1) for i in range(300)], DOCS)
+    placed = sharding.shard_rows(hot, group_rows=20).collect()
+    assert len(placed) == 300
+    for shard in range(8):
+        slots = sorted(r["slot"] for r in placed if r["shard"] == shard)
+        assert slots == list(range(len(slots))) and len(slots) in (37, 38)
+
+
+def test_wide_names_of_windows_change_nothing(spark, docs):
+    df, _ = docs
+    plain, wide = (sorted(map(tuple, suffixes.remove_repeats(df, wide=w).collect())) for w in (False, True))
+    assert plain == wide
+
+
 def test_suffixes(spark, docs):
     df, rows = docs
     got = sorted(map(tuple, suffixes.remove_repeats(df).collect()))
@@ -93,6 +121,22 @@ def test_packing(spark, docs):
     assert packing.pack(empty(spark)).count() == 0
 
 
+def test_tokenizer_shortcuts_are_tried_before_they_are_taken(tmp_path):
+    from tokenizers import Tokenizer as Whole
+    from tokenizers import models, normalizers, pre_tokenizers
+
+    tok = packing.Tokenizer(packing.tokenizer_path())
+    assert tok.by_word and tok.by_part
+    words = {w: k for k, w in enumerate(["a", "b", "A", " ", "a b", "[UNK]", *map(chr, range(0x21, 0x7F))])}
+    other = Whole(models.BPE(vocab=words, merges=[], unk_token="[UNK]"))
+    other.normalizer, other.pre_tokenizer = normalizers.Replace(" ", "A"), pre_tokenizers.Split("", "isolated")
+    other.save(str(tmp_path / "t.json"))
+    mine = packing.Tokenizer(str(tmp_path / "t.json"))
+    for text in ("a b", "Hello, world.", "", "Élan vital"):
+        assert mine.ids(text).tolist() == other.encode(text, add_special_tokens=False).ids
+    assert not mine.by_word
+
+
 def test_best_fit_is_best_fit_decreasing():
     rng = np.random.default_rng(0)
     for _ in range(20):
@@ -274,16 +318,16 @@ def test_toxicity_against_brute_force(spark):
 def test_block_max_search_is_exact_and_leaves_postings_unread():
     rng = np.random.default_rng(0)
     group = np.repeat(np.arange(20), 40)
-    rows = [(t := np.unique(np.r_[rng.integers(0, 300, 4), 300 + 30 * g + rng.integers(0, 30, 25)]), rng.integers(1, 4, len(t)).astype(float)) for g in group]
-    index = toxicity.BlockMaxIndex(rows, rng.random(900) + 1, np.zeros(800), np.arange(800))
-    dense = np.zeros((800, 900))
+    rows = [(t := np.unique(np.r_[rng.integers(0, 1000, 30), 1000 + 30 * g + rng.integers(0, 30, 8)]), rng.integers(1, 4, len(t)).astype(float)) for g in group]
+    index = toxicity.BlockMaxIndex(rows, np.r_[np.full(1000, 0.1), np.full(600, 2.0)], np.zeros(800), np.arange(800))
+    dense = np.zeros((800, 1600))
     for i, k in enumerate(index.ids):
         t, w = index.vector(*rows[k])
         dense[i, t] = w
     rare = dense[:, index.column < 0] > 0
     read = whole = 0
     for (t, n), (cos, which, touched) in zip(rows[::8], index.nearest(rows[::8], 16)):
-        q = np.zeros(900)
+        q = np.zeros(1600)
         q[t] = index.vector(t, n)[1]
         best = np.sort(dense @ q)[::-1][:16]
         assert np.allclose(cos, best[best > 1e-12])
