@@ -101,18 +101,23 @@ def bucket_width(bits: int, buckets: int) -> int:
     return ((1 << bits) + buckets - 1) // buckets
 
 
-def messages(chunk: int, values: np.ndarray, bits: int, buckets: int) -> pa.RecordBatch:
-    """(bucket, chunk_id, body) for ascending distinct ``values`` below 2**bits."""
+def messages(chunk: int, values: np.ndarray, bits: int, buckets: int, more: np.ndarray | None = None) -> pa.RecordBatch:
+    """(bucket, chunk_id, body, more) for ascending distinct ``values`` below 2**bits; ``more`` has 64 further bits of each."""
     width = bucket_width(bits, buckets)
     cuts = np.searchsorted(values, np.arange(1, buckets, dtype=U64) * U64(width)) if buckets > 1 else np.zeros(0, np.int64)
     cuts = np.r_[0, cuts, len(values)]
     used = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
     body = [encode_sorted(values[cuts[b] : cuts[b + 1]] - U64(b * width)) for b in used]
+    rest = [None if more is None else more[cuts[b] : cuts[b + 1]].tobytes() for b in used]
     return pa.RecordBatch.from_arrays(
-        [pa.array(used, pa.int32()), pa.array([chunk] * len(used), pa.int64()), pa.array(body, pa.binary())], ["bucket", "chunk_id", "body"]
+        [pa.array(used, pa.int32()), pa.array([chunk] * len(used), pa.int64()), pa.array(body, pa.binary()), pa.array(rest, pa.binary())], ["bucket", "chunk_id", "body", "more"]
     )
 
 
+#: Messages of ``messages``.
+SENT = "bucket int, chunk_id long, body binary, more binary"
+
+
 def _answered(earlier: bool):
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("chunk_id")
@@ -120,9 +125,16 @@ def _answered(earlier: bool):
         sizes = np.array([len(p) for p in parts])
         values = np.concatenate(parts)
         del parts
-        order = np.argsort(values)
-        ranked = values[order]
-        new = np.r_[True, ranked[1:] != ranked[:-1]]
+        if table.column("more").null_count:
+            order = np.argsort(values)
+            ranked = values[order]
+            new = np.r_[True, ranked[1:] != ranked[:-1]]
+        else:
+            more = np.concatenate([np.frombuffer(b.as_buffer(), U64) for b in table.column("more")])
+            order = np.lexsort((more, values))
+            ranked, more = values[order], more[order]
+            new = np.r_[True, (ranked[1:] != ranked[:-1]) | (more[1:] != more[:-1])]
+            del more
         del values, ranked
         block = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
         start, group = np.flatnonzero(new), np.cumsum(new) - 1

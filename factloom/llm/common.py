@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 MASK64 = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_BYTE_CODE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | U64(1)
+#: Two independent fingerprints: bases and byte codes.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_BYTE_CODES = tuple(np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) | U64(1) for seed in (20240229, 20240301))
 SLICE_BYTES = 1 << 20
 
 IS_SPACE = np.zeros(256, bool)
@@ -43,9 +43,11 @@ IS_LETTER[0x80:] = True
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share.  Only where the session names none (tests) is one made."""
+    """The folder all executors share.  Only a local session that names none (tests) gets one made."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="factloom-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         root = f"file://{folder}"
@@ -99,13 +101,15 @@ def trim() -> None:
 
 #: Bytes of an Arrow batch that goes to a Python worker.
 BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def mapped(df: DataFrame, function, schema: str) -> DataFrame:
-    """mapInArrow with the package shipped, small batches (set for the session) and memory given back at the end."""
+    """mapInArrow with the package shipped, small batches (where the session sets no size) and memory given back at the end."""
     spark = df.sparkSession
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if _BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
     def run(batches):
         yield from function(batches)
@@ -149,14 +153,14 @@ def _powers(n: int, base: int) -> np.ndarray:
     return out
 
 
-_pow_cache: list[np.ndarray] = []
+_pow_cache: dict[int, list[np.ndarray]] = {}
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _pow_cache or len(_pow_cache[0]) < n:
+def powers(n: int, kind: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    if kind not in _pow_cache or len(_pow_cache[kind][0]) < n:
         size = max(n, SLICE_BYTES + (1 << 12))
-        _pow_cache[:] = [_powers(size, _BASE), _powers(size, _BASE_INV)]
-    return _pow_cache[0][:n], _pow_cache[1][:n]
+        _pow_cache[kind] = [_powers(size, _BASES[kind]), _powers(size, pow(_BASES[kind], -1, 1 << 64))]
+    return _pow_cache[kind][0][:n], _pow_cache[kind][1][:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -192,15 +196,15 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    pw, _ = powers(len(data) + 1)
+def prefix_hash(data: np.ndarray, kind: int = 0) -> np.ndarray:
+    pw, _ = powers(len(data) + 1, kind)
     out = np.zeros(len(data) + 1, U64)
-    np.cumsum(_BYTE_CODE[data] * pw[: len(data)], out=out[1:])
+    np.cumsum(_BYTE_CODES[kind][data] * pw[: len(data)], out=out[1:])
     return out
 
 
-def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, inverse = powers(len(prefix))
+def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, kind: int = 0) -> np.ndarray:
+    _, inverse = powers(len(prefix), kind)
     return mix((prefix[end] - prefix[start]) * inverse[start])
 
 

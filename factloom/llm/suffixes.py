@@ -19,8 +19,10 @@ Equal texts need none of that: all but the one of smallest id lose every byte.
 Documents are range-sorted by id into chunks first, so that the order of chunks
 is the order of ids; a chunk and a bucket of the sort exchange one row of sorted
 names and one row of bits (``chunks``).  A name that a third of all documents
-hold is still one entry per chunk.  The name's length in bits follows the input
-so that the expected number of false matches stays below 0.1.
+hold is still one entry per chunk.  A sampled name only finds candidates; the name of
+a window decides, and its length in bits follows the input: at most 64 up to 2**33
+bytes, from there on 64 and 64 more of an independent fingerprint, so that the
+expected number of false matches stays below 0.1 at any size.
 
 Defined cases: a null text is empty; a null id comes before all others; rows
 that share an id are not compared with each other; texts shorter than a window
@@ -44,7 +46,9 @@ WINDOW = 50
 COVER = (0, 1, 3, 8, 12, 18)
 MODULUS = 31
 GRAM = WINDOW - MODULUS + 1
+WIDE_BYTES = 1 << 33
 _NULL_ID = -(1 << 63)
+_NOTHING = (np.zeros(0, np.int64), np.zeros(0, U64))
 
 
 def _sampled(off: np.ndarray, data: np.ndarray, copies: np.ndarray, bits: int):
@@ -70,8 +74,8 @@ def _sampled(off: np.ndarray, data: np.ndarray, copies: np.ndarray, bits: int):
     return np.concatenate(positions), np.concatenate(names)
 
 
-def _windows(off: np.ndarray, data: np.ndarray, live: np.ndarray, repeated: np.ndarray, bits: int):
-    """(positions, names) of the windows over which a repeated sampled suffix starts."""
+def _windows(off: np.ndarray, data: np.ndarray, live: np.ndarray, repeated: np.ndarray, bits: int, wide: bool):
+    """(positions, names, further bits where ``wide``) of the windows over which a repeated sampled suffix starts."""
     mark = np.zeros(len(data) + 2, np.int8)  # at most the cover's size is open at once
     first = repeated - MODULUS + 1
     mark[first[first > 0]] += 1
@@ -83,37 +87,40 @@ def _windows(off: np.ndarray, data: np.ndarray, live: np.ndarray, repeated: np.n
     tail = np.where(live > 0, np.minimum(size, WINDOW - 1), size)  # no window starts in the last bytes of a document, or in a copy
     ends = np.repeat(off[1:], tail)
     wanted[ends - 1 - (np.arange(len(ends)) - np.repeat(np.cumsum(tail) - tail, tail))] = False
-    positions, names = [], []
+    positions, names, more = [], [], []
     for lo, hi in common.slices(off):
         a, b = off[lo], off[hi]
         pos = np.flatnonzero(wanted[a:b])
         if len(pos):
-            prefix = common.prefix_hash(data[a:b])
-            names.append(common.span_hash(prefix, pos, pos + WINDOW) >> U64(64 - bits))
+            names.append(common.span_hash(common.prefix_hash(data[a:b]), pos, pos + WINDOW) >> U64(64 - bits))
+            if wide:
+                more.append(common.span_hash(common.prefix_hash(data[a:b], 1), pos, pos + WINDOW, 1))
             positions.append(pos + a)
     if not names:
-        return np.zeros(0, np.int64), np.zeros(0, U64)
-    return np.concatenate(positions), np.concatenate(names)
+        return _NOTHING[0], _NOTHING[1], _NOTHING[1] if wide else None
+    return np.concatenate(positions), np.concatenate(names), np.concatenate(more) if wide else None
 
 
-def _grouped(names: np.ndarray):
-    """Sort once: (distinct names, order, group of each ordered place, first place of each group)."""
-    order = np.argsort(names)
+def _grouped(names: np.ndarray, more: np.ndarray | None = None):
+    """Sort once: (first member of each distinct name, order, group of each ordered place, first place of each group)."""
+    order = np.argsort(names) if more is None else np.lexsort((more, names))
     ranked = names[order]
     new = np.r_[True, ranked[1:] != ranked[:-1]] if len(ranked) else np.zeros(0, bool)
+    if more is not None and len(ranked):
+        new[1:] |= more[order][1:] != more[order][:-1]
     start = np.flatnonzero(new)
-    return ranked[start], order, np.cumsum(new) - 1, start
+    return order[start], order, np.cumsum(new) - 1, start
 
 
-def _candidates(ids, off, data, copies, answers, bits1, bits2):
+def _candidates(ids, off, data, copies, answers, bits1, bits2, wide):
     pos, names = _sampled(off, data, copies, bits1)
     if not len(pos):
-        return np.zeros(0, np.int64), np.zeros(0, U64)
-    distinct, order, group, start = _grouped(names)
+        return _NOTHING[0], _NOTHING[1], _NOTHING[1] if wide else None
+    _, order, group, start = _grouped(names)
     doc = ids[np.searchsorted(off, pos[order], "right") - 1]
     local = np.minimum.reduceat(doc, start) < np.maximum.reduceat(doc, start)
     repeated = (chunks.heard(answers) | local)[group]
-    return _windows(off, data, np.where(copies, 0, np.diff(off)), np.sort(pos[order[repeated]]), bits2)
+    return _windows(off, data, np.where(copies, 0, np.diff(off)), np.sort(pos[order[repeated]]), bits2, wide)
 
 
 def _rows(batch):
@@ -132,24 +139,28 @@ def _first_messages(bits: int, buckets: int):
     return run
 
 
-def _second_messages(bits1: int, bits2: int, buckets: int):
+def _second_messages(bits1: int, bits2: int, wide: bool, buckets: int):
     def run(batches):
         for batch in batches:
             for r, ids, off, data, copies in _rows(batch):
-                _, names = _candidates(ids, off, data, copies, r["first"], bits1, bits2)
-                yield chunks.messages(r["chunk_id"], common.sorted_distinct(names), bits2, buckets)
+                _, names, more = _candidates(ids, off, data, copies, r["first"], bits1, bits2, wide)
+                if more is None:
+                    yield chunks.messages(r["chunk_id"], common.sorted_distinct(names), bits2, buckets)
+                else:
+                    first = _grouped(names, more)[0]
+                    yield chunks.messages(r["chunk_id"], names[first], bits2, buckets, more[first])
 
     return run
 
 
-def _removed(bits1: int, bits2: int, with_text: bool):
+def _removed(bits1: int, bits2: int, wide: bool, with_text: bool):
     def run(batches):
         for batch in batches:
             for r, ids, off, data, copies in _rows(batch):
-                pos, names = _candidates(ids, off, data, copies, r["first"], bits1, bits2)
+                pos, names, more = _candidates(ids, off, data, copies, r["first"], bits1, bits2, wide)
                 cover = np.zeros(len(data) + WINDOW + 1, np.int8)  # at most WINDOW are open at once
                 if len(pos):
-                    distinct, order, group, start = _grouped(names)
+                    _, order, group, start = _grouped(names, more)
                     doc = ids[np.searchsorted(off, pos[order], "right") - 1]
                     least = np.minimum.reduceat(doc, start)
                     goes = chunks.heard(r["second"])[group] | (doc > least[group])
@@ -183,8 +194,11 @@ def _removed(bits1: int, bits2: int, with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes) of every row."""
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False, wide: bool | None = None) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes) of every row.
+
+    ``wide`` names (128 bits) are used from ``WIDE_BYTES`` on, or as given.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(docs[key].cast("long"), F.lit(_NULL_ID)).alias("id"), docs[text].alias("text"))
     # equal texts: all but the smallest id are copies, named by a marker row that the range sort puts before them
@@ -200,21 +214,22 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     common.free_shuffles(spark)
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     scale = math.log2(max(total, 2))
+    wide = total >= WIDE_BYTES if wide is None else wide
     bits1, bits2 = min(60, max(32, math.ceil(scale) + 9)), min(64, max(40, math.ceil(2 * scale) - 2))
     buckets = 2 * common.partitions(spark)
-    sent = common.mapped(table, _first_messages(bits1, buckets), "bucket int, chunk_id long, body binary")
+    sent = common.mapped(table, _first_messages(bits1, buckets), chunks.SENT)
     first = common.stored(chunks.ask(sent, earlier=False).withColumnRenamed("answers", "first").withColumnRenamed("chunk_id", "f_id"), "repeats-first")
     del sent
     common.free_shuffles(spark)
     known = table.join(first, F.col("chunk_id") == F.col("f_id"), "left").drop("f_id")
-    sent = common.mapped(known, _second_messages(bits1, bits2, buckets), "bucket int, chunk_id long, body binary")
+    sent = common.mapped(known, _second_messages(bits1, bits2, wide, buckets), chunks.SENT)
     second = common.stored(chunks.ask(sent, earlier=True).withColumnRenamed("answers", "second").withColumnRenamed("chunk_id", "s_id"), "repeats-second")
     del sent, known
     common.free_shuffles(spark)
     both = first.join(second, F.col("f_id") == F.col("s_id"), "left").drop("s_id")
     known = table.join(both, F.col("chunk_id") == F.col("f_id"), "left").drop("f_id")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    out = common.mapped(known, _removed(bits1, bits2, with_text), schema)
+    out = common.mapped(known, _removed(bits1, bits2, wide, with_text), schema)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != _NULL_ID, F.col("doc_id")))
 
 
