@@ -62,8 +62,10 @@ class Tokenizer:
     """ids(text) for whole texts, remembering the ids of words in two generations of ``remembered`` words.
 
     A word of Latin letters and then ASCII marks is its letters and its marks for
-    the tokenizer as well, so both are looked up alone and go to the merge model
-    without the steps before it; every other word takes the whole tokenizer.
+    the dealt tokenizer as well, so both are looked up alone and go to the merge model
+    without the steps before it; every other word takes the whole tokenizer.  Both
+    shortcuts, words and their parts, are tried on probes when a tokenizer is loaded
+    and are not taken where they give other ids than the tokenizer itself.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -73,6 +75,18 @@ class Tokenizer:
         self.merge = self.loaded.model.tokenize
         letters = byte_letters()
         self.letters = [letters[b] for b in range(256)]
+        self.by_word = self.by_part = True
+        probes = [f"{a}{b}{c}" for a in ("", "t", "Te") for b in _PROBED for c in ("", "s", "s.", ",)")]
+        try:
+            self.by_part = all(self.ids(w).tolist() == self.encoded(w) for w in probes)
+        except Exception:  # another kind of model
+            self.by_part = False
+        self.known, self.old = {}, {}
+        self.by_word = all(self.ids(t).tolist() == self.encoded(t) for t in (" ".join(probes), "\n\n".join(probes), "\t " + "  ".join(probes) + " \u3000a\xa0"))
+        self.known, self.old = {}, {}
+
+    def encoded(self, text: str) -> list[int]:
+        return self.loaded.encode(text, add_special_tokens=False).ids
 
     def part(self, part: str) -> bytes:
         found = self.known.get(part) or self.old.get(part)
@@ -86,15 +100,17 @@ class Tokenizer:
         found = self.old.get(word)
         if found is None:
             plain = _PLAIN.match(word)
-            if plain:
+            if plain and self.by_part:
                 found = self.part(plain[1].lower())
                 if plain[2]:
                     found += self.part(plain[2])
             else:
-                found = np.array(self.loaded.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
+                found = np.array(self.encoded(word), np.uint32).tobytes()
         self.known[word] = found
 
     def ids(self, text: str) -> np.ndarray:
+        if not self.by_word:
+            return np.array(self.encoded(text), np.uint32)
         parts = text.split() if text.isascii() and not _ODD.search(text) else _SPLIT.split(text)
         known = self.known
         try:
@@ -109,6 +125,8 @@ class Tokenizer:
 
 
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!\"#$%&()*+,./:;=?@\\[\\]^_`{|}~-]*)\\Z")
+#: Letters and marks that the shortcuts must give the tokenizer's own ids for.
+_PROBED = [chr(c) for c in [*range(0x21, 0x7F), *range(0xC0, 0x100)]]
 #: str.split() also splits here, the tokenizer's white space does not
 _ODD = re.compile("[\x1c-\x1f]")
 _loaded: dict[str, Tokenizer] = {}
