@@ -8,11 +8,13 @@ with ``RECALL``.  A block of one cell and the queries that visit it meet as two
 matrices; what leaves is one count a vector and a spanning forest of the links,
 never the links themselves.  A link seen from one side only is counted at both.
 
-Defined cases: null labels and vectors that are null, zero, of another length or
-hold null or non-finite components link with nothing and stay; repeated rows are
-separate vectors and link as equal ones do; a null id is kept, links with
-nothing and has a null component; an empty table gives an empty result; other
-columns are not read.
+Defined cases: null labels and vectors that are null, zero or hold null or
+non-finite components link with nothing and stay, and so do vectors of different
+lengths; rows that share an id are vectors of their own (equal ones link as equal
+vectors do, the component is the smallest id of its rows, and each row whose id
+that is stays); a null id is kept, links with nothing and has a null component;
+labels may be of any type that has a text; an empty table gives an empty result;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from . import common, vectors
 
 LIMIT = 0.93
-CENTROIDS = 8
+CELL_ROWS = 64
 RECALL = 0.995
 
 
@@ -35,7 +37,7 @@ def reach(index: vectors.MultiIndex, sample: np.ndarray, limit: float, recall: f
     x = sample[:2000]
     noise = rng.normal(size=x.shape)
     noise -= (noise * x).sum(1, keepdims=True) * x
-    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    noise /= np.maximum(np.linalg.norm(noise, axis=1, keepdims=True), 1e-300)
     moved = limit * x + np.sqrt(1 - limit * limit) * noise
     total = sums(index, x)
     mine = total[np.arange(len(x)), index.cells(moved)]
@@ -49,13 +51,15 @@ def sums(index: vectors.MultiIndex, x: np.ndarray) -> np.ndarray:
 
 
 def _unit(batches):
+    """Vectors of length one; a batch may hold vectors of several numbers of components, none of none."""
     for batch in batches:
-        x = vectors.matrix(batch.column("v"))
-        x = x / np.abs(x).max(axis=1, keepdims=True)
-        x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
-        flat = pa.array(x.reshape(-1))
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), flat)
-        yield batch.set_column(batch.schema.get_field_index("v"), "v", lists)
+        at = batch.schema.get_field_index("v")
+        size = np.asarray(batch.column(at).value_lengths().to_numpy(zero_copy_only=False), np.int64)
+        x = np.asarray(batch.column(at).flatten().to_numpy(zero_copy_only=False), np.float64)
+        first = np.cumsum(size) - size
+        for scale in (lambda v: np.maximum.reduceat(np.abs(v), first), lambda v: np.sqrt(np.add.reduceat(v * v, first))):
+            x = x / np.repeat(scale(x), size) if len(x) else x
+        yield batch.set_column(at, "v", pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.array(x)))
 
 
 def _walks(index, cells: int):
@@ -81,7 +85,7 @@ def _walks(index, cells: int):
                 ids, times = np.array(r["id"], np.int64), np.array(r["times"], np.int64)
                 for cell, who in visits.items():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r["label"]], pa.int64()), pa.array([r["cell"]], pa.int32()), pa.array([cell], pa.int32()),
+                        [pa.array([r["label"]], pa.string()), pa.array([r["cell"]], pa.int32()), pa.array([cell], pa.int32()),
                          pa.array([ids[who].tobytes()], pa.binary()), pa.array([times[who].tobytes()], pa.binary()), pa.array([x[who].tobytes()], pa.binary())],
                         ["q_label", "from_cell", "q_cell", "q_ids", "q_times", "q_vs"],
                     )
@@ -146,28 +150,33 @@ def _linked(index, cells: int, limit: float):
     return run
 
 
-def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", limit: float = LIMIT, recall: float = RECALL) -> DataFrame:
-    """(key, n_links, component_id, kept) for every row of ``table``."""
-    spark = table.sparkSession
-    rows = table.select(table[key].cast("long").alias("id"), table[vector].alias("v"), table[label].cast("long").alias("label"))
-    marked = rows.select("id", "label", F.xxhash64("v").alias("h1"), F.xxhash64("v", F.lit(1)).alias("h2"))
-    part = vectors.taking_part(rows.where("label IS NOT NULL"))
-    hashed = part.select("id", "v", "label", F.xxhash64("v").alias("h1"), F.xxhash64("v", F.lit(1)).alias("h2"))
-    classes = common.stored(hashed.groupBy("label", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("times")), "embdup-classes")
-    heads = part.join(classes.select("rep", "times", F.col("label").alias("r_label")), (F.col("id") == F.col("rep")) & (F.col("label") == F.col("r_label")))
-    heads = heads.dropDuplicates(["label", "id"]).select("id", "v", "label", "times")
-    units = common.stored(common.mapped(heads.select("id", F.col("v").cast("array<double>").alias("v"), "label", "times"), _unit, "id long, v array<double>, label long, times long"), "embdup-units")
-    index, sample = vectors.codebooks(units, CENTROIDS)
-    if index is None:
-        return rows.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+def _links(units: DataFrame, count: int, limit: float, recall: float) -> DataFrame:
+    """(a, n, b): counts of links of a vector (n) and edges of a forest (b) among vectors of one length."""
+    spark = units.sparkSession
+    index, sample = vectors.codebooks(units, vectors.centroids_for(count, CELL_ROWS))
     cells = reach(index, sample, limit, recall)
     shared = spark.sparkContext.broadcast(index)
     packed, _ = vectors.blocks(units, shared, ("label",))
     packed = common.stored(packed, "embdup-blocks")
-    walks = common.mapped(packed.repartition(common.partitions(spark)), _walks(shared, cells), "q_label long, from_cell int, q_cell int, q_ids binary, q_times binary, q_vs binary")
+    walks = common.mapped(packed.repartition(common.partitions(spark)), _walks(shared, cells), "q_label string, from_cell int, q_cell int, q_ids binary, q_times binary, q_vs binary")
     met = walks.join(packed, (F.col("q_label") == F.col("label")) & (F.col("q_cell") == F.col("cell")))
-    found = common.mapped(met.select("from_cell", "q_ids", "q_times", "q_vs", "id", "times", "v"), _linked(shared, cells, limit), "a long, n long, b long")
-    found = common.stored(found, "embdup-found")
+    return common.mapped(met.select("from_cell", "q_ids", "q_times", "q_vs", "id", "times", "v"), _linked(shared, cells, limit), "a long, n long, b long")
+
+
+def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", limit: float = LIMIT, recall: float = RECALL) -> DataFrame:
+    """(key, n_links, component_id, kept) for every row of ``table``."""
+    spark = table.sparkSession
+    named = table.select(table[key].cast("long").alias("vec"), table[vector].alias("v"), table[label].cast("string").alias("label"))
+    rows = common.keyed(named, "embdup", "vec").withColumnRenamed(common.ROW_KEY, "id")
+    hashed = rows.select("vec", "id", "v", "label", F.xxhash64("v").alias("h1"), F.xxhash64("v", F.lit(1)).alias("h2"))
+    part = vectors.taking_part(hashed.where("label IS NOT NULL AND vec IS NOT NULL"))
+    classes = common.stored(part.groupBy("label", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("times")), "embdup-classes")
+    heads = part.join(classes.select("rep", "times"), F.col("id") == F.col("rep")).select("id", F.col("v").cast("array<double>").alias("v"), "label", "times")
+    units = common.stored(common.mapped(heads, _unit, "id long, v array<double>, label string, times long"), "embdup-units")
+    found = spark.createDataFrame([], "a long, n long, b long")
+    for _, same, _ in vectors.by_length(units):
+        largest = same.groupBy("label").count().agg(F.max("count")).first()[0]
+        found = found.unionByName(common.stored(_links(same, largest, limit, recall), "embdup-found"))
     counts = found.where("n IS NOT NULL").groupBy(F.col("a").alias("n_id")).agg(F.sum("n").alias("n"))
     label_of = common.components(found.where("b IS NOT NULL").select("a", "b"), "embdup").withColumnRenamed("id", "l_id")
     settled = classes.join(counts, F.col("rep") == F.col("n_id"), "left").join(label_of, F.col("rep") == F.col("l_id"), "left").select(
@@ -175,11 +184,16 @@ def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedd
         (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("links"), F.coalesce("component", "rep").alias("group"),
     )
     settled = common.stored(settled, "embdup-settled")
-    same = (F.col("label") == F.col("s_label")) & (F.col("h1") == F.col("s1")) & (F.col("h2") == F.col("s2")) & F.col("id").isNotNull()
-    group = F.coalesce("group", "id")
-    return marked.join(settled, same, "left").select(
-        F.col("id").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), group.alias("component_id"), F.coalesce(F.col("id") == group, F.lit(True)).alias("kept")
-    )
+    same = (F.col("label") == F.col("s_label")) & (F.col("h1") == F.col("s1")) & (F.col("h2") == F.col("s2")) & F.col("vec").isNotNull()
+    out = hashed.drop("v").join(settled, same, "left").select("vec", "id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("group", "id").alias("group"))
+    # where ids repeat, rows have keys of their own: the component takes the smallest id of its rows
+    if hashed.where("id <> vec OR vec IS NULL").limit(1).count():
+        out = common.stored(out, "embdup-rows")
+        least = out.groupBy(F.col("group").alias("g")).agg(F.min("vec").alias("component_id"))
+        out = out.join(least, F.col("group") == F.col("g"))
+    else:
+        out = out.withColumn("component_id", F.col("group"))
+    return out.select(F.col("vec").alias(key), "n_links", "component_id", F.coalesce(F.col("vec") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def op8_embdup(spark, sf_dir: str) -> DataFrame:

@@ -8,14 +8,16 @@ halves' inner products with the centroids.  All visited rows are scored exactly
 in double precision on the original vectors.
 
 Defined cases: fewer than k candidates give all; ties go to the smaller id;
-vectors that are null, zero, of another length or hold null or non-finite
-components, and rows without an id, take no part; repeated ids are separate
+vectors that are null, zero or hold null or non-finite components, and rows
+without an id, take no part; vectors of different lengths are searched apart; repeated ids are separate
 rows, of which a query skips those with its own id; an empty table gives an
 empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,13 +26,14 @@ from pyspark.sql import functions as F
 from . import common, vectors
 
 NEIGHBOURS = 20
-RECALL = 0.97
+RECALL = 0.96
 PROBES = 256
 
 
 def visited_share(index: vectors.MultiIndex, sample: np.ndarray, k: int, recall: float) -> float:
     """The share of rows, in the order of traversal, that holds ``recall`` of the k nearest."""
-    if len(sample) <= 50 * k:
+    k = min(k, len(sample) - 1)
+    if k < 1:
         return 1.0
     cells = index.cells(sample)
     size = np.bincount(cells, minlength=len(index.books[0]) * len(index.books[1]))
@@ -108,7 +111,7 @@ def _scored(k: int):
                     good = np.flatnonzero(ids != q)
                     rough = near[i, good]
                     if len(good) > k:
-                        good = good[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - 1e-9]
+                        good = good[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - 1e-12 * np.sqrt((x[i] @ x[i]) * (rows[good] * rows[good]).sum(axis=1).max())]
                     exact = (rows[good] * x[i]).sum(axis=1)  # one order of summing, so that equal vectors tie
                     found, score = ids[good], exact
                     if q in kept:
@@ -124,15 +127,20 @@ def _scored(k: int):
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score) for ``queries`` against ``rows``, both (id, v)."""
+    parts = [_nearest(part, queries.where(F.size("v") == n), count, k, recall) for n, part, count in vectors.by_length(rows)]
+    if not parts:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _nearest(rows: DataFrame, queries: DataFrame, count: int, k: int, recall: float) -> DataFrame:
+    """``nearest`` among vectors of one length."""
     spark = rows.sparkSession
-    empty = "query_id long, rank int, vec_id long, score double"
-    index, sample = vectors.codebooks(rows)
-    if index is None:
-        return spark.createDataFrame([], empty)
+    index, sample = vectors.codebooks(rows, vectors.centroids_for(count))
     share = visited_share(index, sample, k, recall)
     shared = spark.sparkContext.broadcast(index)
     packed, cells = vectors.blocks(rows, shared)
-    sizes = {r["cell"]: (r["rows"], r["blocks"]) for r in cells.collect()}  # centroids squared at most
+    sizes = {r["cell"]: (r["rows"], r["blocks"]) for r in cells.collect()}  # MOST_CENTROIDS squared at most
     asked = common.mapped(queries.select("id", "v"), _asked(shared, sizes, share, k), "q_cell int, q_block int, q_ids binary, q_vs binary")
     packed = packed.select("cell", "block", F.col("id").alias("ids"), F.col("v").alias("vs"))
     met = asked.join(packed, (F.col("q_cell") == F.col("cell")) & (F.col("q_block") == F.col("block")))

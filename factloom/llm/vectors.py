@@ -5,9 +5,13 @@ bounded sample of ``SAMPLE`` vectors), so the cells are pairs of centroids.  A
 query walks the cells by the multi-sequence method: both halves' centroids are
 sorted by their own score and a heap yields pairs by the sum, best first.
 
+The codebooks grow with the rows, so that a cell holds about ``CELL_ROWS`` rows as
+far as ``MOST_CENTROIDS`` go: the driver sees one count a cell, a bounded number.
+
 Vectors are kept in blocks of at most ``BLOCK`` rows of one cell, so a cell that
 holds a third of all rows is many blocks, and a query meets blocks, not rows.
-Vectors that are null, zero or hold null or non-finite components take no part.
+Vectors that are null, zero or hold null or non-finite components take no part;
+vectors of different lengths never meet: each length is a table of its own.
 """
 
 from __future__ import annotations
@@ -22,7 +26,8 @@ from pyspark.sql import functions as F
 from . import common
 
 SAMPLE = 20_000
-CENTROIDS = 16
+CELL_ROWS = 200
+LEAST_CENTROIDS, MOST_CENTROIDS = 4, 512
 BLOCK = 256
 
 
@@ -57,7 +62,7 @@ def k_means(points: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.n
 class MultiIndex:
     """The two codebooks; a cell is a pair of centroids."""
 
-    def __init__(self, sample: np.ndarray, centroids: int = CENTROIDS):
+    def __init__(self, sample: np.ndarray, centroids: int = 16):
         self.half = sample.shape[1] // 2
         self.books = [k_means(part, centroids) for part in self.halves(sample)]
 
@@ -120,7 +125,11 @@ def blocks(rows: DataFrame, index, extra: tuple[str, ...] = (), block: int = BLO
     return packed.select(*extra, "cell", "block", *[F.col(f"members.{c}").alias(c) for c in others]), cells
 
 
-def codebooks(rows: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) -> tuple[MultiIndex, np.ndarray] | tuple[None, None]:
+def centroids_for(rows: int, cell_rows: int = CELL_ROWS) -> int:
+    return int(min(max(np.sqrt(rows / cell_rows), LEAST_CENTROIDS), MOST_CENTROIDS))
+
+
+def codebooks(rows: DataFrame, centroids: int, sample: int = SAMPLE) -> tuple[MultiIndex, np.ndarray] | tuple[None, None]:
     """A MultiIndex fitted on at most ``sample`` rows (id, v), drawn by hash, and those rows."""
     drawn = rows.select("v", F.xxhash64("id", F.lit(3)).alias("draw"), "id").orderBy("draw", "id").limit(sample).select("v").toArrow()
     points = matrix(drawn.column("v"))
@@ -128,7 +137,11 @@ def codebooks(rows: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE)
 
 
 def taking_part(rows: DataFrame) -> DataFrame:
-    """Rows (id, v) that take part: usable, and of the table's largest length."""
-    good = rows.where("id IS NOT NULL").where(usable(F.col("v")))
-    length = good.agg(F.max(F.size("v"))).first()[0]
-    return good.where(F.size("v") == F.lit(length or 0))
+    """Rows (id, v, ...) that take part."""
+    return rows.where("id IS NOT NULL").where(usable(F.col("v")))
+
+
+def by_length(rows: DataFrame) -> list[tuple[int, DataFrame, int]]:
+    """``rows`` cut by the length of their vectors, as (length, rows, number of rows)."""
+    sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy("n").collect()  # one row for each length
+    return [(r["n"], rows.where(F.size("v") == r["n"]), r["rows"]) for r in sizes]
