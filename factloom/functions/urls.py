@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Suffixes of two labels under which a name is registered.
-TWO_LEVEL = ["co.jp", "or.jp", "ne.jp", "go.jp", "ac.jp", "gr.jp", "lg.jp"]
+TWO_LEVEL = ["co.jp", "or.jp", "ne.jp", "go.jp", "ac.jp", "ed.jp", "co.uk"]
 
 
 def host(u: Column) -> Column:
