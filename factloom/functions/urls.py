@@ -47,7 +47,8 @@ def core(h: Column) -> Column:
     """The registered label of a host."""
     labels = F.split(h, "\\.")
     two = F.array_join(F.slice(labels, -2, 2), ".").isin(TWO_LEVEL)
-    return F.when(F.size(labels) < 2, h).otherwise(F.coalesce(F.when(two, F.try_element_at(labels, F.lit(-3))), F.try_element_at(labels, F.lit(-2))))
+    # without a label before the suffix there is none
+    return F.coalesce(F.when(two, F.try_element_at(labels, F.lit(-3))).otherwise(F.try_element_at(labels, F.lit(-2))), F.lit(""))
 
 
 def same_brand(a: Column, b: Column) -> Column:

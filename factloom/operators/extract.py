@@ -5,16 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import urls
-
-# Words in links, by what they lead to, in the order they are tried.
-KINDS = {
-    "ir": "(/ir/|investor)", "recruit": "(recruit|career|/jobs?/)", "privacy": "(privacy|policy)", "press": "(press|media|/pr/)",
-    "support": "(support|help|faq)", "english": "(/en/|english)", "service": "(/service|/product)",
-}
-CONTACT_WORDS = ["お問い合わせ", "お問合せ", "contact", "inquiry"]
-FORM_WORDS = "お名前|会社名|メールアドレス|お問い合わせ内容|電話番号|送信|name|e-?mail|message|submit"
-
+from ..functions import text, urls
 
 def anchors(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, pos, href, text) of every link of raw HTML, in order."""
@@ -24,23 +15,6 @@ def anchors(pages: DataFrame, key: str, html: str) -> DataFrame:
     return rows.select(key, "pos", F.regexp_extract("tag", tag, 1).alias("href"), F.regexp_extract("tag", tag, 2).alias("text"))
 
 
-def link_kind(url: Column, text: Column, kinds: dict[str, str] = KINDS) -> Column:
-    """The first class whose words the link has; null for none."""
-    both = F.concat_ws(" ", F.lower(url), F.lower(text))
-    out = None
-    for name, words in kinds.items():
-        out = F.when(both.rlike(words), name) if out is None else out.when(both.rlike(words), name)
-    return out
-
-
-def contact_score(href: Column, text: Column, same: Column) -> Column:
-    """Wording 3, address 2, path 2, same site 1, exact wording 2, minus 6 where the purpose is limited."""
-    low, words = F.lower(text), "|".join(CONTACT_WORDS)
-    score = F.when(low.rlike(words), 3).otherwise(0) + F.when(F.lower(href).rlike(words), 2).otherwise(0) + F.when(same, 1).otherwise(0)
-    score = score + F.when(F.lower(href).rlike("/(contact|inquiry)/?$"), 2).otherwise(0) + F.when(low.isin(CONTACT_WORDS), 2).otherwise(0)
-    return score - F.when(link_kind(href, text).isNotNull(), 6).otherwise(0)
-
-
 def top_links(links: DataFrame, page: str, url: str, score: str, pos: str, k: int) -> DataFrame:
     """Distinct urls of a page by score, then position; the best k with a positive score."""
     per_url = Window.partitionBy(page, url).orderBy(F.desc(score), pos)
@@ -55,11 +29,34 @@ def near_same(a: Column, b: Column, limit: float = 0.8) -> Column:
     return (F.size(a) > 0) & (F.size(b) > 0) & (both >= either * limit)
 
 
-def contact_page(text: Column, top: Column, guessed: Column, redirected: Column) -> Column:
-    """Does a page look like a contact form: not the top page, enough form words."""
-    words = F.size(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(FORM_WORDS), F.lit(0))))
-    enough = F.when(guessed, (words >= 2) | ((words >= 1) & F.contains(text, F.lit("@")))).otherwise(words >= 1)
-    return ~(guessed & redirected) & ~near_same(F.split(text, "\n"), F.split(top, "\n")) & enough
+def same_pages(docs: DataFrame, key: str, body: str, limit: float = 0.8) -> DataFrame:
+    """(key, class_id, n_links): documents by equal sets of lines, and how many others are like each by Jaccard of lines.
+
+    Equal sets are one class.  Two classes at the limit share one of their rarest lines: of a set of n lines the first
+    n - ceil(limit * n) + 1 in the order of rarity meet each other, so that a line that many pages share is seldom met.
+    Every pair that meets there is checked on the full sets, in its first common line only.
+    """
+    rows = docs.select(F.col(key).alias("id"), F.array_sort(F.array_distinct(text.lines(F.col(body)))).alias("lines"))
+    named = rows.withColumn("h", F.xxhash64("lines")).withColumn("h2", F.xxhash64("lines", F.lit(1)))
+    classes = named.where(F.size("lines") > 0).groupBy("h", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("times"), F.any_value("lines").alias("lines"))
+    hashed = classes.select("rep", "times", F.transform("lines", lambda x: F.xxhash64(x)).alias("set"))
+    counts = hashed.select(F.explode("set").alias("line")).groupBy("line").agg(F.count("*").alias("n"))
+    dealt = hashed.select("rep", F.explode("set").alias("line")).join(counts, "line")
+    rare = dealt.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "line"))).alias("r"))
+    kept = F.size("r") - F.ceil(F.lit(limit) * F.size("r")).cast("int") + 1
+    prefix = rare.select("rep", F.transform(F.slice("r", F.lit(1), kept), lambda x: x["line"]).alias("prefix"))
+    sets = hashed.join(prefix, "rep")
+    met = sets.select("rep", "times", "set", "prefix", F.explode("prefix").alias("line"))
+    a, b = (met.select("line", *[F.col(c).alias(f"{s}_{c}") for c in ("rep", "times", "set", "prefix")]) for s in ("a", "b"))
+    fits = (F.size("a_set") >= F.lit(limit) * F.size("b_set")) & (F.size("b_set") >= F.lit(limit) * F.size("a_set"))
+    pairs = a.join(b, "line").where((F.col("a_rep") < F.col("b_rep")) & fits)
+    first = F.array_min(F.array_intersect("a_prefix", "b_prefix")) == F.col("line")
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    like = pairs.where(first & (both >= F.lit(limit) * (F.size("a_set") + F.size("b_set") - both)))
+    sides = like.select(F.explode(F.array(F.struct(F.col("a_rep").alias("rep"), F.col("b_times").alias("n")), F.struct(F.col("b_rep").alias("rep"), F.col("a_times").alias("n")))).alias("s")).select("s.*")
+    more = sides.groupBy("rep").agg(F.sum("n").alias("more")).withColumnRenamed("rep", "_m")
+    settled = classes.join(more, F.col("rep") == F.col("_m"), "left").select("h", "h2", "rep", (F.col("times") - 1 + F.coalesce("more", F.lit(0))).alias("links"))
+    return named.join(settled, ["h", "h2"], "left").select(F.col("id").alias(key), F.coalesce("rep", "id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def segments(lines: DataFrame, doc: str, pos: str, starts: Column) -> DataFrame:
@@ -98,5 +95,14 @@ def classify(text: Column, rules: dict[str, list[list[str]]]) -> Column:
     return F.array_compact(F.array(*found))
 
 
+def keywords(text: Column, rules: dict[str, list[list[str]]]) -> Column:
+    """The words that make the labels of ``classify``, label by label."""
+    found = []
+    for label, groups in rules.items():
+        own = F.concat(*[F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(text, F.lower(w))) for words in groups])
+        found.append(F.when(F.array_contains(classify(text, {label: groups}), label), own).otherwise(F.array().cast("array<string>")))
+    return F.array_distinct(F.concat(*found))
+
+
 def same_site_link(base: Column, href: Column) -> Column:
     return F.startswith(href, F.lit("/")) | F.coalesce(urls.same_site(urls.domain(base), urls.domain(href)), F.lit(False))

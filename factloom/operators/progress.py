@@ -46,15 +46,65 @@ def fold(runs: DataFrame) -> DataFrame:
     return ordered.select("key", F.aggregate("runs", empty, go).alias("s")).select("key", "s.*")
 
 
+EMPTY_LIST = "一覧から1社も取れなかった（ページ構造の変更・遮断画面・空の一覧のいずれか）"
+
+
+def apply_run(prev: Column, found: Column, errors: Column, last_page: Column, at: Column) -> Column:
+    """The record of a list after one more run (``prev`` null: the first).
+
+    Nothing found and an error, or nothing at the very first place, is a failure and the place stays; nothing later is the end;
+    else the place moves on: to the next page, or by what was found.
+    """
+    p = lambda name, default: F.coalesce(prev[name], F.lit(default))
+    error = F.substring(F.regexp_replace(F.try_element_at(errors, F.lit(1)), "^\\s*!\\s*", ""), 1, 200)
+    nothing, bad = found == 0, F.size(errors) > 0
+    fresh = (p("found", 0) == 0) & (p("nextPage", 1) == 1) & (p("offset", 0) == 0)
+    failed = nothing & (bad | fresh)
+    moved = ~nothing
+    return F.struct(
+        F.when(moved & last_page.isNotNull(), last_page + 1).otherwise(p("nextPage", 1)).cast("int").alias("nextPage"),
+        F.when(moved & last_page.isNull(), p("offset", 0) + found).otherwise(p("offset", 0)).cast("int").alias("offset"),
+        (p("found", 0) + F.when(moved, found).otherwise(0)).cast("int").alias("found"), (p("exhausted", False) | (nothing & ~failed)).alias("exhausted"),
+        F.when(failed, p("failures", 0) + 1).otherwise(0).cast("int").alias("failures"), F.when(failed & ~bad, EMPTY_LIST).otherwise(error).alias("lastError"),
+        F.when(failed, at).alias("failedAt"), (p("runs", 0) + 1).cast("int").alias("runs"), at.alias("lastAt"),
+    )
+
+
+def apply_runs(records: DataFrame, runs: DataFrame) -> DataFrame:
+    """Records (key, ...) after one run each (key, found, errors, last_page, at); new keys start, others stay as they are."""
+    old = records.select(F.col("key").alias("_k"), F.struct(*[c for c in records.columns if c != "key"]).alias("_prev"))
+    met = runs.join(old, F.col("key") == F.col("_k"), "left")
+    new = met.select("key", apply_run(F.col("_prev"), F.col("found"), F.col("errors"), F.col("last_page"), F.col("at")).alias("r")).select("key", "r.*")
+    return records.join(runs.select("key"), "key", "left_anti").select(new.columns).unionByName(new)
+
+
+def key_of(category: Column, source: Column, url: Column, keyword: Column) -> Column:
+    """The key of a list's record: category, source, and its url or keyword."""
+    return F.concat_ws("|", category, source, F.coalesce(url, keyword))
+
+
+def skip_reason(record: Column, now: Column, refresh: bool = False, retry_failed: bool = False, hours: int = 24, least: int = 2) -> Column:
+    """exhausted, failing or null (read it)."""
+    cooling = skips(record["failures"], record["failedAt"], now, hours, least)
+    out = F.lit(None).cast("string")
+    if not retry_failed:
+        out = F.when(cooling, "failing").otherwise(out)
+    return out if refresh else F.when(F.coalesce(record["exhausted"], F.lit(False)), "exhausted").otherwise(out)
+
+
 def skips(failures: Column, failed_at: Column, now: Column, hours: int = 24, least: int = 2) -> Column:
     """Two failures or more, the last within the cooldown."""
     return (failures >= least) & (failed_at > now - F.expr(f"INTERVAL {hours} HOURS"))
 
 
-def trips(log: DataFrame, host: str, seq: str, refused: Column, run: int = 3) -> DataFrame:
-    """Hosts with ``run`` refusals in a row, and the request at which the breaker trips first."""
+def trips(log: DataFrame, host: str, seq: str, refused: Column, succeeded: Column | None = None, run: int = 3) -> DataFrame:
+    """Hosts with ``run`` refusals without a success between them, and the request at which the breaker trips first.
+
+    Only a success starts the count anew; other failures neither count nor reset (without ``succeeded``: whatever is no refusal is one).
+    """
     w = Window.partitionBy(host).orderBy(seq)
-    marked = log.withColumn("_bad", refused).withColumn("_island", F.sum(F.when(~F.col("_bad"), 1).otherwise(0)).over(w))
+    fine = ~refused if succeeded is None else succeeded
+    marked = log.withColumn("_bad", refused).withColumn("_island", F.sum(F.when(fine, 1).otherwise(0)).over(w))
     inside = Window.partitionBy(host, "_island").orderBy(seq)
     counted = marked.where("_bad").withColumn("_n", F.row_number().over(inside))
     return counted.where(F.col("_n") == run).groupBy(host).agg(F.min(seq).alias("tripped_at"))

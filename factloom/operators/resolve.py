@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import geo, text
 from .fusion import first_of
 
 
@@ -46,3 +47,98 @@ def two_step_match(rows: DataFrame, entities: DataFrame, raw: str, normal: Colum
     names = entities.select(F.col(key).alias("_k"))
     raws = rows.join(names, F.col(raw) == F.col("_k"), "left").withColumnRenamed("_k", "_raw").withColumn("_normal", normal)
     return raws.join(names, F.col("_normal") == F.col("_k"), "left").withColumn("matched", F.coalesce("_raw", "_k")).drop("_raw", "_normal", "_k")
+
+
+# ------------------------------------------------ picking a row of a registry by name
+
+
+def _known(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows with ``known``: the addresses that an entity has from other sources (entity_key, addresses)."""
+    return rows.join(known, "entity_key", "left").withColumn("known", F.coalesce("addresses", F.array().cast("array<string>"))).drop("addresses")
+
+
+def by_name(entities: DataFrame, rows: DataFrame) -> DataFrame:
+    """Registry rows (name, ...) that have an entity's name once both are normalised; what stands in brackets is not part of a name."""
+    key = lambda c: text.normalize_name(text.half(F.regexp_replace(c, "[（(].*[）)]", "")))
+    left = entities.select("entity_key", key(F.col("name")).alias("_key")).where("_key <> ''")
+    return left.join(rows.withColumn("_key", text.normalize_name(text.half("name"))), "_key").drop("_key")
+
+
+def _first(rows: DataFrame, order: list[Column]) -> DataFrame:
+    return first_of(rows, ["entity_key"], order)
+
+
+def pick_registry(matched: DataFrame, known: DataFrame, seq: str = "seq") -> DataFrame:
+    """gbizinfo: closed companies left out; with known addresses only rows of their prefecture and city, else those in Tokyo if several; a row with a headcount first."""
+    rows = _known(matched.where(~F.col("name").contains("閉鎖")), known)
+    count = Window.partitionBy("entity_key")
+    pref, city = geo.prefecture(F.col("address")), geo.city(F.col("address"))
+    near = F.exists("known", lambda k: (geo.prefecture(k) == pref) & F.coalesce(geo.prefix_of_other(geo.city(k), city), F.lit(True)))
+    rows = rows.withColumn("same_name", F.count("*").over(count)).withColumn("_tokyo", F.coalesce(pref == "東京都", F.lit(False))).withColumn("_any", F.max("_tokyo").over(count))
+    fits = F.when(F.size("known") > 0, F.coalesce(near, F.lit(False))).otherwise(F.col("_tokyo") | (F.col("same_name") == 1) | ~F.col("_any"))
+    return _first(rows.where(fits), [F.col("employees").isNull(), F.col(seq)]).drop("_tokyo", "_any", "known")
+
+
+def pick_filer(matched: DataFrame, known: DataFrame) -> DataFrame:
+    """edinet: companies only, names of two letters or more; the one row whose place agrees with a known address, or the only row where none is known."""
+    rows = _known(matched.where((F.col("kind") == "内国法人・組合") & (F.length(text.normalize_name(text.half("name"))) >= 2)), known)
+    w = Window.partitionBy("entity_key")
+    near = F.exists("known", lambda k: geo.same_location(k, F.col("address")))
+    rows = rows.withColumn("same_name", F.count("*").over(w)).withColumn("by_address", F.size("known") > 0)
+    kept = rows.where(F.when(F.col("by_address"), near).otherwise(F.col("same_name") == 1)).withColumn("_n", F.count("*").over(w)).where("_n = 1")
+    return kept.withColumn("same_name", F.when(F.col("by_address"), F.col("same_name")).otherwise(1)).withColumn("address", geo.with_prefecture(F.col("address"), F.col("known"))).drop("_n", "known")
+
+
+def heading_keys(title: Column) -> Column:
+    """mynavi: the names that a listing's title holds: outside 【…】, and each part inside, without [...]."""
+    bare = F.regexp_replace(text.half(title), "\\[[^\\]]*\\]", "")
+    inner = F.flatten(F.transform(F.regexp_extract_all(bare, F.lit("【([^】]*)】"), F.lit(1)), lambda x: F.split(x, "[／/]")))
+    return F.array_distinct(F.filter(F.transform(F.concat(F.array(F.regexp_replace(bare, "【[^】]*】", "")), inner), text.normalize_name), lambda x: x != ""))
+
+
+def pick_listing(entities: DataFrame, rows: DataFrame, known: DataFrame, seq: str = "pos") -> DataFrame:
+    """mynavi: the first linked row (name: its title, place, ref) with the entity's name, in a known prefecture where both state one."""
+    key = text.normalize_name(text.half(F.regexp_replace("name", "[（(].*[）)]", "")))
+    left = entities.select("entity_key", key.alias("_key"))
+    dealt = rows.where("ref IS NOT NULL").withColumn("_key", F.explode(heading_keys(F.col("name"))))
+    met = _known(left.join(dealt, "_key").drop("_key"), known)
+    regions = F.filter(F.transform("known", geo.prefecture), lambda p: p.isNotNull())
+    fits = (F.size(regions) == 0) | F.col("place").isNull() | F.exists(regions, lambda p: F.contains(F.col("place"), p))
+    return _first(met.where(fits), [F.col(seq)]).drop("known")
+
+
+def pick_by_prefecture(matched: DataFrame, known: DataFrame, place: str, seq: str = "pos", most: int | None = None) -> DataFrame:
+    """careertasu, openwork (the first three rows): with known addresses the first row of their prefectures, else the first in Tokyo, else the first."""
+    rows = _known(matched, known)
+    if most is not None:
+        rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy("entity_key").orderBy(seq))).where(F.col("_k") <= most).drop("_k")
+    region = F.coalesce(geo.prefecture(F.col(place)), F.col(place))
+    regions = F.filter(F.transform("known", geo.prefecture), lambda p: p.isNotNull())
+    fits = (F.size(regions) == 0) | F.coalesce(F.array_contains(regions, region), F.lit(False))
+    return _first(rows.where(fits), [(F.coalesce(region == "東京都", F.lit(False)) & (F.size(regions) == 0)).desc(), F.col(seq)]).drop("known")
+
+
+def name_index(listed: DataFrame, order: list[str]) -> DataFrame:
+    """salesnow: (key, name, ref) of list pages; of names that repeat the last page's row stays."""
+    rows = listed.withColumn("key", text.normalize_name(text.half("name")))
+    return first_of(rows, ["key"], [F.desc(c) for c in order]).select("key", "name", "ref")
+
+
+def from_index(entities: DataFrame, index: DataFrame) -> DataFrame:
+    """Entities whose key is in the index, with the page that it leads to."""
+    return entities.join(index.select(F.col("key").alias("_k"), "ref"), F.col("entity_key") == F.col("_k")).drop("_k")
+
+
+def merged_by_domain(entities: DataFrame, evidence: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entities (entity_key, name, seq, domain, sources, seeds) of one domain become the first of them; evidence, sources and seeds move to it, in order."""
+    canon = canonical_by_domain(entities, "domain", "entity_key", "seq")
+    to = canon.select(F.col("entity_key").alias("_from"), "canonical", F.col("seq").alias("_seq"))
+    w = Window.partitionBy("canonical").orderBy("_seq", "seq")
+    moved = evidence.join(to, F.col("entity_key") == F.col("_from")).withColumn("_at", F.row_number().over(w))
+    moved = moved.withColumn("seq", F.col("_at").cast("long")).withColumn("entity_key", F.col("canonical")).select(evidence.columns)
+    parts = F.sort_array(F.collect_list(F.struct("seq", "sources", "seeds", "name")))
+    per = canon.groupBy("canonical").agg(parts.alias("p"), F.min("domain").alias("domain"))
+    sources = F.flatten(F.transform("p", lambda x: x["sources"]))
+    links = F.transform(sources, lambda s: s["url"])
+    kept = F.filter(sources, lambda s, i: F.array_position(links, s["url"]) == i + 1)
+    return per.select(F.col("canonical").alias("entity_key"), F.col("p")[0]["name"].alias("name"), F.col("p")[0]["seq"].alias("seq"), "domain", kept.alias("sources"), F.flatten(F.transform("p", lambda x: x["seeds"])).alias("seeds")), moved

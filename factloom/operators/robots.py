@@ -32,18 +32,52 @@ def regex_of(pattern: Column) -> Column:
     return F.concat(F.lit("^"), F.replace(body, F.lit("*"), F.lit(".*")), F.when(ended, "$").otherwise(""))
 
 
-def allowed(requests: DataFrame, rules: DataFrame, key: str, path: str, ident: str, agent: str = "*") -> DataFrame:
-    """requests with ``allowed``; rules of the agent itself go before those of ``*``."""
-    own = rules.where(F.lower("agent") == agent.lower())
+def allowed(requests: DataFrame, rules: DataFrame, key: str, path: str, ident: str, agent: str = "*", files: DataFrame | None = None) -> DataFrame:
+    """requests with ``allowed``; rules of groups that the agent's name holds go before those of ``*``.
+
+    ``path`` is the path with its query.  With ``files`` (key, policy) an origin that is closed, or has no file, allows nothing, and a free one all.
+    """
+    named = rules.where((F.col("agent") != "*") & F.contains(F.lit(agent.lower()), F.lower("agent")))
     general = rules.where("agent = '*'")
-    chosen = own if agent == "*" else own.union(general.join(own.select(key).distinct(), key, "left_anti"))
+    chosen = named.union(general.join(named.select(key).distinct(), key, "left_anti"))
     chosen = chosen.select(F.col(key).alias("_k"), "allow", F.length("pattern").alias("_n"), regex_of(F.col("pattern")).alias("_re"))
     met = requests.join(chosen, (F.col(key) == F.col("_k")) & F.expr(f"{path} rlike _re"), "left")
     best = met.groupBy(ident).agg(F.max(F.when(F.col("_n").isNotNull(), F.struct("_n", "allow"))).alias("_best"))
-    return requests.join(best.select(ident, F.coalesce(F.col("_best.allow"), F.lit(True)).alias("allowed")), ident)
+    out = requests.join(best.select(ident, F.coalesce(F.col("_best.allow"), F.lit(True)).alias("allowed")), ident)
+    if files is None:
+        return out
+    state = files.select(F.col(key).alias("_f"), F.col("policy").alias("_policy"))
+    judged = out.join(state, F.col(key) == F.col("_f"), "left")
+    return judged.withColumn("allowed", F.when(F.col("_policy") == "free", True).when(F.col("_policy") == "rules", F.col("allowed")).otherwise(False)).drop("_f", "_policy")
+
+
+def request_path(url: Column) -> Column:
+    """Path and query of an address, as rules see them."""
+    rest = F.regexp_replace(F.regexp_replace(url, "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", ""), "#.*$", "")
+    return F.when(F.startswith(rest, F.lit("/")), rest).otherwise(F.concat(F.lit("/"), rest))
+
+
+def used_urls(targets: DataFrame, extra: DataFrame) -> DataFrame:
+    """(source, url): addresses that the configuration names (http only) and the paths that a source's reader goes on to."""
+    return targets.where(F.col("url").rlike("^https?:")).select("source", "url").union(extra.select("source", "url")).distinct()
+
+
+def report(files: DataFrame, used: DataFrame, sites: DataFrame) -> DataFrame:
+    """(source, origin, status, error, groups, star_rules, checks): each source's file and whether the addresses used are allowed.
+
+    files: origin, status, text, error; sites: source, origin; used: source, url.
+    """
+    rules = parse(files.where(policy(F.col("status")) == "rules"))
+    star = rules.where("agent = '*'").groupBy("origin").agg(F.count("*").alias("star_rules"))
+    groups = files.select("origin", F.size(F.regexp_extract_all(F.concat(F.lit("\n"), F.lower(F.coalesce("text", F.lit("")))), F.lit("(?:\\nuser-agent[^\\n]*)+"), F.lit(0))).alias("groups"))
+    asked = used.join(sites, "source").withColumn("path", request_path(F.col("url"))).withColumn("ident", F.monotonically_increasing_id())
+    verdict = allowed(asked, rules, "origin", "path", "ident", files=files.select("origin", policy(F.col("status")).alias("policy")))
+    per = verdict.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("url", "allowed"))).alias("checks"))
+    own = sites.join(files.select("origin", "status", "error"), "origin", "left").join(star, "origin", "left").join(groups, "origin", "left").join(per, "source", "left")
+    return own.select("source", "origin", F.coalesce("status", F.lit("error")).alias("status"), "error", F.coalesce("groups", F.lit(0)).alias("groups"), F.coalesce("star_rules", F.lit(0)).cast("long").alias("star_rules"), "checks")
 
 
 def policy(status: Column) -> Column:
     """What a file's status means: its rules, free, or closed."""
     code = status.try_cast("int")
-    return F.when(code == 200, "rules").when(code.isin(404, 410), "free").otherwise("closed")
+    return F.when((code >= 200) & (code < 300), "rules").when(code.isin(404, 410), "free").otherwise("closed")

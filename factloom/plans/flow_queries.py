@@ -35,13 +35,6 @@ def _(spark, d):
     return progress.fold(runs(spark, d)).select("key", "next_page", "found", "exhausted", "failures", "runs")
 
 
-@query("breaker_trips", """WITH m AS (SELECT user_id, event_id, event_type = 'error' AS bad, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM events),
-n AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id, island ORDER BY event_id) AS k FROM m WHERE bad)
-SELECT user_id, min(event_id) AS tripped_at FROM n WHERE k = 3 GROUP BY user_id""")
-def _(spark, d):
-    return progress.trips(table(spark, d, "events"), "user_id", "event_id", F.col("event_type") == "error")
-
-
 @query("incremental_recompute", """SELECT d.doc_id, d.n_chars, l.quality FROM documents d JOIN labels l USING (doc_id) WHERE NOT (d.doc_id % 3 <> 0 AND l.quality = 1)""")
 def _(spark, d):
     rows = table(spark, d, "documents").select("doc_id", "n_chars").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id")
@@ -61,25 +54,6 @@ def _(spark, d):
     return docs.join(last, F.col("doc_id") == F.col("key"), "left").select("doc_id", verify.with_human(F.col("rule"), F.col("decision")).alias("result"))
 
 
-@query("review_counts", """SELECT count(*) FILTER (toxic = 1 AND doc_id < 500) AS applied, count(*) FILTER (toxic = 1 AND doc_id >= 500) AS unknown, count(*) FILTER (toxic = 0) AS skipped FROM labels""")
-def _(spark, d):
-    rows = table(spark, d, "labels").select("doc_id", F.when(F.col("toxic") == 1, "NG").otherwise("").alias("verdict"))
-    return review.counts(rows, table(spark, d, "documents").where("doc_id < 500").select("doc_id"), "doc_id", ["verdict"])
-
-
-@query("review_queue", """WITH v AS (SELECT doc_id, (quality = 0)::INT + (toxic = 1)::INT + (doc_id % 4 = 0)::INT AS open, (doc_id % 9 = 0)::INT AS bad FROM labels),
-u AS (SELECT d.doc_id, (n_chars < 500)::INT + (doc_id % 6 = 0)::INT AS missing FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id))
-SELECT doc_id, CAST(open AS DOUBLE) AS effort, 'verified' AS kind FROM v WHERE open BETWEEN 1 AND 2 AND bad = 0 UNION ALL SELECT doc_id, 1.5::DOUBLE, 'missing' FROM u WHERE missing = 1""")
-def _(spark, d):
-    def flag(c):
-        return F.when(c, 1).otherwise(0)
-
-    labels = table(spark, d, "labels")
-    v = labels.select("doc_id", (flag(F.col("quality") == 0) + flag(F.col("toxic") == 1) + flag(F.col("doc_id") % 4 == 0)).alias("open"), flag(F.col("doc_id") % 9 == 0).alias("bad"))
-    rest = table(spark, d, "documents").join(labels.select("doc_id"), "doc_id", "left_anti")
-    return review.queue(v, rest.select("doc_id", (flag(F.col("n_chars") < 500) + flag(F.col("doc_id") % 6 == 0)).alias("missing")), "doc_id")
-
-
 @query("evidence_replace_source", """SELECT user_id AS entity_key, event_type AS source, count(*) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS total FROM events
   WHERE event_type <> 'view' OR user_id % 2 = 1 GROUP BY ALL UNION ALL SELECT user_id, 'view', CAST(1 AS BIGINT), CAST(7 AS BIGINT) FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 2 = 0)""")
 def _(spark, d):

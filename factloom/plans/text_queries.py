@@ -95,18 +95,6 @@ def _(spark, d):
     return rows.groupBy("doc_id", F.col("block").cast("long").alias("block")).agg(F.count("*").alias("lines"), F.min("pos").alias("first"), F.max("pos").alias("last"))
 
 
-@query("line_jaccard_neardup", """WITH s AS (SELECT doc_id, source, n_chars, list_distinct(list_filter(string_split(text, chr(10)), lambda x: x <> '')) AS ls FROM documents),
-b AS (SELECT *, ls[1] AS head FROM s WHERE len(ls) > 0)
-SELECT a.doc_id AS a, b.doc_id AS b, len(list_intersect(a.ls, b.ls)) AS common FROM b a JOIN b ON a.head = b.head AND a.doc_id < b.doc_id
-WHERE len(list_intersect(a.ls, b.ls)) >= 0.8 * len(list_distinct(list_concat(a.ls, b.ls)))""")
-def _(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", F.array_distinct(F.filter(F.split("text", "\n"), lambda x: x != "")).alias("ls")).where(F.size("ls") > 0)
-    rows = rows.withColumn("head", F.element_at("ls", 1))
-    a, b = (rows.select(F.col("doc_id").alias(n), F.col("ls").alias(f"{n}_ls"), "head") for n in ("a", "b"))
-    met = a.join(b, "head").where("a < b").where(extract.near_same(F.col("a_ls"), F.col("b_ls")))
-    return met.select("a", "b", F.size(F.array_intersect("a_ls", "b_ls")).cast("long").alias("common"))
-
-
 ANCHOR = '<a href="[^"]*"[^>]*>[^<]*</a>'
 
 
@@ -141,13 +129,6 @@ def _(spark, d):
     return met.select("a", "b", urls.same_site(F.col("a"), F.col("b")).alias("same_site"), urls.same_brand(F.col("a"), F.col("b")).alias("same_brand"))
 
 
-@query("contact_kind_case", """SELECT page_id, CASE WHEN regexp_matches(lower(url), '(/ir/|investor)') THEN 'ir' WHEN regexp_matches(lower(url), '(recruit|career|/jobs?/)') THEN 'recruit'
-  WHEN regexp_matches(lower(url), '(privacy|policy)') THEN 'privacy' WHEN regexp_matches(lower(url), '(press|media|/pr/)') THEN 'press' WHEN regexp_matches(lower(url), '(support|help|faq)') THEN 'support'
-  WHEN regexp_matches(lower(url), '(/en/|english)') THEN 'english' WHEN regexp_matches(lower(url), '(/service|/product)') THEN 'service' END AS kind FROM pages""")
-def _(spark, d):
-    return table(spark, d, "pages").select("page_id", extract.link_kind(F.col("url"), F.lit("")).alias("kind"))
-
-
 ROBOTS = "User-agent: *\nDisallow: /en/\nAllow: /en/8\nDisallow: /*.html$\n\nUser-agent: crawler\nDisallow: /fr/\n"
 
 

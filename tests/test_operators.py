@@ -3,7 +3,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from factloom.operators import extract, fusion, progress, resolve, review, robots, workset
-from factloom.sources import adapters
 
 
 def test_newest_tiered(spark):
@@ -65,32 +64,3 @@ def test_workset(spark):
     old = spark.createDataFrame([(1, 5)], "k int, v int").select("k", F.sha2(F.to_json(F.struct("k", "v")), 256).alias("sig"))
     now = spark.createDataFrame([(1, 5), (2, 5)], "k int, v int")
     assert [r["k"] for r in workset.changed(now, old, "k", ["k", "v"]).collect()] == [2]
-
-
-def pages(spark, text, anchors=()):
-    return spark.createDataFrame([("u", text, [tuple(a) for a in anchors])], "url string, text string, anchors array<struct<href: string, text: string>>")
-
-
-def test_adapter_plans(spark):
-    got = adapters.before_mark(pages(spark, "営業\n甲社\n東京都 港区\n乙社\n大阪府"), adapters.ADAPTERS["kyujinbox"].mark).orderBy("pos").collect()
-    assert [(r["title"], r["name"]) for r in got] == [("営業", "甲社"), ("東京都 港区", "乙社")]
-    got = adapters.blocks(pages(spark, "甲社\n従業員数：10\n更新日：1\n乙社\n更新日：2\n丙社"), "^更新日：").orderBy("block").collect()
-    assert [r["lines"][0] for r in got] == ["甲社", "乙社"]
-    got = adapters.sections(pages(spark, "化粧品（2社）\n甲社\n乙社\n食品（1社）\n丙社"), adapters.ADAPTERS["jaro"].pattern).orderBy("pos").collect()
-    assert [(r["section"], r["name"]) for r in got] == [("化粧品", "甲社"), ("化粧品", "乙社"), ("食品", "丙社")]
-    got = adapters.labelled_values(pages(spark, "所在地\t東京都港区\n従業員数\n30名"), {"address": "所在地", "employees": "従業員数"}).collect()
-    assert {r["field"]: r["value"] for r in got} == {"address": "東京都港区", "employees": "30名"}
-    links = [("/companies/a", "甲社"), ("/companies/a", "again"), ("/companies/b/", "乙社"), ("/x", "no")]
-    assert [r["name"] for r in adapters.names(pages(spark, "", links), "grip").orderBy("pos").collect()] == ["甲社", "乙社"]
-    got = adapters.headings(pages(spark, "おすすめ\n甲社\nとは\n甲社は広告の会社"), "[はがの、]", 8).collect()
-    assert [r["name"] for r in got] == ["甲社"]
-    assert {r["address"] for r in adapters.names(pages(spark, "甲社\t東京都港区\n乙社\t大阪府"), "jcia").collect()} == {"東京都港区"}
-
-
-def test_links(spark):
-    html = '<a href="/privacy">プライバシー</a><a href="/contact/">お問い合わせ</a><a href="/ir/contact">IRお問い合わせ</a>'
-    links = extract.anchors(spark.createDataFrame([(1, html)], "page int, html string"), "page", "html")
-    scored = links.withColumn("score", extract.contact_score(F.col("href"), F.col("text"), F.lit(True)))
-    assert [r["href"] for r in extract.top_links(scored, "page", "href", "score", "pos", 1).collect()] == ["/contact/"]
-    kinds = links.orderBy("pos").select(extract.link_kind(F.col("href"), F.lit("")).alias("k")).collect()
-    assert [r["k"] for r in kinds] == ["privacy", None, "ir"]
