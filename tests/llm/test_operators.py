@@ -177,8 +177,8 @@ def test_maxent(spark, docs):
 
 
 def test_maxent_sums_to_one():
-    weights = np.random.default_rng(1).normal(size=(maxent.FEATURES + 1, maxent.CLASSES)).astype(np.float32)
-    f = np.random.default_rng(2).integers(0, maxent.FEATURES, (7, 4))
+    weights = np.random.default_rng(1).normal(size=((1 << 12) + 1, maxent.CLASSES)).astype(np.float32)
+    f = np.random.default_rng(2).integers(0, 1 << 12, (7, 4))
     assert np.allclose(np.exp(maxent.class_logits(weights, f)).sum(1), 1, atol=1e-5)
 
 
