@@ -75,7 +75,7 @@ def _(spark, d):
 
 
 @query("contact_links_ranked", """WITH a AS (SELECT page_id, 'https://own.jp/' AS base, unnest([{'i': 0, 'p': '/contact/', 't': 'お問い合わせ', 'own': page_id % 2 = 0}, {'i': 1, 'p': '/support', 't': 'x', 'own': true}, {'i': 2, 'p': '/ir/contact', 't': 'IRお問い合わせ', 'own': true}, {'i': 3, 'p': '/form-' || page_id % 3, 't': 'フォーム', 'own': true}]) AS l FROM pages),
-s AS (SELECT page_id, l.i, l.own, l.p, CASE l.i WHEN 0 THEN 3 + 2 + 2 + 2 WHEN 1 THEN 2 - 6 WHEN 2 THEN 3 + 2 + 2 - 6 ELSE 2 END + l.own::INT AS score FROM a)
+s AS (SELECT page_id, l.i, l.own, l.p, CASE l.i WHEN 0 THEN 3 + 2 + 2 + 2 WHEN 1 THEN 2 WHEN 2 THEN 3 + 2 + 2 - 6 ELSE 2 END + l.own::INT AS score FROM a)
 SELECT page_id, CASE WHEN own THEN 'https://own.jp' ELSE 'https://other.jp' END || p AS url, CAST(score AS INTEGER) AS score, CAST(row_number() OVER (PARTITION BY page_id ORDER BY score DESC, i) AS INTEGER) AS place FROM s""")
 def _(spark, d):
     link = lambda href, label: F.struct(href.alias("href"), F.lit(label).alias("text"))
