@@ -82,10 +82,17 @@ def doc_lines(spark, d):
 f AS (SELECT *, last_value(CASE WHEN is_label THEN pos END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS label_pos FROM m)
 SELECT doc_id, label_pos, count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS chars FROM f WHERE label_pos IS NOT NULL AND NOT is_label GROUP BY doc_id, label_pos""")
 def _(spark, d):
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    is_label = F.startswith("line", F.lit("T"))
-    rows = doc_lines(spark, d).withColumn("label_pos", F.last(F.when(is_label, F.col("pos")), True).over(w)).where(F.col("label_pos").isNotNull() & ~is_label)
-    return rows.groupBy("doc_id", "label_pos").agg(F.count("*").alias("lines"), F.sum(F.length("line")).alias("chars"))
+    return _runs(table(spark, d, "documents"), lambda x: F.startswith(x, F.lit("T"))).select("doc_id", "label_pos", F.size("own").cast("long").alias("lines"), F.aggregate("own", F.lit(0).cast("long"), lambda n, x: n + F.length(x)).alias("chars"))
+
+
+def _runs(docs, starts):
+    """(doc_id, label_pos, own): lines after each line that starts a record, up to the next, found inside the document's row."""
+    rows = docs.select("doc_id", F.split("text", "\n").alias("ls"))
+    heads = F.filter(F.transform("ls", lambda x, i: F.when(starts(x), i + 1)), lambda p: p.isNotNull())
+    rows = rows.withColumn("heads", heads).select("doc_id", "ls", "heads", F.posexplode("heads").alias("k", "at"))
+    end = F.coalesce(F.try_element_at("heads", F.col("k") + 2), F.size("ls") + 1)
+    own = F.slice("ls", F.col("at") + 1, F.greatest(end - F.col("at") - 1, F.lit(0)))
+    return rows.select("doc_id", F.col("at").cast("long").alias("label_pos"), own.alias("own")).where(F.size("own") > 0)
 
 
 @query("block_segmentation", f"""WITH {LINES_SQL}, b AS (SELECT *, sum(CASE WHEN length(line) > 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS block FROM l)
