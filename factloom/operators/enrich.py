@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import figures, geo, text, urls
-from . import checks, config, fusion, links, workset
+from . import checks, config, fusion, links, resolve, workset
 
 EVIDENCE = ["entity_key", "seq", "field", "value", "source", "url", "snippet"]
 PROFILE_PAGES = 4
@@ -242,3 +242,32 @@ def moved_sites(evidence: DataFrame, best: DataFrame) -> DataFrame:
 def first_evidence(evidence: DataFrame, field: str) -> DataFrame:
     """The earliest row of a field of every entity."""
     return fusion.first_of(evidence.where(F.col("field") == field), ["entity_key"], [F.col("seq")])
+
+
+def from_filings(entities: DataFrame, evidence: DataFrame, codes: DataFrame, reports: DataFrame, facts: DataFrame) -> DataFrame:
+    """Evidence with what annual reports say in place of what they said before: code, address, headcount, group headcount.
+
+    entities: entity_key, name; codes: code, kind, name, address, listed, consolidated, industry, secCode; reports: docID, edinetCode, periodEnd,
+    submitDateTime (the latest of each company); facts: docID, current, single.  A filer without a recent report adds nothing.
+    """
+    from ..sources.readers import choose_headcount
+
+    known = evidence.where("field = 'address' AND source <> 'edinet'").groupBy("entity_key").agg(F.collect_list("value").alias("addresses"))
+    hit = resolve.pick_filer(resolve.by_name(entities, codes), known)
+    met = hit.join(reports, F.col("code") == F.col("edinetCode")).join(facts, "docID", "left")
+    choice = choose_headcount(F.col("single"), F.col("current"), F.col("consolidated") == "有")
+    how = F.when(F.col("by_address"), "").otherwise("（所在地での照合なし・社名のみ一致）")
+    period = figures.period_label(F.to_date("periodEnd"))
+    doc = F.concat(F.lit("有価証券報告書 "), period, F.lit("（書類ID "), F.col("docID"), F.lit("）"))
+    sec = F.coalesce(F.concat(F.lit(" 証券コード"), F.regexp_replace("secCode", "0$", "")), F.lit(""))
+    cell = lambda o, field, value, snippet: F.struct(F.lit(o).cast("long").alias("seq"), F.lit(field).alias("field"), value.cast("string").alias("value"), F.concat(snippet, how).alias("snippet"))
+    cells = F.array(
+        cell(0, "edinetCode", F.col("code"), F.concat(F.lit("EDINETコード "), F.col("code"), F.lit(" / "), F.coalesce("listed", F.lit("")), sec, F.lit(" / "), F.coalesce("industry", F.lit("")))),
+        cell(1, "address", F.col("address"), F.concat(F.lit("EDINETコード一覧の本店所在地: "), F.col("address"))),
+        cell(2, "employees", choice["value"], F.concat(doc, F.lit(" 従業員数 "), choice["value"].cast("string"), F.lit("名"))),
+        cell(3, "employeesConsolidated", choice["group"], F.concat(doc, F.lit(" 連結の従業員数 "), choice["group"].cast("string"), F.lit("名"))),
+    )
+    fresh = met.select("entity_key", F.explode(cells).alias("c"), F.concat(F.lit("https://disclosure2.edinet-fsa.go.jp/WZEK0040.aspx?"), "docID", F.lit(",,")).alias("url"))
+    fresh = fresh.select("entity_key", "c.seq", "c.field", "c.value", F.lit("edinet").alias("source"), "url", "c.snippet").where("value IS NOT NULL")
+    asked = entities.select("entity_key").withColumn("source", F.lit("edinet"))
+    return evidence.select(EVIDENCE).join(asked, ["entity_key", "source"], "left_anti").select(EVIDENCE).unionByName(fresh)

@@ -19,8 +19,8 @@ def step(state: dict, found: int, failed: bool, at) -> dict:
     if not found and state["next_page"] == 1:
         return new | {"failures": state["failures"] + 1, "failed_at": at}
     if not found:
-        return new | {"exhausted": True, "failures": 0}
-    return new | {"found": state["found"] + found, "next_page": state["next_page"] + 1, "failures": 0}
+        return new | {"exhausted": True, "failures": 0, "failed_at": None}
+    return new | {"found": state["found"] + found, "next_page": state["next_page"] + 1, "failures": 0, "failed_at": None}
 
 
 def start() -> dict:
@@ -39,7 +39,7 @@ def fold(runs: DataFrame) -> DataFrame:
         bad = nothing & (r["failed"] | (s["next_page"] == 1))
         return F.struct(
             (s["next_page"] + F.when(nothing, 0).otherwise(1)).alias("next_page"), (s["found"] + r["found"]).alias("found"), (s["exhausted"] | (nothing & ~bad)).alias("exhausted"),
-            F.when(bad, s["failures"] + 1).otherwise(0).alias("failures"), (s["runs"] + 1).alias("runs"), r["at"].alias("last_at"), F.when(bad, r["at"]).otherwise(s["failed_at"]).alias("failed_at"),
+            F.when(bad, s["failures"] + 1).otherwise(0).alias("failures"), (s["runs"] + 1).alias("runs"), r["at"].alias("last_at"), F.when(bad, r["at"]).alias("failed_at"),
         )
 
     ordered = runs.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("seq", "found", "failed", "at"))).alias("runs"))

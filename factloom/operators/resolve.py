@@ -30,10 +30,14 @@ def unique_match(left: DataFrame, right: DataFrame, keys: list[str], left_id: st
 
 
 def ranked_match(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, order: list[Column], residual: Column | None = None) -> DataFrame:
-    """The best partner of every left row, and how many it had."""
-    met = left.join(right, keys)
-    if residual is not None:
-        met = met.where(residual)
+    """The best partner of every left row, and how many it had.
+
+    Without a residual the order is one of right rows alone: the best of each key is found before the join, which then meets one row a key.
+    """
+    if residual is None:
+        times = right.groupBy(*keys).agg(F.count("*").alias("same_name"))
+        return left.join(first_of(right, keys, order).join(times, keys), keys)
+    met = left.join(right, keys).where(residual)
     return first_of(met.withColumn("same_name", F.count("*").over(Window.partitionBy(left_id))), [left_id], order)
 
 

@@ -46,6 +46,11 @@ def weekdays(today: DataFrame, column: str, days: int) -> DataFrame:
     return all_days.where(~F.dayofweek("day").isin(1, 7))
 
 
+def jst_today(now: Column) -> Column:
+    """The day in Japan at a moment given in UTC."""
+    return F.to_date(F.from_utc_timestamp(now, "Asia/Tokyo"))
+
+
 def changed(rows: DataFrame, previous: DataFrame, key: str, inputs: list[str]) -> DataFrame:
     """Rows whose inputs have another signature than at the last run."""
     mark = F.sha2(F.to_json(F.struct(*inputs)), 256)

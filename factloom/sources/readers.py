@@ -62,6 +62,18 @@ def snapshot_key(url: Column) -> Column:
     return F.concat(F.substring(digest, 1, 2), F.lit("/"), digest)
 
 
+def memo_key(name: Column) -> Column:
+    """Where the result of a fetch that no url names (a form search) is kept."""
+    return snapshot_key(F.concat(F.lit("memo:"), name))
+
+
+def memos(spark: SparkSession, path: str, names: DataFrame, schema: str) -> DataFrame:
+    """Kept results (name, ...) of the names asked for; a name without one has no row."""
+    files = spark.read.schema(schema).option("recursiveFileLookup", "true").json(path, multiLine=True).select("*", F.regexp_extract(F.input_file_name(), "([0-9a-f]{40})\\.json$", 1).alias("_digest"))
+    asked = names.select("name", F.element_at(F.split(memo_key(F.col("name")), "/"), -1).alias("_digest"))
+    return asked.join(files, "_digest").drop("_digest")
+
+
 def robots_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ROBOTS).json(path, multiLine=True).withColumn("status_code", F.col("status").try_cast("int"))
 

@@ -192,3 +192,26 @@ def test_early_stop_and_signatures(spark):
     got = [r["x"] for r in row.select(checks.early_stop(F.col("title"), F.col("meta"), F.col("text"), checks.only_job_lists(F.col("s"))).alias("x")).collect()]
     assert got == [True, False, False, False]
     assert spark.range(1).select(text.half(F.lit("ＡＢＣ１２　")).alias("x")).first()["x"] == "ABC12 "
+
+
+def test_filings_memos_and_days(spark, tmp_path):
+    ents = spark.createDataFrame([("甲田", "株式会社甲田"), ("乙", "乙")], "entity_key string, name string")
+    ev = spark.createDataFrame([("甲田", 0, "address", "東京都港区芝", "official", "u", ""), ("甲田", 1, "employees", "1", "edinet", "u", "old"), ("乙", 0, "employees", "2", "edinet", "u", "old")], EVIDENCE)
+    codes = spark.createDataFrame([("E00001", "内国法人・組合", "甲田株式会社", "港区芝1-1", "上場", "有", "小売業", "12340")], "code string, kind string, name string, address string, listed string, consolidated string, industry string, secCode string")
+    reports = spark.createDataFrame([("S1", "E00001", "2025-03-31", "2025-06-20 10:00")], "docID string, edinetCode string, periodEnd string, submitDateTime string")
+    facts = spark.createDataFrame([("S1", 900, 300)], "docID string, current long, single long")
+    got = {(r["entity_key"], r["field"], r["source"]): r["value"] for r in enrich.from_filings(ents, ev, codes, reports, facts).collect()}
+    assert got == {
+        ("甲田", "address", "official"): "東京都港区芝", ("甲田", "edinetCode", "edinet"): "E00001", ("甲田", "address", "edinet"): "東京都港区芝1-1", ("甲田", "employees", "edinet"): "300",
+        ("甲田", "employeesConsolidated", "edinet"): "900"}
+    import hashlib
+
+    digest = hashlib.sha1("memo:gbiz:甲".encode()).hexdigest()
+    (tmp_path / digest[:2]).mkdir()
+    (tmp_path / digest[:2] / f"{digest}.json").write_text('{"text": "hit"}')
+    asked = spark.createDataFrame([("gbiz:甲",), ("gbiz:乙",)], "name string")
+    from factloom.operators import workset
+    from factloom.sources import readers
+
+    assert [(r["name"], r["text"]) for r in readers.memos(spark, str(tmp_path), asked, "text string").collect()] == [("gbiz:甲", "hit")]
+    assert str(spark.range(1).select(workset.jst_today(F.lit("2026-01-01 16:00:00").cast("timestamp")).alias("d")).first()["d"]) == "2026-01-02"
