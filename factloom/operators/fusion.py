@@ -33,14 +33,15 @@ def dedup_first(evidence: DataFrame, keys: list[str], seq: str = "seq") -> DataF
 def pick_priority(evidence: DataFrame, order: Sequence[str], entity: str = "entity_key", value: str = "value") -> DataFrame:
     """Best value by source priority, with the number of rows and of rows that disagree."""
     ranked = evidence.withColumn("_rank", rank_of(F.col("source"), order))
-    w = Window.partitionBy(entity).orderBy("_rank", "seq")
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    best = F.first(value).over(whole)
-    rows = ranked.withColumn("_best", best).withColumn("_at", F.row_number().over(w))
-    return rows.groupBy(entity).agg(
-        F.max(F.when(F.col("_at") == 1, F.col(value))).alias(value), F.max(F.when(F.col("_at") == 1, F.col("source"))).alias("source"),
-        F.count("*").alias("n"), F.count_if(F.col(value) != F.col("_best")).alias("conflicts"), F.count_distinct("source").alias("sources"),
+    # rows of one value are counted before the entity's rows meet; the earliest of the best rank decides
+    per = ranked.groupBy(entity, value).agg(F.min(F.struct("_rank", "seq", "source")).alias("_first"), F.count("*").alias("_n"), F.collect_set("source").alias("_sources"))
+    said = F.sum(F.when(F.col(value).isNotNull(), F.col("_n")).otherwise(0))
+    best = per.groupBy(entity).agg(
+        F.min_by(value, "_first").alias(value), F.min("_first").alias("_first"), F.sum("_n").alias("n"), (said - F.min_by("_n", "_first")).alias("conflicts"),
+        F.array_distinct(F.flatten(F.collect_list("_sources"))).alias("_sources"),
     )
+    return best.select(
+        entity, value, F.col("_first.source").alias("source"), "n", F.when(F.col(value).isNull(), 0).otherwise(F.col("conflicts")).cast("long").alias("conflicts"), F.size("_sources").cast("long").alias("sources"))
 
 
 def pick_newest_tiered(evidence: DataFrame, first_tiers: Sequence[str], order: Sequence[str], entity: str = "entity_key", as_of: str = "as_of") -> DataFrame:

@@ -127,12 +127,14 @@ def _(spark, d):
     return table(spark, d, "pages").select("page_id", urls.host(u).alias("host"), urls.domain(u).alias("domain"), urls.origin(u).alias("origin"), urls.path(u).alias("path"))
 
 
-@query("same_site_brand", f"""WITH h AS (SELECT DISTINCT {HOST_SQL} AS host FROM pages), c AS (SELECT host, string_split(host, '.') AS p FROM h), k AS (SELECT host, p[len(p) - 1] AS core FROM c)
-SELECT a.host AS a, b.host AS b, a.host = b.host OR ends_with(a.host, '.' || b.host) OR ends_with(b.host, '.' || a.host) AS same_site, length(a.core) >= 4 AS same_brand FROM k a JOIN k b ON a.core = b.core AND a.host < b.host""")
+@query("same_site_brand", f"""WITH h AS (SELECT DISTINCT {HOST_SQL} AS host FROM pages), c AS (SELECT host, string_split(host, '.') AS p FROM h), k AS (SELECT host, p[len(p) - 1] AS core FROM c),
+m AS (SELECT host, core, min(host) OVER (PARTITION BY core) AS head FROM k)
+SELECT head AS a, host AS b, head = host OR ends_with(head, '.' || host) OR ends_with(host, '.' || head) AS same_site, length(core) >= 4 AS same_brand FROM m WHERE head <> host""")
 def _(spark, d):
+    # every host of a brand beside the brand's first, not all pairs of hosts
     hosts = table(spark, d, "pages").select(urls.host(F.col("url")).alias("host")).distinct().withColumn("core", urls.core(F.col("host")))
-    a, b = (hosts.select(F.col("host").alias(n), "core") for n in ("a", "b"))
-    met = a.join(b, "core").where("a < b")
+    heads = hosts.groupBy(F.col("core").alias("brand")).agg(F.min("host").alias("a"))
+    met = hosts.join(heads, F.col("core") == F.col("brand")).where("a <> host").select("a", F.col("host").alias("b"))
     return met.select("a", "b", urls.same_site(F.col("a"), F.col("b")).alias("same_site"), urls.same_brand(F.col("a"), F.col("b")).alias("same_brand"))
 
 
