@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL, where SQL can express them."""
 
-from . import embdup, maxent, minhash, mixing, packing, preference, search, sharding, suffixes, toxicity
+from . import audit, bpe, codes, embdup, maxent, minhash, mixing, packing, preference, search, sharding, suffixes, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_embdup": embdup.op8_embdup,
     "op9_mixing": mixing.op9_mixing,
     "op10_preference": preference.op10_preference,
+    "op11_codes": codes.op11_codes,
+    "op12_audit": audit.op12_audit,
+    "op13_bpe": bpe.op13_bpe,
 }
 
 ORACLES = {
@@ -20,4 +23,6 @@ ORACLES = {
     "op8_embdup": embdup.SQL,
     "op9_mixing": mixing.SQL,
     "op10_preference": preference.SQL,
+    "op11_codes": codes.SQL,
+    "op12_audit": audit.SQL,
 }
