@@ -14,8 +14,9 @@ own, that pair comes first, as it does when a word is merged alone.
 Words are what lies between white space: the dealt steps before merging (composition,
 lower case, cutting into letters, digits and marks) never look across it.  Those steps
 are the tokenizers library's own, read from the same file, so their tables are the
-same; merging and decoding are done here.  Ids of short words are remembered in two
-generations of ``REMEMBERED`` words a worker.
+same (a word of Latin letters and ASCII marks is cut without them, where that gives the
+same on probes); merging and decoding are done here.  A worker remembers the ids of
+``REMEMBERED`` short words in two generations, and of as many pieces.
 
 Defined cases: a null text is an empty one and has no tokens; texts are read whole at
 any length; the strings of added tokens are those tokens wherever they stand in a
@@ -39,11 +40,13 @@ from pyspark.sql import functions as F
 from . import common
 from .packing import TOKENIZER, byte_letters, tokenizer_path
 
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 500_000, 64
 #: Letters of new words in one index, and bytes of texts in one slice.
 BLOCK, SLICE = 1 << 18, 1 << 20
 #: str.split() also splits at these, the tokenizer's white space does not.
 _ODD = re.compile("[\x1c-\x1f]")
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!\"#$%&()*+,./:;=?@\\[\\]^_`{|}~-]*)\\Z")
+_PROBED = [chr(c) for c in [*range(0x21, 0x7F), *range(0xC0, 0x100)]]
 _SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 
 
@@ -68,44 +71,66 @@ class Model:
         loaded = Tokenizer.from_file(path)
         self.normalizer, self.cutter = loaded.normalizer, loaded.pre_tokenizer
         self.markers = re.compile("(" + "|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
-        self.letters = set(byte_letters().values())
+        self.byte_letters = [letter for _, letter in sorted(byte_letters().items())]
+        inside, last = np.full(1 << 9, -1, np.int32), np.full(1 << 9, -1, np.int32)
+        for letter in self.byte_letters:
+            inside[ord(letter)], last[ord(letter)] = self.vocab[letter], self.vocab[letter + self.ending]
+        self.inside, self.last = inside, last
+        keys = np.fromiter(self.rank, np.int64, len(self.rank))
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], order
         strings = {i: s for s, i in [*self.vocab.items(), *self.added.items()]}
         self.strings = [strings.get(i, "").encode() for i in range(max(strings) + 1)]
         self.known_ids = np.array([i in strings for i in range(len(self.strings))])
+        probes = [f"{a}{b}{c}" for a in ("", "t", "Te") for b in _PROBED for c in ("", "s", "s.", ",)")]
+        self.plain = all(self._plain(w) in (None, self._cut(w)) for w in probes)
 
-    def pieces(self, word: str) -> list[str]:
-        """A word's pieces, in the letters that stand for bytes."""
+    def _cut(self, word: str) -> list[str]:
         if self.normalizer is not None:
             word = self.normalizer.normalize_str(word)
         return [p for p, _ in self.cutter.pre_tokenize_str(word)] if self.cutter is not None else [word]
 
+    def _plain(self, word: str) -> list[str] | None:
+        """The pieces of Latin letters and the ASCII marks behind them; None for any other word."""
+        found = _PLAIN.match(word)
+        if not found:
+            return None
+        letters = found[1].lower()
+        if not letters.isascii():
+            letters = "".join([self.byte_letters[b] for b in letters.encode()])
+        return [letters, found[2]] if found[2] else [letters]
+
+    def pieces(self, word: str) -> list[str]:
+        """A word's pieces, in the letters that stand for bytes.
+
+        Plain words are cut here, if that gives what the vocabulary's own steps give on probes; all others by those steps.
+        """
+        return (self.plain and self._plain(word)) or self._cut(word)
+
 
 class PairIndex:
     """Pieces laid out as one chain of symbols, and for every rank the positions of its pair."""
 
     def __init__(self, model: Model, pieces: list[str]):
         self.model = model
-        self.symbol, self.start = array("i"), array("q")
-        for piece in pieces:
-            self.start.append(len(self.symbol))
-            if piece:
-                self.symbol.extend([model.vocab[c] for c in piece[:-1]])
-                self.symbol.append(model.vocab[piece[-1] + model.ending])
-        n = len(self.symbol)
-        self.start.append(n)
-        self.after, self.before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))
-        for at in self.start:
-            if at < n:
-                self.before[at] = -1
-            if at > 0:
-                self.after[at - 1] = -1
-        self.at: dict[int, list[int]] = {}
-        rank, symbol = model.rank, self.symbol
-        for i, j in enumerate(self.after):
-            if j >= 0:
-                found = rank.get(symbol[i] << 32 | symbol[j])
-                if found is not None:
-                    self.at.setdefault(found, []).append(i)
+        codes = np.frombuffer("".join(pieces).encode("utf-16-le"), np.uint16)
+        self.bounds = np.r_[0, np.cumsum([len(p) for p in pieces], dtype=np.int64)]
+        ends = self.bounds[1:][self.bounds[1:] > self.bounds[:-1]] - 1
+        symbol = model.inside[codes]
+        symbol[ends] = model.last[codes[ends]]
+        after, before = np.arange(1, len(symbol) + 1, dtype=np.int32), np.arange(-1, len(symbol) - 1, dtype=np.int32)
+        after[ends] = -1
+        before[ends[:-1] + 1] = -1
+        left = np.flatnonzero(after >= 0)
+        keys = symbol[left].astype(np.int64) << 32 | symbol[left + 1]
+        place = np.minimum(np.searchsorted(model.pair_keys, keys), len(model.pair_keys) - 1)
+        merged = model.pair_keys[place] == keys
+        left, ranks = left[merged], model.pair_ranks[place[merged]]
+        order = np.argsort(ranks, kind="stable")
+        used, first = np.unique(ranks[order], return_index=True)
+        spots = left[order].tolist()
+        self.at: dict[int, list[int]] = {r: spots[a:b] for r, a, b in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(spots)])}
+        self.symbol, self.after, self.before = (array("i", x.astype(np.int32).tobytes()) for x in (symbol, after, before))
         self.active = list(self.at)
         heapq.heapify(self.active)
 
@@ -146,15 +171,15 @@ class PairIndex:
                     self.enter(rank, later)
                 return
 
-    def tokens(self) -> list[np.ndarray]:
-        """The ids of every piece."""
+    def tokens(self) -> list[bytes]:
+        """The ids of every piece, as 32-bit numbers."""
         while self.active:
             self.apply(heapq.heappop(self.active))
         symbol = np.frombuffer(self.symbol, np.int32) if len(self.symbol) else np.zeros(0, np.int32)
-        start = np.frombuffer(self.start, np.int64)
         live = symbol >= 0
-        bounds = np.r_[0, np.cumsum(live)][start]
-        return np.split(symbol[live], bounds[1:-1]) if len(start) > 1 else []
+        body = symbol[live].tobytes()
+        cut = (np.r_[0, np.cumsum(live)][self.bounds] * 4).tolist()
+        return [body[a:b] for a, b in zip(cut[:-1], cut[1:])]
 
 
 class Encoder:
@@ -164,6 +189,7 @@ class Encoder:
         self.model, self.remembered = Model(path), remembered
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
         """A text's words; an added token is a word of its own."""
@@ -177,41 +203,40 @@ class Encoder:
                 words += [w for w in _SPACE.split(part) if w] if _ODD.search(part) else part.split()
         return words
 
-    def learn(self, words: set[str], fresh: dict[str, bytes]) -> None:
-        """Enter the ids of ``words``, a block of letters at a time."""
-        block: list[tuple[str, list[str]]] = []
-        size = 0
-        for word in sorted(words):  # one order, whatever the set's
-            if word in self.model.added:
-                fresh[word] = np.array([self.model.added[word]], np.int32).tobytes()
-                continue
-            pieces = self.model.pieces(word)
-            block.append((word, pieces))
-            size += len(word)
-            if size >= BLOCK:
-                self._indexed(block, fresh)
-                block, size = [], 0
-        self._indexed(block, fresh)
-
-    def _indexed(self, block: list[tuple[str, list[str]]], fresh: dict[str, bytes]) -> None:
-        ids = PairIndex(self.model, [p for _, pieces in block for p in pieces]).tokens()
-        k = 0
-        for word, pieces in block:
-            fresh[word] = b"".join([ids[k + n].tobytes() for n in range(len(pieces))])
-            k += len(pieces)
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of ``words``; pieces that are not known go through an index, a block of letters at a time."""
+        model, parts = self.model, self.parts
+        cut = {w: model.pieces(w) for w in words if w not in model.added}
+        unknown = sorted({p for pieces in cut.values() for p in pieces if p not in parts})  # one order, whatever the set's
+        at = 0
+        while at < len(unknown):
+            end, size = at, 0
+            while end < len(unknown) and size < BLOCK:
+                size += len(unknown[end])
+                end += 1
+            parts.update(zip(unknown[at:end], PairIndex(model, unknown[at:end]).tokens()))
+            at = end
+        fresh = {w: b"".join([parts[p] for p in pieces]) for w, pieces in cut.items()}
+        fresh.update({w: np.array([model.added[w]], np.int32).tobytes() for w in words if w in model.added})
+        if len(parts) > self.remembered:
+            self.parts = {}
+        else:
+            for p in [p for p in unknown if len(p) > LONGEST]:
+                del parts[p]
+        return fresh
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as 32-bit numbers."""
         cut = [self.words(t) for t in texts]
         known, old = self.known, self.old
-        missing: set[str] = set()
+        every: set[str] = set()
         for words in cut:
-            missing.update([w for w in words if w not in known])
-        for w in [w for w in missing if w in old]:
+            every.update(words)
+        missing = every - known.keys()
+        for w in missing & old.keys():
             known[w] = old[w]
-            missing.discard(w)
-        fresh: dict[str, bytes] = {}
-        self.learn(missing, fresh)
+        missing -= old.keys()
+        fresh = self.learn(missing)
         known.update({w: ids for w, ids in fresh.items() if len(w) <= LONGEST})
         out = []
         for words in cut:
