@@ -64,6 +64,7 @@ def flagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     narrow = common.stored(narrow, "audit-texts")
     repeated = narrow.groupBy("print").agg(F.min("id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select(F.col("print").alias("r_print"), "first_id")
+    repeated = common.stored(repeated, "audit-repeated")  # without the sums in its stage the join can split a text that very many documents have
     said = labels.groupBy(F.col("doc_id").cast("long").alias("l_id")).agg(*[F.max(F.coalesce(F.col(c) == 1, F.lit(False))).alias(a) for c, a in (("quality", "good"), ("toxic", "toxic"))])
     met = narrow.join(repeated, F.col("print") == F.col("r_print"), "left").select("id", "part", "fails", F.coalesce(F.col("id") > F.col("first_id"), F.lit(False)).alias("later"))
     met = met.join(said.where("good OR toxic"), F.col("id") == F.col("l_id"), "left")
