@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import half
+from .text import nfkc
 
 AS_OF = "(20[0-9]{2})\\s*年\\s*(?:([0-9]{1,2})\\s*月?)?"
 RANGE = "([0-9][0-9,]*)\\s*(?:名|人)?\\s*[〜~～-]\\s*([0-9][0-9,]*)\\s*(?:名|人)"
@@ -23,7 +23,7 @@ def _int(c: Column) -> Column:
 
 def as_of(c: Column) -> Column:
     """struct(year, month) of the first date mark."""
-    c = half(c)
+    c = nfkc(c)
     year, month = F.regexp_extract(c, AS_OF, 1), F.regexp_extract(c, AS_OF, 2)
     return F.when(year != "", F.struct(year.cast("int").alias("year"), month.try_cast("int").alias("month")))
 

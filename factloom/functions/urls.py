@@ -62,5 +62,5 @@ def complete(u: Column) -> Column:
 
 
 def bare(u: Column) -> Column:
-    """For comparing: without fragment, index page and last slash."""
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(u, "#.*$", ""), "/index\\.[a-z]+$", "/"), "/+$", "")
+    """For comparing: without scheme, ``www.``, fragment and last slashes."""
+    return F.regexp_replace(F.rtrim(F.substring_index(u, "#", 1), F.lit("/")), "^https?://(www\\.)?", "")

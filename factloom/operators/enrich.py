@@ -54,7 +54,7 @@ def site_pages(sites: DataFrame, pages: DataFrame, stop: Column | None = None) -
     wanted = top.where(~F.col("stopped")).select("entity_key", "site", F.posexplode(F.slice(links.profile_links(F.col("anchors"), F.col("site")), 1, PROFILE_PAGES)).alias("at", "l"))
     about = wanted.select("entity_key", "site", (F.col("at") + 1).alias("place"), F.col("l.url").alias("url")).join(live, "url").withColumn("stopped", F.lit(False))
     columns = ["entity_key", "site", "place", "url", "title", "text", "final_url", "anchors", "stopped"]
-    every = top.select(columns).unionByName(about.select(columns)).withColumn("folded", text.half(text.flatten(F.col("text"))))
+    every = top.select(columns).unionByName(about.select(columns)).withColumn("folded", text.nfkc(text.flatten(F.col("text"))))
     every = every.withColumn("count", figures.headcount(F.col("folded"))).withColumn("strong", F.coalesce(F.col("count.strong"), F.lit(False)))
     before = Window.partitionBy("entity_key", "site").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     seen, read = F.coalesce(F.max("strong").over(before), F.lit(False)), F.count("*").over(before)
@@ -131,7 +131,7 @@ def from_official(entities: DataFrame, evidence: DataFrame, pages: DataFrame, di
     sites = best.select("entity_key", F.lit(0).alias("turn"), F.col("official_url").alias("site")).unionByName(more).join(entities.select("entity_key", "source_names"), "entity_key")
     live = pages.join(sites.select(F.col("site").alias("url")).distinct(), "url", "left_semi")
     stop_rows = live.select("url", "title", "meta", "text").join(sites.where("turn = 0"), F.col("url") == F.col("site"))
-    stopped = stop_rows.where(checks.early_stop(F.col("title"), F.col("meta"), F.col("text"), checks.only_job_lists(F.col("source_names")))).select("entity_key").distinct()
+    stopped = stop_rows.where(checks.Industry().early_stop(F.col("title"), F.col("meta"), F.col("text"), checks.only_job_lists(F.col("source_names")))).select("entity_key").distinct()
     sites = sites.join(stopped.withColumn("_s", F.lit(True)), "entity_key", "left").where("turn = 0 OR _s IS NULL")
     crawled = site_pages(sites.select("entity_key", "site", "_s"), pages).join(sites.select("entity_key", "site", "turn", F.coalesce("_s", F.lit(False)).alias("_s")), ["entity_key", "site"])
     crawled = crawled.where(~F.col("_s") | (F.col("place") == 0)).withColumn("stopped", F.col("_s"))

@@ -63,9 +63,9 @@ def _known(rows: DataFrame, known: DataFrame) -> DataFrame:
 
 def by_name(entities: DataFrame, rows: DataFrame) -> DataFrame:
     """Registry rows (name, ...) that have an entity's name once both are normalised; what stands in brackets is not part of a name."""
-    key = lambda c: text.normalize_name(text.half(F.regexp_replace(c, "[（(].*[）)]", "")))
+    key = lambda c: text.normalize_name(F.regexp_replace(c, "[（(].*[）)]", ""))
     left = entities.select("entity_key", key(F.col("name")).alias("_key")).where("_key <> ''")
-    return left.join(rows.withColumn("_key", text.normalize_name(text.half("name"))), "_key").drop("_key")
+    return left.join(rows.withColumn("_key", text.normalize_name(F.col("name"))), "_key").drop("_key")
 
 
 def _first(rows: DataFrame, order: list[Column]) -> DataFrame:
@@ -85,7 +85,7 @@ def pick_registry(matched: DataFrame, known: DataFrame, seq: str = "seq") -> Dat
 
 def pick_filer(matched: DataFrame, known: DataFrame) -> DataFrame:
     """edinet: companies only, names of two letters or more; the one row whose place agrees with a known address, or the only row where none is known."""
-    rows = _known(matched.where((F.col("kind") == "内国法人・組合") & (F.length(text.normalize_name(text.half("name"))) >= 2)), known)
+    rows = _known(matched.where((F.col("kind") == "内国法人・組合") & (F.length(text.normalize_name(F.col("name"))) >= 2)), known)
     w = Window.partitionBy("entity_key")
     near = F.exists("known", lambda k: geo.same_location(k, F.col("address")))
     rows = rows.withColumn("same_name", F.count("*").over(w)).withColumn("by_address", F.size("known") > 0)
@@ -95,14 +95,14 @@ def pick_filer(matched: DataFrame, known: DataFrame) -> DataFrame:
 
 def heading_keys(title: Column) -> Column:
     """mynavi: the names that a listing's title holds: outside 【…】, and each part inside, without [...]."""
-    bare = F.regexp_replace(text.half(title), "\\[[^\\]]*\\]", "")
+    bare = F.regexp_replace(text.nfkc(title), "\\[[^\\]]*\\]", "")
     inner = F.flatten(F.transform(F.regexp_extract_all(bare, F.lit("【([^】]*)】"), F.lit(1)), lambda x: F.split(x, "[／/]")))
     return F.array_distinct(F.filter(F.transform(F.concat(F.array(F.regexp_replace(bare, "【[^】]*】", "")), inner), text.normalize_name), lambda x: x != ""))
 
 
 def pick_listing(entities: DataFrame, rows: DataFrame, known: DataFrame, seq: str = "pos") -> DataFrame:
     """mynavi: the first linked row (name: its title, place, ref) with the entity's name, in a known prefecture where both state one."""
-    key = text.normalize_name(text.half(F.regexp_replace("name", "[（(].*[）)]", "")))
+    key = text.normalize_name(F.regexp_replace("name", "[（(].*[）)]", ""))
     left = entities.select("entity_key", key.alias("_key"))
     dealt = rows.where("ref IS NOT NULL").withColumn("_key", F.explode(heading_keys(F.col("name"))))
     met = _known(left.join(dealt, "_key").drop("_key"), known)
@@ -124,7 +124,7 @@ def pick_by_prefecture(matched: DataFrame, known: DataFrame, place: str, seq: st
 
 def name_index(listed: DataFrame, order: list[str]) -> DataFrame:
     """salesnow: (key, name, ref) of list pages; of names that repeat the last page's row stays."""
-    rows = listed.withColumn("key", text.normalize_name(text.half("name")))
+    rows = listed.withColumn("key", text.normalize_name(F.col("name")))
     return first_of(rows, ["key"], [F.desc(c) for c in order]).select("key", "name", "ref")
 
 

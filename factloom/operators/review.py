@@ -40,7 +40,7 @@ def imported(sheet: DataFrame, entities: DataFrame, evidence: DataFrame, today:
     reviews: entity_key and struct ``review`` (industry by category, employees, contact, identity, at, note); a later row goes before an earlier one.
     Corrections replace the evidence of source ``human`` of their field.  Rows without decision or correction are skipped before their id is looked up.
     """
-    bare = lambda c: F.regexp_replace(text.half(F.coalesce(F.col(c), F.lit(""))), "[,\\s名人]", "")
+    bare = lambda c: F.regexp_replace(text.nfkc(F.coalesce(F.col(c), F.lit(""))), "[,\\s名人]", "")
     marks = {c: text.decision(F.coalesce(F.col(c), F.lit(""))) for c in ("industry", "employees", "contact", "identity")}
     count = F.coalesce(F.nullif(bare("employees_value"), F.lit("")), F.when(bare("employees").rlike("^[0-9]+$"), bare("employees"))).try_cast("bigint")
     rows = sheet.select(
@@ -49,7 +49,7 @@ def imported(sheet: DataFrame, entities: DataFrame, evidence: DataFrame, today:
     )
     said = F.coalesce(*[F.col(f"m_{c}") for c in marks], F.col("v_employees").cast("string"), F.col("v_contact"), F.col("v_official")).isNotNull()
     names = entities.select(F.col("entity_key").alias("_k"))
-    met = rows.withColumn("said", said).join(names, F.col("id") == F.col("_k"), "left").withColumnRenamed("_k", "_own").withColumn("_norm", text.normalize_name(text.half(F.coalesce("id", F.lit("")))))
+    met = rows.withColumn("said", said).join(names, F.col("id") == F.col("_k"), "left").withColumnRenamed("_k", "_own").withColumn("_norm", text.normalize_name(F.coalesce("id", F.lit(""))))
     met = met.join(names, F.col("_norm") == F.col("_k"), "left").withColumn("entity_key", F.coalesce("_own", "_k"))
     counted = met.agg(F.count_if(F.col("said") & F.col("entity_key").isNotNull()).alias("applied"), F.count_if(F.col("said") & F.col("entity_key").isNull()).alias("unknown"), F.count_if(~F.col("said")).alias("skipped"))
     live = met.where("said AND entity_key IS NOT NULL")

@@ -1,51 +1,37 @@
-"""Verification rules: decision tables over evidence and pages."""
+"""Results of checks: their severity, which of them pass, and failures to reach a site."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions.text import holds_any
 
 SEVERITY = ["OK", "OK (redirect)", "OK (human)", "check", "NG"]
 PASSING = SEVERITY[:3]
+# What messages say where a site could not be reached, where it refused, and where it forbids.
+UNREACHED = ["timeout", "net::", "err_", "econn", "enotfound", "etimedout", "navigation", "connection closed", "target closed"]
+REFUSED = ["robots.txt を取得できない", "連続して拒否"]
+FORBIDDEN = "robots.txt disallows"
+REFUSING = [401, 403, 429]
 
 
-def industry(self_text: Column, body: Column, main: list[str], extra: list[str] = (), weak: list[str] = ()) -> Column:
-    """Named in the self-description or twice in the body: OK; once, or a weak word: check; else NG.
+def access_failure(message: Column, status: Column | None) -> Column:
+    """Was a site not reached or did it refuse, as against a page that is not there or not allowed?
 
-    Where a second group is asked for and absent, OK falls to check.
+    A status decides (one that the message names, if none is given) unless the message tells of robots.txt or of a breaker.
     """
-    named = F.size(text.hits(self_text, main)) > 0
-    mentions = text.count_words(body, main)
-    base = F.when(named | (mentions >= 2), "OK").when(mentions == 1, "check")
-    base = base.when(F.size(text.hits(body, list(weak))) > 0, "check").otherwise("NG") if weak else base.otherwise("NG")
-    if extra:
-        lacks = F.size(text.hits(F.concat_ws(" ", self_text, body), list(extra))) == 0
-        base = F.when((base == "OK") & lacks, "check").otherwise(base)
-    return base
-
-
-def contact(url: Column, failure: Column, opened: Column, related: Column, limited: Column, looks: Column, redirected: Column) -> Column:
-    return (
-        F.when(url.isNull(), "check").when(failure, "check").when(~opened, "NG").when(~related, "NG").when(limited | ~looks, "check")
-        .when(redirected, "OK (redirect)").otherwise("OK")
-    )
-
-
-def access_failure(message: Column) -> Column:
-    """Refused or unreachable, as against not there or not allowed."""
-    return message.rlike("(?i)HTTP (401|403|405|429|5[0-9][0-9])|timeout|timed out|net::|robots.*(unreadable|unknown)") & ~message.rlike("(?i)disallow|HTTP 404")
+    message = F.coalesce(message, F.lit(""))
+    named = F.nullif(F.regexp_extract(message, "HTTP ([0-9]{3})", 1), F.lit("")).try_cast("int")
+    code = named if status is None else F.coalesce(status.cast("int"), named)
+    by_code = code.isin(REFUSING) | (code >= 500)
+    return F.when(F.contains(message, F.lit(FORBIDDEN)), False).when(holds_any(message, REFUSED), True).when(code.isNotNull(), by_code).otherwise(holds_any(F.lower(message), UNREACHED))
 
 
 def with_human(result: Column, decision: Column) -> Column:
     """A reviewer's decision goes before the rule's."""
-    return F.when(decision == "OK", "OK (human)").when(decision == "NG", "NG").otherwise(result)
+    return F.when(decision == "OK", SEVERITY[2]).when(decision == "NG", "NG").otherwise(result)
 
 
 def passes(result: Column) -> Column:
     return result.isin(PASSING)
-
-
-def needs_check(sig: Column, old_sig: Column, failed: Column, env: Column, old_env: Column) -> Column:
-    return old_sig.isNull() | (sig != old_sig) | (F.coalesce(failed, F.lit(False)) & (env != old_env))

@@ -60,14 +60,31 @@ def _(spark, d):
 
 
 _PATH = "coalesce(nullif(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), ''), '/')"
-_KIND_SQL = f"""CASE WHEN regexp_matches(p, '(?i)(^|/)ir(/|$)|investor|shareholder|stock|kabunushi') THEN 'IR・株主向け' WHEN regexp_matches(p, '(?i)recruit|career|saiyo') THEN '採用'
-  WHEN regexp_matches(p, '(?i)privacy|kojin') THEN '個人情報関連' WHEN regexp_matches(p, '(?i)(^|/)press(/|$)') THEN 'メディア・取材'
-  WHEN regexp_matches(p, '(?i)(^|/)(support|faq|help|customer|csr)(/|$)|myinquiry|myorder|member') THEN 'サポート・お客様窓口' WHEN regexp_matches(p, '(?i)(^|/)(en|english|us|global)(/|$)|[-_]en(/|[.]|$)') THEN '英語サイト'
-  WHEN regexp_matches(p, '(?i)(^|/)(service|services|adinfo|ad|business|product|products|brand|shop|store|ec)(/|$)|/entry(/|$)') THEN 'サービス別・個別窓口' END"""
+
+
+def _sql_list(words):
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _kind_sql(path):
+    """The purpose of a path by its segments and words; the order of the kinds is that of the table."""
+    parts, cases = f"string_split(lower({path}), '/')", []
+    for kind, places, words in links.KINDS:
+        holds = []
+        if places:
+            holds.append(f"list_has_any({parts}, {_sql_list(places)})")
+        if words:
+            holds.append(f"len(list_filter({_sql_list(words)}, lambda w: contains(lower({path}), w))) > 0")
+        if kind == links.ENGLISH:
+            holds.append(f"len(list_filter({parts}, lambda s: right(s, 3) IN ('-en', '_en') OR contains(s, '-en.') OR contains(s, '_en.'))) > 0")
+        if kind == links.SEPARATE:
+            holds.append(f"list_contains({parts}[2:], 'entry')")
+        cases.append(f"WHEN {' OR '.join(holds)} THEN '{kind}'")
+    return f"CASE {' '.join(cases)} END"
 
 
 @query("contact_kind_case", f"""WITH u AS (SELECT page_id, {_PATH} || CASE page_id % 7 WHEN 0 THEN '/ir/' WHEN 1 THEN '/recruit' WHEN 2 THEN '/faq/' WHEN 3 THEN '/service/x' WHEN 4 THEN '/contact' WHEN 5 THEN '/press/' ELSE '/privacy' END || ' ' AS p FROM pages)
-SELECT page_id, {_KIND_SQL} AS kind FROM u""")
+SELECT page_id, {_kind_sql('p')} AS kind FROM u""")
 def _(spark, d):
     tail = choose(F.col("page_id"), "/ir/", "/recruit", "/faq/", "/service/x", "/contact", "/press/", "/privacy")
     bare = F.regexp_replace("url", "[?#].*$", "")
@@ -148,27 +165,79 @@ def _(spark, d):
 # ---------------------------------------------------------------- checks
 
 
-@query("industry_checked", """WITH s AS (SELECT doc_id, doc_id % 6 AS k FROM documents) SELECT doc_id, CASE k WHEN 0 THEN 'OK' WHEN 1 THEN 'OK' WHEN 2 THEN 'check' WHEN 3 THEN 'check' WHEN 4 THEN 'NG' ELSE 'check' END AS sns,
-  CASE k WHEN 0 THEN 'NG' WHEN 1 THEN 'NG' WHEN 2 THEN 'NG' WHEN 3 THEN 'NG' WHEN 4 THEN 'check' ELSE 'check' END AS cosme FROM s""")
+#: Words of the supplied texts in the place of the configured ones.
+_CATEGORIES = {
+    "first": {"main": ["thing", "heer", "anthe"], "extra": ["ingth", "hean", "ionth"], "extra_label": "extra", "weak": ["tion"]},
+    "second": {"main": ["auxé", "leoi", "ementla", "Elle"], "weak": ["ement", "eau"]},
+    "third": {"main": ["erstin", "nthe", "schein", "aciónes"], "weak": []},
+}
+_LABELS = {"first": "A", "second": "B", "third": "C"}
+_OTHERS = ["sch", "ción", "%%%", "***", "ough"]
+_GAP = r"[\s\x{00A0}\x{3000}]+"
+
+
+def _industry_sql(key):
+    core, label = _CATEGORIES[key], _LABELS[key]
+    hits = lambda c, words: f"list_filter({_sql_list(words)}, lambda w: contains({c}, w))" if words else "[]"
+    times = " + ".join(f"len(string_split(body, '{w}')) - 1" for w in core["main"])
+    first = lambda c, words, n=3, mark="/": f"array_to_string({hits(c, words)}[1:{n}], '{mark}')"
+    own, body, near, lacks = (f"len({hits(c, w)}) {t}" for c, w, t in (("own", core["main"], "> 0"), ("body", core["main"], "> 0"), ("body", core["weak"], "> 0"), ("body", core.get("extra", []), "= 0")))
+    if not core.get("extra"):
+        lacks = "false"
+    aside = f"CASE WHEN len({hits('own', _OTHERS)}) > 0 THEN '（他に ' || {first('own', _OTHERS)} || ' 等の事業もあり、{label}は主業でない可能性）' ELSE '' END"
+    often = f"({body} AND (len({hits('body', core['main'])}) >= 2 OR {times} >= 2))"
+    return (
+        f"CASE WHEN body = '' AND own = '' THEN 'check: 公式サイトの事業内容を確認できず、業種を判断できない' WHEN NOT {own} AND NOT {body} AND NOT {near} THEN 'NG: 公式サイトの文章に「{'/'.join(core['main'][:4])}」等が見当たらず、{label}とは確認できない' "
+        f"WHEN ({own} OR {often}) AND {lacks} THEN 'check: {core.get('extra_label', '')}を示す記述が公式サイトに無く、{label}(の実態)は要確認' "
+        f"WHEN {own} THEN 'OK: 公式の自社説明に「' || {first('own', core['main'])} || '」あり。{label}を取り扱っている' || {aside} "
+        f"WHEN {often} THEN 'OK: 公式サイトの本文に「' || {first('body', core['main'])} || '」が複数あり、{label}を取り扱っている（自社説明の冒頭には無く、主業でない可能性）' || {aside} "
+        f"WHEN {body} THEN 'check: 公式サイトの本文に「' || {first('body', core['main'], 1)} || '」の言及が1回あるのみで、取り扱いの実態は要確認' "
+        f"ELSE 'check: 公式サイトに{label}を示す具体的な語がなく、関連語(' || {first('body', core['weak'])} || ')のみ。取り扱いの有無は要確認' END AS {key}")
+
+
+@query("industry_checked", f"""WITH f AS (SELECT doc_id, array_to_string(list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '\n+'), lambda x: regexp_replace(x, '^{_GAP}|{_GAP}$', '', 'g')), lambda x: x <> ''), ' | ') AS flat FROM documents),
+s AS (SELECT doc_id, regexp_replace(substr(flat, 1, 700), '{_GAP}', '', 'g') AS own, regexp_replace(flat, '{_GAP}', '', 'g') AS body FROM f)
+SELECT doc_id, {_industry_sql('first')}, {_industry_sql('second')}, {_industry_sql('third')} FROM s""")
 def _(spark, d):
-    pad = F.lit("会社" * 400)
-    title = choose(F.col("doc_id"), "SNS運用の会社", "会社", "会社", "会社", "スキンケアの会社", "")
-    body = choose(F.col("doc_id"), F.lit("本文"), F.concat(pad, F.lit("SNS広告とSNS広告")), F.concat(pad, F.lit("SNSコンサル")), F.concat(pad, F.lit("ソーシャルメディア")), F.lit("美容液"), F.lit(""))
-    own = checks.self_description(title, F.lit(""), body)
-    whole = text.squeezed(F.concat_ws(" ", title, text.flatten(body)))
-    seen = F.col("doc_id") % 6 != 5
-    return table(spark, d, "documents").select("doc_id", checks.industry("sns_agency", own, whole, seen)["result"].alias("sns"), checks.industry("cosme_d2c", own, whole, seen)["result"].alias("cosme"))
+    rule = checks.Industry(_CATEGORIES, _LABELS, _OTHERS)
+    none = F.lit(None).cast("string")
+    hits = text.once(checks.site_texts(none, none, F.col("text")), lambda s: F.struct(rule.hits(s["own"], s["body"]).alias("h"), ((s["own"] != "") | (s["body"] != "")).alias("seen")))
+    rows = table(spark, d, "documents").select("doc_id", hits.alias("w"))
+    said = lambda key: text.once(rule.check(key, F.col("w.h"), F.col("w.seen")), lambda o: F.concat(o["result"], F.lit(": "), o["comment"]))
+    return rows.select("doc_id", *[said(key).alias(key) for key in _CATEGORIES])
+
+
+_PLAIN = "regexp_replace(regexp_replace(html, '<(script|style)[^>]*>.*?</(script|style)>', ' ', 'gs'), '<[^>]*>', chr(10), 'g')"
+_HOST = "regexp_extract(lower({0}), '^[a-z]+://([^/?#:]+)', 1)"
+_SITE = "regexp_replace(" + _HOST + ", '^www[.]', '')"
+_CORE = "string_split(" + _HOST + ", '.')[-2]"
+
+
+def _own_sql(a, b):
+    x, y = _SITE.format(a), _SITE.format(b)
+    return f"({x} = {y} OR ends_with({x}, '.' || {y}) OR ends_with({y}, '.' || {x}) OR ({_CORE.format(a)} = {_CORE.format(b)} AND length({_CORE.format(a)}) >= 4))"
 
 
-@query("contact_checked", """SELECT page_id, CASE page_id % 7 WHEN 0 THEN 'OK' WHEN 1 THEN 'check' WHEN 2 THEN 'NG' WHEN 3 THEN 'check' WHEN 4 THEN 'NG' WHEN 5 THEN 'OK (redirect)' ELSE 'check' END AS result FROM pages""")
+@query("contact_checked", f"""WITH p AS (SELECT page_id, url, length(html) AS n, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, {_PLAIN} AS text FROM pages),
+m AS (SELECT p.page_id, p.n, p.url, p.title, o.url AS official, CASE WHEN p.n % 7 = 2 THEN p.url || '/moved' ELSE p.url END AS final, p.text || CASE WHEN p.page_id % 3 = 0 THEN chr(10) || 'Contact' ELSE '' END AS body, o.text AS top FROM p JOIN p o ON o.page_id = p.page_id - p.page_id % 3),
+k AS (SELECT *, list_distinct(list_filter(list_transform(string_split(body, chr(10)), lambda x: trim(x)), lambda x: x <> '')) AS a, list_distinct(list_filter(list_transform(string_split(top, chr(10)), lambda x: trim(x)), lambda x: x <> '')) AS b,
+  {_PATH.replace('(url', '(final')} AS final_path, {_SITE.format('final')} AS final_host FROM m),
+j AS (SELECT *, coalesce({_kind_sql("final_path || ' '")}, {_kind_sql('title')}) AS kind, contains(lower(body), 'contact') AND NOT (len(a) > 0 AND len(b) > 0 AND len(list_intersect(a, b)) >= 0.8 * (len(a) + len(b) - len(list_intersect(a, b)))) AS looks FROM k)
+SELECT page_id, CASE WHEN n % 7 = 1 THEN 'check' WHEN n % 7 = 0 THEN 'NG' WHEN NOT {_own_sql('url', 'official')} THEN 'NG' WHEN kind IS NOT NULL OR NOT looks THEN 'check'
+  WHEN n % 7 = 2 THEN 'OK (redirect)' ELSE 'OK' END AS result, CASE WHEN n % 7 > 1 AND {_own_sql('url', 'official')} THEN kind END AS kind FROM j""")
 def _(spark, d):
-    k = F.col("page_id")
-    url = choose(k, "https://own.jp/contact", F.lit(None).cast("string"), "https://other.jp/contact", "https://own.jp/ir/contact", "https://own.jp/contact", "https://own.jp/contact", "https://own.jp/contact")
-    final = F.when(k % 7 == 5, "https://own.jp/contact/form").otherwise(url)
-    status = F.when(k % 7 == 4, 404).when(k % 7 == 6, 503).otherwise(200)
-    page = F.struct(final.alias("final_url"), F.lit("").alias("title"), F.lit("お名前\n送信").alias("text"), F.lit(None).cast("string").alias("error"), status.alias("status"))
-    found = checks.contact(url, F.lit("https://own.jp/"), F.lit("https://own.jp/"), F.lit("トップ"), page)
-    return table(spark, d, "pages").select("page_id", found["result"].alias("result"))
+    plain = F.regexp_replace(F.regexp_replace("html", "(?s)<(script|style)[^>]*>.*?</(script|style)>", " "), "<[^>]*>", "\n")
+    p = table(spark, d, "pages").select("page_id", "url", F.length("html").alias("n"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), plain.alias("text"))
+    top = p.select(F.col("page_id").alias("o_id"), F.col("url").alias("official"), F.col("text").alias("top"))
+    met = p.join(top, F.col("page_id") - F.col("page_id") % 3 == F.col("o_id"))
+    final = F.when(F.col("n") % 7 == 2, F.concat("url", F.lit("/moved"))).otherwise(F.col("url"))
+    body = F.concat("text", F.when(F.col("page_id") % 3 == 0, "\nContact").otherwise(""))
+    status = F.when(F.col("n") % 7 == 0, 404).when(F.col("n") % 7 == 1, 503).otherwise(200)
+    page = F.struct(final.alias("final_url"), "title", body.alias("text"), F.lit(None).cast("string").alias("error"), status.alias("status"))
+    found = checks.contact(F.col("url"), F.col("official"), F.col("official"), F.col("top"), page)
+    got = met.select("page_id", found.alias("c"))
+    kinds = F.regexp_extract("c.comment", "^(.+)の問い合わせページの可能性", 1)
+    return got.select("page_id", F.col("c.result").alias("result"), F.nullif(kinds, F.lit("")).alias("kind"))
 
 
 @query("identity_checked", """WITH m AS (SELECT c_custkey, c_custkey % 3 AS named, c_nationkey % 4 AS place, c_custkey % 5 AS site FROM customer)

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import figures, text, urls
-from ..operators import extract, fusion, robots, verify
+from ..operators import checks, extract, fusion, robots, verify
 from .tables import table
 
 Q, S = {}, {}
@@ -57,8 +57,9 @@ def _(spark, d):
 b AS (SELECT *, CASE WHEN contains(own, 'thing') OR contains(own, 'heer') OR n >= 2 THEN 'OK' WHEN n = 1 THEN 'check' WHEN contains(text, 'tion') THEN 'check' ELSE 'NG' END AS base FROM s)
 SELECT doc_id, CASE WHEN base = 'OK' AND NOT (contains(own || ' ' || text, 'ingth') OR contains(own || ' ' || text, 'hean')) THEN 'check' ELSE base END AS result FROM b""")
 def _(spark, d):
-    rows = table(spark, d, "documents")
-    return rows.select("doc_id", verify.industry(F.substring("text", 1, 200), F.col("text"), ["thing", "heer"], ["ingth", "hean"], ["tion"]).alias("result"))
+    rule = checks.Industry({"x": {"main": ["thing", "heer"], "extra": ["ingth", "hean"], "weak": ["tion"]}}, {"x": "x"}, [])
+    rows = table(spark, d, "documents").select("doc_id", rule.hits(F.substring("text", 1, 200), F.col("text")).alias("hits"))
+    return rows.select("doc_id", rule.check("x", F.col("hits"), F.lit(True))["result"].alias("result"))
 
 
 @query("number_extraction", """WITH n AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[0-9][0-9,]*'), lambda x: TRY_CAST(replace(x, ',', '') AS BIGINT)), lambda x: x BETWEEN 1 AND 500000) AS found FROM documents)

@@ -15,7 +15,7 @@ FIELDS = {"address": "address", "employees": "employees", "profile": "profileTex
 
 
 def key_of(name):
-    return text.normalize_name(text.half(F.regexp_replace(text.trimmed(name), "\\s+", " ")))
+    return text.normalize_name(F.regexp_replace(text.trimmed(name), "\\s+", " "))
 
 
 def records(lists: DataFrame, details: DataFrame | None, source: str, limit: int, offset: int = 0) -> DataFrame:

@@ -105,7 +105,7 @@ def tabbed(label: str) -> Column:
 
 def number(c: Column, shape: str) -> Column:
     """The first number of a folded text by a shape with one group."""
-    return F.replace(F.regexp_extract(text.half(c), shape, 1), F.lit(","), F.lit("")).try_cast("bigint")
+    return F.replace(F.regexp_extract(text.nfkc(c), shape, 1), F.lit(","), F.lit("")).try_cast("bigint")
 
 
 def each(array: Column, make, keep) -> Column:
@@ -185,7 +185,7 @@ def _():
     blocks = F.transform(spans, lambda s: from_(ls, s["a"] + 1, s["e"] - s["a"] - 1))
 
     def make(b, _):
-        size = text.half(F.element_at(b, -1))
+        size = text.nfkc(F.element_at(b, -1))
         low = F.regexp_extract(size, "^([0-9]+)\\s*[-〜~]\\s*[0-9]+名$|^([0-9]+)名以上$", 1)
         more = F.regexp_extract(size, "^([0-9]+)名以上$", 1)
         tags = from_(b, F.lit(3), F.size(b) - 4)
@@ -209,7 +209,7 @@ def _():
     fit = lambda x, _: F.length(x).between(2, 45) & ~x.rlike("[。！？!?]") & ~x.rlike(stop) & ~x.rlike("とは$") & ~x.rlike(f"^{PREFECTURES}$")
     found = each(ls, lambda x, i: record(name=named(x, i), profile=x), fit)
     found = F.filter(found, lambda r: r["name"].isNotNull())
-    return once(F.transform(found, lambda r: r.withField("note", F.regexp_replace(F.lower(text.half(r["name"])), "\\s", ""))), "note")
+    return once(F.transform(found, lambda r: r.withField("note", F.regexp_replace(F.lower(text.nfkc(r["name"])), "\\s", ""))), "note")
 
 
 @listing("aspic")
@@ -327,7 +327,7 @@ def _():
 def _():
     labels = ["会社名", "業界", "企業の特徴", "設立年月", "代表者氏名", "事業内容", "株式公開（証券取引所）", "従業員数", "平均年齢", "本社住所", "資本金", "売上高"]
     g = lambda label: under(_c("part"), label, labels)
-    address = F.coalesce(F.nullif(g("本社住所"), F.lit("")), geo.address(text.half(text.flatten(F.col("text"))))["address"])
+    address = F.coalesce(F.nullif(g("本社住所"), F.lit("")), geo.address(text.nfkc(text.flatten(F.col("text"))))["address"])
     return record(name=g("会社名"), address=address, employees=number(g("従業員数"), "([0-9,]+)人"), note=g("従業員数"), profile=F.concat_ws(" / ", F.nullif(g("業界"), F.lit("")), F.nullif(g("事業内容"), F.lit(""))), founded=g("設立年月"))
 
 
@@ -485,7 +485,7 @@ def _():
 
 @detail("salesnow")
 def _():
-    flat = text.half(text.flatten(F.col("text")))
+    flat = text.nfkc(text.flatten(F.col("text")))
     g = lambda shape: F.nullif(text.trimmed(F.regexp_extract(flat, shape, 1)), F.lit(""))
     return record(
         official_url=g("ホームページ \\| (https?://[^\\s|]+)"), address=g("住所\\(登記所在地\\) \\| ([^|]+)"), employees=number(flat, "正社員規模\\(推定\\) \\| ([0-9,]+)名"),
@@ -531,9 +531,9 @@ def _():
 def _():
     ls = _c("ls")
     block = from_(ls, find(ls, lambda x: x == "会社情報"), 12)
-    whole = text.half(F.array_join(block, "\n"))
+    whole = text.nfkc(F.array_join(block, "\n"))
     site = F.coalesce(first(block, lambda x: x.rlike("^https?://")), first(F.transform("anchors", lambda a: a["href"]), lambda h: h.rlike("^https?://") & ~h.rlike("wantedly|facebook|twitter|instagram|youtube|x\\.com")))
-    return record(address=geo.address(text.half(F.array_join(block, " | ")))["address"], official_url=site, members=number(whole, "([0-9,]+)\\s*人のメンバー"), founded=F.regexp_extract(whole, "([0-9]{4}/[0-9]{1,2})\\s*に設立", 1), note=text.clip(F.array_join(block, " | "), 200))
+    return record(address=geo.address(text.nfkc(F.array_join(block, " | ")))["address"], official_url=site, members=number(whole, "([0-9,]+)\\s*人のメンバー"), founded=F.regexp_extract(whole, "([0-9]{4}/[0-9]{1,2})\\s*に設立", 1), note=text.clip(F.array_join(block, " | "), 200))
 
 
 @listing("webkanji")
@@ -569,7 +569,7 @@ def _():
 @listing("mynavi")
 def _():
     raw = F.transform(F.split("text", "\n"), text.trimmed)
-    squeeze = lambda c: F.regexp_replace(text.half(c), "\\s+", "")
+    squeeze = lambda c: F.regexp_replace(text.nfkc(c), "\\s+", "")
 
     def make(x, i):
         near = from_(raw, i + 2, 3)
@@ -615,6 +615,6 @@ def _():
     at = find(ls, lambda x: x == "企業情報")
     own = F.when(at > 0, from_(ls, at, 14)).otherwise(ls)
     size = after(own, "社員数")
-    band = figures.headcount_range(text.half(size))
+    band = figures.headcount_range(text.nfkc(size))
     site = after(own, "URL")
     return record(address=after(own, "所在地"), official_url=F.when(site.rlike("^https?://"), site), employees=figures.range_to_point(band["min"], band["max"]), note=size, profile=after(own, "業界"))

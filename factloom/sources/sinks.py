@@ -9,19 +9,25 @@ from pyspark.sql import functions as F
 
 from ..functions.text import csv_cell
 from ..operators import checks, config, consolidate, review
+from . import ordered
 
 
-def report_lines(rows: DataFrame, columns: list[str], order: list[Column]) -> DataFrame:
-    """The CSV lines of a report, header with byte order mark first; one text column, in order."""
-    head = "﻿" + ",".join(columns)
-    body = F.concat_ws(",", *[csv_cell(F.col(c).cast("string")) for c in columns])
-    lines = rows.orderBy(*order).select(body.alias("value"))
-    return rows.sparkSession.createDataFrame([(head,)], "value string").unionAll(lines)
+MARK = "\ufeff"
+
+
+def csv_lines(rows: DataFrame) -> DataFrame:
+    """A CSV line for each row, in the order the rows have."""
+    return rows.select(F.concat_ws(",", *[csv_cell(F.col(f"`{c}`").cast("string")) for c in rows.columns]).alias("value"))
+
+
+def write_sheet(rows: DataFrame, path: str) -> None:
+    """A sheet as one CSV file: byte order mark and header, then the rows in the order they have."""
+    ordered.write_lines(csv_lines(rows), path, MARK + ",".join(rows.columns))
 
 
 def write_report(rows: DataFrame, path: str, columns: list[str], order: list[Column]) -> None:
-    """One small file: a report is a top-k or a summary, and its size is the reader's."""
-    report_lines(rows, columns, order).coalesce(1).write.mode("overwrite").text(path)
+    """``columns`` of ``rows`` as a sheet, by ``order``."""
+    write_sheet(rows.orderBy(*order).select(*columns), path)
 
 
 def write_json(rows: DataFrame, path: str) -> None:
@@ -125,11 +131,3 @@ def review_sheet(queue_rows: DataFrame) -> DataFrame:
     }
     blank = [review.COLUMNS[c] for c in ("industry", "employees", "contact", "identity", "employees_value", "contact_value", "official_value", "note")]
     return review.ordered(queue_rows).select(*[c.cast("string").alias(n) for n, c in known.items()], *[F.lit("").alias(n) for n in blank])
-
-
-def write_sheet(rows: DataFrame, path: str) -> None:
-    """A sheet in the order it has: CSV lines with a byte order mark, one file (a report's size is its reader's)."""
-    head = "\ufeff" + ",".join(rows.columns)
-    body = F.concat_ws(",", *[csv_cell(F.col(f"`{c}`")) for c in rows.columns])
-    lines = rows.select(body.alias("value"))
-    rows.sparkSession.createDataFrame([(head,)], "value string").unionAll(lines).coalesce(1).write.mode("overwrite").text(path)

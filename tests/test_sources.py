@@ -1,6 +1,8 @@
 import datetime as dt
 import zipfile
 
+import pytest
+
 from factloom.sources import readers, sinks
 from factloom.streaming import progress as stream
 
@@ -35,10 +37,28 @@ def test_registry_files(spark, tmp_path):
     assert (facts["current"], facts["single"]) == (1786, 568)
 
 
-def test_report(spark):
+def test_report(spark, tmp_path):
     rows = spark.createDataFrame([("b", 'say "x"'), ("a", "1,2")], "name string, said string")
-    got = [r["value"] for r in sinks.report_lines(rows, ["name", "said"], ["name"]).collect()]
-    assert got == ["﻿name,said", 'a,"1,2"', 'b,"say ""x"""']
+    sinks.write_report(rows, str(tmp_path / "r.csv"), ["name", "said"], ["name"])
+    assert (tmp_path / "r.csv").read_text(encoding="utf-8") == '\ufeffname,said\na,"1,2"\nb,"say ""x"""\n'
+
+
+def test_report_of_many_partitions_keeps_its_order(spark, tmp_path):
+    path = tmp_path / "r.csv"
+    rows = spark.range(10_000).selectExpr("9999 - id AS n", "concat('x', id) AS t").repartition(7)
+    for kept in (rows, rows.where("n < 5"), rows.limit(0)):  # a later report takes the place of an earlier one
+        sinks.write_report(kept, str(path), ["n", "t"], ["n"])
+        lines = path.read_text(encoding="utf-8").splitlines()
+        assert lines[0] == "\ufeffn,t" and [int(x.split(",")[0]) for x in lines[1:]] == sorted(r["n"] for r in kept.collect())
+        assert [p.name for p in tmp_path.iterdir()] == ["r.csv"]
+
+
+def test_a_report_that_fails_leaves_the_old_one(spark, tmp_path):
+    path = tmp_path / "r.csv"
+    sinks.write_report(spark.range(3), str(path), ["id"], ["id"])
+    with pytest.raises(Exception):
+        sinks.write_report(spark.range(100).selectExpr("if(id = 77, raise_error('no'), id) AS id"), str(path), ["id"], ["id"])
+    assert path.read_text(encoding="utf-8").splitlines()[1:] == ["0", "1", "2"] and [p.name for p in tmp_path.iterdir()] == ["r.csv"]
 
 
 def test_stream_equals_batch(spark, tmp_path):
