@@ -148,14 +148,21 @@ def choose_headcount(single: Column, consolidated: Column, has_group: Column) ->
     )
 
 
-def annual_reports(listing: DataFrame) -> DataFrame:
-    """Annual reports of companies that were not withdrawn, slimmed to five fields."""
+def annual_reports(listing: DataFrame, *more: str) -> DataFrame:
+    """Annual reports of companies that were not withdrawn, slimmed to five fields (and ``more`` columns of the listing)."""
     # The codes of an annual report in the listing.
     kept = listing.where("docTypeCode = '120' AND formCode = '030000' AND ordinanceCode = '010' AND coalesce(withdrawalStatus, '0') = '0' AND edinetCode IS NOT NULL")
-    return kept.select("docID", "edinetCode", "secCode", "periodEnd", "submitDateTime")
+    return kept.select("docID", "edinetCode", "secCode", "periodEnd", "submitDateTime", *more)
 
 
 def latest_reports(reports: DataFrame, seq: str) -> DataFrame:
     """The newest report of each company by period and time of filing, as text; ties to the first."""
     w = Window.partitionBy("edinetCode").orderBy(F.desc(F.concat_ws("|", F.coalesce("periodEnd", F.lit("")), F.coalesce("submitDateTime", F.lit("")))), seq)
     return reports.withColumn("_at", F.row_number().over(w)).where("_at = 1").drop("_at")
+
+
+def newest(reports: DataFrame) -> DataFrame:
+    """The newest report of each company by period and time of filing, then by its id: a maximum, so it can be kept up by merging."""
+    rest = [c for c in reports.columns if c != "edinetCode"]
+    place = F.struct(F.concat_ws("|", F.coalesce("periodEnd", F.lit("")), F.coalesce("submitDateTime", F.lit(""))), F.col("docID"))
+    return reports.groupBy("edinetCode").agg(F.max_by(F.struct(*rest), place).alias("_r")).select("edinetCode", "_r.*").select(reports.columns)

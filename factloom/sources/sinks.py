@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import csv_cell
 from ..operators import checks, config, consolidate, review
-from . import ordered
+from . import ordered, stores
 
 
 MARK = "\ufeff"
@@ -35,7 +35,8 @@ def write_json(rows: DataFrame, path: str) -> None:
 
 
 def write_state(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").parquet(path)
+    """Replace a versioned table by ``rows``, which may have been read from it."""
+    stores.VersionedTable(rows.sparkSession, path, rows.schema).replace(rows)
 
 
 # ------------------------------------------------------------------ reports
