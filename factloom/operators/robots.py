@@ -32,6 +32,11 @@ def regex_of(pattern: Column) -> Column:
     return F.concat(F.lit("^"), F.replace(body, F.lit("*"), F.lit(".*")), F.when(ended, "$").otherwise(""))
 
 
+def literal_head(pattern: Column) -> Column:
+    """What a path must start with for a pattern to hold: all before its first *, and without a closing $."""
+    return F.regexp_replace(F.substring_index(pattern, "*", 1), "\\$$", "")
+
+
 def allowed(requests: DataFrame, rules: DataFrame, key: str, path: str, ident: str, agent: str = "*", files: DataFrame | None = None) -> DataFrame:
     """requests with ``allowed``; rules of groups that the agent's name holds go before those of ``*``.
 
@@ -40,10 +45,15 @@ def allowed(requests: DataFrame, rules: DataFrame, key: str, path: str, ident: s
     named = rules.where((F.col("agent") != "*") & F.contains(F.lit(agent.lower()), F.lower("agent")))
     general = rules.where("agent = '*'")
     chosen = named.union(general.join(named.select(key).distinct(), key, "left_anti"))
-    chosen = chosen.select(F.col(key).alias("_k"), "allow", F.length("pattern").alias("_n"), regex_of(F.col("pattern")).alias("_re"))
-    met = requests.join(chosen, (F.col(key) == F.col("_k")) & F.expr(f"{path} rlike _re"), "left")
-    best = met.groupBy(ident).agg(F.max(F.when(F.col("_n").isNotNull(), F.struct("_n", "allow"))).alias("_best"))
-    out = requests.join(best.select(ident, F.coalesce(F.col("_best.allow"), F.lit(True)).alias("allowed")), ident)
+    chosen = chosen.select(F.col(key).alias("_k"), "allow", F.length("pattern").alias("_n"), literal_head(F.col("pattern")).alias("_head"), F.when(F.col("pattern").rlike("[*]|[$]$"), regex_of(F.col("pattern"))).alias("_re"))
+    # a rule can only hold where the path starts with its literal head: those of the lengths that the origin's rules have are the join keys
+    lengths = chosen.groupBy(F.col("_k").alias("_l")).agg(F.collect_set(F.length("_head")).alias("_lengths"))
+    tried = requests.select(ident, key, F.col(path).alias("_path")).join(lengths, F.col(key) == F.col("_l"))
+    tried = tried.select(ident, F.col(key).alias("_o"), "_path", F.explode(F.filter("_lengths", lambda n: n <= F.length("_path"))).alias("_at"))
+    tried = tried.select(ident, "_o", "_path", F.substring("_path", F.lit(1), F.col("_at")).alias("_start"))
+    met = tried.join(chosen, (F.col("_o") == F.col("_k")) & (F.col("_start") == F.col("_head"))).where("_re IS NULL OR _path rlike _re")
+    best = met.groupBy(ident).agg(F.max(F.struct("_n", "allow")).alias("_best")).select(F.col(ident).alias("_i"), F.col("_best.allow").alias("_allow"))
+    out = requests.join(best, F.col(ident) == F.col("_i"), "left").withColumn("allowed", F.coalesce("_allow", F.lit(True))).drop("_i", "_allow")
     if files is None:
         return out
     state = files.select(F.col(key).alias("_f"), F.col("policy").alias("_policy"))
@@ -81,3 +91,18 @@ def policy(status: Column) -> Column:
     """What a file's status means: its rules, free, or closed."""
     code = status.try_cast("int")
     return F.when((code >= 200) & (code < 300), "rules").when(code.isin(404, 410), "free").otherwise("closed")
+
+
+def crawl_counts(log: DataFrame) -> DataFrame:
+    """(host, outcome, level, requests) of a log of requests (host, outcome): every host and outcome, every host, every outcome, and all."""
+    levels = {"host and outcome": 0, "host": 1, "outcome": 2, "all": 3}
+    per = log.groupingSets([["host", "outcome"], ["host"], ["outcome"], []], "host", "outcome").agg(F.grouping_id().alias("_level"), F.count("*").alias("requests"))
+    named = F.lit(None).cast("string")
+    for name, k in levels.items():
+        named = F.when(F.col("_level") == k, name).otherwise(named)
+    return per.select("host", "outcome", named.alias("level"), "requests")
+
+
+def outcome(cached: Column, allowed_: Column, tripped: Column, status: Column, error: Column) -> Column:
+    """What became of a request: from the store, not asked for (forbidden, or the host's breaker is open), failed, or fetched."""
+    return F.when(cached, "cached").when(~allowed_ | tripped, "blocked").when(error.isNotNull() | (status >= 400), "failed").otherwise("fetched")

@@ -66,3 +66,31 @@ def lacks(rows: DataFrame, evidence: DataFrame, key: str, sources: list[str]) ->
 def only_missing(missing: Column, prefix: str) -> Column:
     """True where all that is missing starts with the prefix."""
     return (F.size(missing) > 0) & F.forall(missing, lambda m: F.startswith(m, F.lit(prefix)))
+
+
+def fresh_prefix(rows: DataFrame, group: str, page: str, name: str, order: list[Column]) -> DataFrame:
+    """Rows of a list's pages up to the first page that shows no new name, each name at its first sighting.
+
+    A page is read on only while it adds something, so the pages that count are the longest prefix of pages with a new name;
+    a page that shows nothing, or that is not there, ends it as well.  First sightings are minima per (list, name) and pages are
+    counted per (list, page): no list is ordered in one task.
+    """
+    place = F.struct(*[F.col(page).alias("p"), *[c.alias(f"o{k}") for k, c in enumerate(order)]])
+    others = [c for c in rows.columns if c not in (group, name)]
+    first = rows.groupBy(group, name).agg(F.min_by(F.struct(*others), place).alias("_first")).select(group, name, "_first.*").select(rows.columns)
+    pages = first.select(group, page).distinct()
+    # pages with something new that follow on one another from a list's first page: place and number run alike
+    first_page = rows.groupBy(group).agg(F.min(page).alias("_start"))
+    w = Window.partitionBy(group).orderBy(page)
+    run = pages.join(first_page, group).withColumn("_at", F.row_number().over(w)).where(F.col(page) - F.col("_start") + 1 == F.col("_at"))
+    return first.join(run.select(F.col(group).alias("_g"), F.col(page).alias("_p")), (F.col(group) == F.col("_g")) & (F.col(page) == F.col("_p")), "left_semi")
+
+
+def paged_window(rows: DataFrame, group: str, page: str, order: list[Column], offset: int, limit: int) -> DataFrame:
+    """Rows ``offset`` + 1 to ``offset`` + ``limit`` of every list by (page, order): places within a page behind the sum of the pages before it."""
+    sizes = rows.groupBy(group, page).agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy(page).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    met = before.where(F.col("_before") < offset + limit).select(F.col(group).alias("_g"), F.col(page).alias("_p"), "_before")
+    kept = rows.join(met, F.col(group).eqNullSafe(F.col("_g")) & F.col(page).eqNullSafe(F.col("_p"))).drop("_g", "_p")
+    at = F.col("_before") + F.row_number().over(Window.partitionBy(group, page).orderBy(*order))
+    return kept.withColumn("_at", at).where(F.col("_at").between(offset + 1, offset + limit)).drop("_at", "_before")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
-from ..operators import config, enrich
+from ..operators import config, enrich, workset
 from . import parsers
 
 #: Sources whose list pages are turned over; the others are read from an offset within one page.
@@ -25,9 +25,8 @@ def records(lists: DataFrame, details: DataFrame | None, source: str, limit: int
     """
     rows = parsers.listed(lists.withColumn("page", F.coalesce("page", F.lit(1))) if "page" in lists.columns else lists, source)
     rows = rows.join(lists.select("url", F.col("page") if "page" in lists.columns else F.lit(1).alias("page")), "url")
-    if source in ("kyujinbox", "stanby"):  # a company that an earlier page showed is not new
-        seen = Window.partitionBy("name").orderBy("page", "pos")
-        rows = rows.withColumn("_n", F.row_number().over(seen)).where("_n = 1").drop("_n")
+    if source in ("kyujinbox", "stanby"):  # a company that an earlier page showed is not new, and a page without a new one is the last
+        rows = workset.fresh_prefix(rows.withColumn("_list", F.lit(source)), "_list", "page", "name", [F.col("url"), F.col("pos")]).drop("_list")
     if source in parsers.DETAILS and details is not None:
         more = parsers.detailed(details, source)
         more = more.select(F.col("url").alias("d_url"), *[F.col(c).alias(f"d_{c}") for c in parsers.RECORD])
@@ -43,7 +42,9 @@ def records(lists: DataFrame, details: DataFrame | None, source: str, limit: int
             first = lambda c: F.when(fits, F.col("d_official_url")) if c == "official_url" else F.col(c)
         rows = rows.select("url", "page", "pos", *[first(c).alias(c) for c in parsers.RECORD])
     rows = rows.where("name IS NOT NULL AND name <> ''")
-    every = Window.partitionBy(F.lit(source)).orderBy("page", "url", "pos") if source in PAGED else Window.partitionBy("url").orderBy("pos")
+    if source in PAGED:
+        return workset.paged_window(rows.withColumn("_list", F.lit(source)), "_list", "page", [F.col("url"), F.col("pos")], offset, limit).drop("_list")
+    every = Window.partitionBy("url").orderBy("pos")
     return rows.withColumn("_at", F.row_number().over(every)).where(F.col("_at").between(offset + 1, offset + limit)).drop("_at")
 
 

@@ -132,3 +132,10 @@ def review_sheet(queue_rows: DataFrame) -> DataFrame:
     }
     blank = [review.COLUMNS[c] for c in ("industry", "employees", "contact", "identity", "employees_value", "contact_value", "official_value", "note")]
     return review.ordered(queue_rows).select(*[c.cast("string").alias(n) for n, c in known.items()], *[F.lit("").alias(n) for n in blank])
+
+
+def write_robots_report(report: DataFrame, path: str) -> None:
+    """The robots report as a sheet: one line a source, its addresses that are not allowed in one cell."""
+    closed = F.array_join(F.transform(F.filter("checks", lambda c: ~c["allowed"]), lambda c: c["url"]), " ; ")
+    rows = report.select("source", "origin", "status", "error", "groups", "star_rules", F.coalesce(F.size("checks"), F.lit(0)).alias("checked"), closed.alias("disallowed"))
+    write_report(rows, path, rows.columns, [F.col("source"), F.col("origin")])
