@@ -2,50 +2,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STATE = "key long, next_page int, found long, exhausted boolean, failures int, runs int, last_at timestamp, failed_at timestamp"
-
-
-def step(state: dict, found: int, failed: bool, at) -> dict:
-    """One run: a failure counts; nothing at the first position is suspicious; nothing later is the end; else advance."""
-    new = dict(state, runs=state["runs"] + 1, last_at=at)
-    if failed and not found:
-        return new | {"failures": state["failures"] + 1, "failed_at": at}
-    if not found and state["next_page"] == 1:
-        return new | {"failures": state["failures"] + 1, "failed_at": at}
-    if not found:
-        return new | {"exhausted": True, "failures": 0, "failed_at": None}
-    return new | {"found": state["found"] + found, "next_page": state["next_page"] + 1, "failures": 0, "failed_at": None}
-
-
-def start() -> dict:
-    return {"next_page": 1, "found": 0, "exhausted": False, "failures": 0, "runs": 0, "last_at": None, "failed_at": None}
-
-
-def fold(runs: DataFrame) -> DataFrame:
-    """State of every key after its runs (key, seq, found, failed, at), in the engine: an ordered aggregate, no Python."""
-    empty = F.struct(
-        F.lit(1).alias("next_page"), F.lit(0).cast("long").alias("found"), F.lit(False).alias("exhausted"), F.lit(0).alias("failures"), F.lit(0).alias("runs"),
-        F.lit(None).cast("timestamp").alias("last_at"), F.lit(None).cast("timestamp").alias("failed_at"),
-    )
-
-    def go(s, r):
-        nothing = r["found"] == 0
-        bad = nothing & (r["failed"] | (s["next_page"] == 1))
-        return F.struct(
-            (s["next_page"] + F.when(nothing, 0).otherwise(1)).alias("next_page"), (s["found"] + r["found"]).alias("found"), (s["exhausted"] | (nothing & ~bad)).alias("exhausted"),
-            F.when(bad, s["failures"] + 1).otherwise(0).alias("failures"), (s["runs"] + 1).alias("runs"), r["at"].alias("last_at"), F.when(bad, r["at"]).alias("failed_at"),
-        )
-
-    ordered = runs.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("seq", "found", "failed", "at"))).alias("runs"))
-    return ordered.select("key", F.aggregate("runs", empty, go).alias("s")).select("key", "s.*")
-
-
 EMPTY_LIST = "一覧から1社も取れなかった（ページ構造の変更・遮断画面・空の一覧のいずれか）"
 
 
@@ -70,6 +29,31 @@ def apply_run(prev: Column, found: Column, errors: Column, last_page: Column, at
     )
 
 
+def fold(runs: DataFrame) -> DataFrame:
+    """Records of keys after all of their runs (key, seq, found, errors, last_page, at) in the order of seq, as ``apply_run`` gives them one by one.
+
+    The rule takes no list of runs: a list is at its very first place until a run finds something, so which runs failed
+    follows from the first run that did, and the failures at the end are the runs behind the last that was none.  Two
+    rounds of partial aggregates do for a key of any length.
+    """
+    bad, nothing = F.size("errors") > 0, F.col("found") == 0
+    at = lambda holds: F.when(holds, F.col("seq"))
+    error = F.substring(F.regexp_replace(F.try_element_at("errors", F.lit(1)), "^\\s*!\\s*", ""), 1, 200)
+    paged = ~nothing & F.col("last_page").isNotNull()
+    per = runs.groupBy("key").agg(
+        F.min(at(~nothing)).alias("_first"), F.max(at(~nothing)).alias("_last"), F.max(at(nothing & ~bad)).alias("_empty"), F.max("seq").alias("_end"), F.max_by(F.col("last_page") + 1, at(paged)).alias("_next"),
+        F.sum(F.when(~nothing & F.col("last_page").isNull(), F.col("found")).otherwise(0)).alias("_offset"), F.sum("found").alias("found"), F.count("*").alias("runs"), F.max_by(F.struct("at", error.alias("error"), bad.alias("bad")), "seq").alias("_run"))
+    ended = F.coalesce(F.col("_empty") > F.col("_first"), F.lit(False))
+    per = per.withColumn("_ended", ended).withColumn("_fine", F.greatest("_last", F.when(ended, F.col("_empty"))))
+    failing = per.where("_fine IS NULL OR _fine < _end").select(F.col("key").alias("_k"), F.col("_fine").alias("_f"))
+    lately = runs.join(failing, F.col("key") == F.col("_k")).where("_f IS NULL OR seq > _f").groupBy("_k").agg(F.count("*").alias("_failures"))
+    done = per.join(lately, F.col("key") == F.col("_k"), "left")
+    failed = F.col("_failures").isNotNull()
+    return done.select(
+        "key", F.coalesce("_next", F.lit(1)).cast("int").alias("nextPage"), F.col("_offset").cast("int").alias("offset"), F.col("found").cast("int").alias("found"), F.col("_ended").alias("exhausted"), F.coalesce("_failures", F.lit(0)).cast("int").alias("failures"),
+        F.when(failed & ~F.col("_run.bad"), EMPTY_LIST).otherwise(F.col("_run.error")).alias("lastError"), F.when(failed, F.col("_run.at")).alias("failedAt"), F.col("runs").cast("int").alias("runs"), F.col("_run.at").alias("lastAt"))
+
+
 def apply_runs(records: DataFrame, runs: DataFrame) -> DataFrame:
     """Records (key, ...) after one run each (key, found, errors, last_page, at); new keys start, others stay as they are."""
     old = records.select(F.col("key").alias("_k"), F.struct(*[c for c in records.columns if c != "key"]).alias("_prev"))
@@ -114,9 +98,3 @@ def retry_wait(status: Column, attempt: Column, retries: int = 2) -> Column:
     """Seconds to wait before the next attempt; null for none."""
     final = (attempt >= retries) | ((status < 500) & ~status.isin(400, 429))
     return F.when(final, None).when(status.isNotNull(), 6 * (attempt + 1)).otherwise(2 * (attempt + 1))
-
-
-def as_pandas(rows: pd.DataFrame, state: dict) -> dict:
-    for r in rows.sort_values("seq").itertuples():
-        state = step(state, int(r.found), bool(r.failed), r.at.to_pydatetime() if isinstance(r.at, pd.Timestamp) else r.at or dt.datetime.min)
-    return state

@@ -19,20 +19,23 @@ def query(name, sql=None):
 
 
 def runs(spark, d):
-    e = table(spark, d, "events")
+    """events as runs of lists: errors find nothing; the pages of every second list are counted."""
+    e, bad = table(spark, d, "events"), F.col("event_type") == "error"
     return e.select(
-        F.col("user_id").alias("key"), F.col("event_id").alias("seq"), F.when(F.col("event_type") == "error", 0).otherwise(F.floor("value")).cast("long").alias("found"),
-        (F.col("event_type") == "error").alias("failed"), F.col("ts").cast("timestamp").alias("at"),
-    )
+        F.col("user_id").alias("key"), F.col("event_id").alias("seq"), F.when(bad | (F.col("event_type") == "view"), 0).otherwise(F.floor("value")).cast("int").alias("found"),
+        F.when(bad, F.array(F.lit("! HTTP 500"))).otherwise(F.array().cast("array<string>")).alias("errors"), F.when(F.col("user_id") % 2 == 0, F.col("event_id") % 30).cast("int").alias("last_page"), F.col("ts").cast("timestamp").alias("at"))
 
 
-@query("progress_fold", """WITH RECURSIVE r AS (SELECT user_id AS key, CASE WHEN event_type = 'error' THEN 0 ELSE CAST(floor(value) AS BIGINT) END AS found, event_type = 'error' AS failed, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
-s AS (SELECT key, 0::BIGINT AS n, 1 AS next_page, 0::BIGINT AS found, false AS exhausted, 0 AS failures FROM (SELECT DISTINCT key FROM r)
-  UNION ALL SELECT s.key, s.n + 1, s.next_page + CASE WHEN r.found = 0 THEN 0 ELSE 1 END, s.found + r.found, s.exhausted OR (r.found = 0 AND NOT (r.failed OR s.next_page = 1)),
-    CASE WHEN r.found = 0 AND (r.failed OR s.next_page = 1) THEN s.failures + 1 ELSE 0 END FROM s JOIN r ON r.key = s.key AND r.n = s.n + 1)
-SELECT key, next_page, found, exhausted, failures, CAST(n AS INTEGER) AS runs FROM s QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC) = 1""")
+@query("progress_fold", """WITH RECURSIVE r AS (SELECT user_id AS key, CASE WHEN event_type IN ('error', 'view') THEN 0 ELSE CAST(floor(value) AS INTEGER) END AS found, event_type = 'error' AS bad, CASE WHEN user_id % 2 = 0 THEN CAST(event_id % 30 AS INTEGER) END AS last_page,
+  row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+s AS (SELECT key, 0::BIGINT AS n, 1 AS page, 0 AS off, 0 AS found, false AS exhausted, 0 AS failures, NULL::VARCHAR AS error FROM (SELECT DISTINCT key FROM r)
+  UNION ALL SELECT s.key, s.n + 1, CASE WHEN r.found > 0 AND r.last_page IS NOT NULL THEN r.last_page + 1 ELSE s.page END, CASE WHEN r.found > 0 AND r.last_page IS NULL THEN s.off + r.found ELSE s.off END, s.found + r.found,
+    s.exhausted OR (r.found = 0 AND NOT (r.bad OR (s.found = 0 AND s.page = 1 AND s.off = 0))), CASE WHEN r.found = 0 AND (r.bad OR (s.found = 0 AND s.page = 1 AND s.off = 0)) THEN s.failures + 1 ELSE 0 END,
+    CASE WHEN r.bad THEN 'HTTP 500' WHEN r.found = 0 AND s.found = 0 AND s.page = 1 AND s.off = 0 THEN 'empty' END FROM s JOIN r ON r.key = s.key AND r.n = s.n + 1)
+SELECT key, page AS next_page, off AS start, found, exhausted, failures, CAST(n AS INTEGER) AS runs, error FROM s QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC) = 1""")
 def _(spark, d):
-    return progress.fold(runs(spark, d)).select("key", "next_page", "found", "exhausted", "failures", "runs")
+    got = progress.fold(runs(spark, d))
+    return got.select("key", F.col("nextPage").alias("next_page"), F.col("offset").alias("start"), "found", "exhausted", "failures", "runs", F.when(F.col("lastError") == progress.EMPTY_LIST, "empty").otherwise(F.col("lastError")).alias("error"))
 
 
 @query("incremental_recompute", """SELECT d.doc_id, d.n_chars, l.quality FROM documents d JOIN labels l USING (doc_id) WHERE NOT (d.doc_id % 3 <> 0 AND l.quality = 1)""")

@@ -42,10 +42,10 @@ def test_robots(spark):
 
 def test_progress_and_breaker(spark):
     t = dt.datetime(2024, 1, 1)
-    runs = [(1, 0, 5, False, t), (1, 1, 0, False, t), (2, 0, 0, True, t), (2, 1, 0, False, t), (2, 2, 3, True, t)]
-    df = spark.createDataFrame(runs, "key long, seq long, found long, failed boolean, at timestamp")
-    got = {r["key"]: (r["next_page"], r["found"], r["exhausted"], r["failures"], r["runs"]) for r in progress.fold(df).collect()}
-    assert got == {1: (2, 5, True, 0, 2), 2: (2, 3, False, 0, 3)}
+    runs = [(1, 0, 5, [], 1, t), (1, 1, 0, [], None, t), (2, 0, 0, ["! x"], None, t), (2, 1, 0, [], None, t), (2, 2, 3, ["! y"], None, t)]
+    df = spark.createDataFrame(runs, "key long, seq long, found int, errors array<string>, last_page int, at timestamp")
+    got = {r["key"]: (r["nextPage"], r["offset"], r["found"], r["exhausted"], r["failures"], r["lastError"], r["runs"]) for r in progress.fold(df).collect()}
+    assert got == {1: (2, 0, 5, True, 0, None, 2), 2: (1, 3, 3, False, 0, "y", 3)}
     log = spark.createDataFrame([("h", i, s) for i, s in enumerate([403, 403, 200, 429, 405, 403, 403])] + [("g", 0, 403)], "host string, seq long, status int")
     assert [tuple(r) for r in progress.trips(log, "host", "seq", F.col("status").isin(403, 405, 429)).collect()] == [("h", 5)]
 

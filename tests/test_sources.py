@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import zipfile
 
 import pytest
@@ -61,22 +62,31 @@ def test_a_report_that_fails_leaves_the_old_one(spark, tmp_path):
     assert path.read_text(encoding="utf-8").splitlines()[1:] == ["0", "1", "2"] and [p.name for p in tmp_path.iterdir()] == ["r.csv"]
 
 
-def test_stream_equals_batch(spark, tmp_path):
+def test_runs_one_by_one_all_at_once_and_as_a_stream(spark, tmp_path):
+    """One rule: applied run by run, as aggregates, and over micro-batches."""
     from factloom.operators import progress
 
-    t = dt.datetime(2024, 1, 1)
-    runs = [(k, s, (k * s) % 4, s % 3 == 0, t) for k in range(5) for s in range(6)]
-    schema = "key long, seq long, found long, failed boolean, at timestamp"
-    for n in range(2):  # two micro-batches
+    rng, t = random.Random(2), dt.datetime(2024, 1, 1)
+    schema = "key long, seq long, found int, errors array<string>, last_page int, at timestamp"
+    runs = []
+    for key in range(40):
+        for seq in range(rng.randint(1, 9)):
+            found = rng.choice([0, 0, 0, 3, 7]) if key % 3 else 0
+            runs.append((key, seq, found, ["! HTTP 500", "x"] if rng.random() < 0.3 else [], rng.choice([None, seq, 0]), t + dt.timedelta(hours=seq)))
+    want = {}
+    for key, _, *run in sorted(runs, key=lambda r: r[:2]):
+        want[key] = stream.step(want.get(key, stream.START), *run)
+    batch = progress.fold(spark.createDataFrame(runs, schema)).select("key", *stream.FIELDS)
+    assert {r["key"]: tuple(r)[1:] for r in batch.collect()} == want
+    records = spark.createDataFrame([], f"key long, {stream.STATE}")
+    for seq in range(9):
+        records = spark.createDataFrame(progress.apply_runs(records, spark.createDataFrame([r for r in runs if r[1] == seq], schema).drop("seq")).select("key", *stream.FIELDS).collect(), f"key long, {stream.STATE}")
+    assert {r["key"]: tuple(r)[1:] for r in records.collect()} == want
+    for n in range(3):  # micro-batches
         spark.createDataFrame([r for r in runs if r[1] // 3 == n], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "runs"))
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "runs"))
     seen = {}
-
-    def keep(df, _):
-        for r in df.collect():
-            seen[r["key"]] = tuple(r)
-
+    keep = lambda df, _: seen.update({r["key"]: tuple(r)[1:] for r in df.collect()})
     q = stream.fold_stream(source).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination(120)
-    batch = {r["key"]: (r["key"], r["next_page"], r["found"], r["exhausted"], r["failures"], r["runs"]) for r in progress.fold(spark.createDataFrame(runs, schema)).collect()}
-    assert seen == batch
+    assert seen == want
