@@ -20,9 +20,8 @@ Documents are range-sorted by id into chunks first, so that the order of chunks
 is the order of ids; a chunk and a bucket of the sort exchange one row of sorted
 names and one row of bits (``chunks``).  A name that a third of all documents
 hold is still one entry per chunk.  A sampled name only finds candidates; the name of
-a window decides, and its length in bits follows the input: at most 64 up to 2**33
-bytes, from there on 64 and 64 more of an independent fingerprint, so that the
-expected number of false matches stays below 0.1 at any size.
+a window decides, and it has 128 bits, 64 of either of two independent fingerprints,
+so that no false match is to be expected at any size.
 
 Defined cases: a null text is empty; a null id comes before all others; rows
 that share an id are not compared with each other; texts shorter than a window
@@ -46,7 +45,6 @@ WINDOW = 50
 COVER = (0, 1, 3, 8, 12, 18)
 MODULUS = 31
 GRAM = WINDOW - MODULUS + 1
-WIDE_BYTES = 1 << 33
 _NULL_ID = -(1 << 63)
 _NOTHING = (np.zeros(0, np.int64), np.zeros(0, U64))
 
@@ -194,10 +192,11 @@ def _removed(bits1: int, bits2: int, wide: bool, with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False, wide: bool | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False, wide: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes) of every row.
 
-    ``wide`` names (128 bits) are used from ``WIDE_BYTES`` on, or as given.
+    Windows have names of 128 bits at any size of the input; without ``wide`` they have 64, for comparison.  The names of
+    sampled suffixes only choose which windows are named: their bits follow the input, and a false match there costs work alone.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(docs[key].cast("long"), F.lit(_NULL_ID)).alias("id"), docs[text].alias("text"))
@@ -214,8 +213,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     common.free_shuffles(spark)
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     scale = math.log2(max(total, 2))
-    wide = total >= WIDE_BYTES if wide is None else wide
-    bits1, bits2 = min(60, max(32, math.ceil(scale) + 9)), min(64, max(40, math.ceil(2 * scale) - 2))
+    bits1, bits2 = min(60, max(32, math.ceil(scale) + 9)), 64
     buckets = 2 * common.partitions(spark)
     sent = common.mapped(table, _first_messages(bits1, buckets), chunks.SENT)
     first = common.stored(chunks.ask(sent, earlier=False).withColumnRenamed("answers", "first").withColumnRenamed("chunk_id", "f_id"), "repeats-first")
