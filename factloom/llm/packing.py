@@ -13,8 +13,8 @@ of the run of gaps, so no two claim one place), updates the gaps, and repeats
 until no gap holds the length; the rest open new sequences.  A round handles
 whole runs: the driver sees one count per length and the list of runs, whose
 size is bounded by lengths and not by rows.  Rows are ranked within (length,
-salt), so a length that holds a third of all pieces is still spread, and take
-their place from the table of runs.
+salt), with as many salts as a length's pieces ask for, so a length that holds a third
+of all pieces is still spread, and take their place from the table of runs.
 
 Defined cases: a null or empty text is one piece of its end token; a text longer
 than a sequence is cut, and only the last piece may be shorter; repeated rows
@@ -38,7 +38,8 @@ from . import common
 
 LENGTH = 2048
 END = 0
-SALTS = 64
+#: Pieces of one length that are ranked in one task, about.
+SALT_ROWS = 100_000
 REMEMBERED = 600_000
 TOKENIZER = "word_bpe_49k.json"
 #: The white space of the tokenizer (Python's own also has the bytes 1C to 1F).
@@ -224,8 +225,12 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     cut = common.mapped(rows, _pieces(path or tokenizer_path(), length, end, with_ids), schema)
-    cut = common.stored(cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int")), "pack-pieces")
-    per = cut.groupBy("length", "salt").agg(F.count("*").alias("n")).collect()  # lengths * salts rows at most
+    cut = common.stored(cut, "pack-pieces")
+    # a length has one salt for each SALT_ROWS of its pieces, so that what one task ranks does not grow
+    salts = [(r["length"], -(-r["n"] // SALT_ROWS)) for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()]  # a row a length
+    dealt = F.broadcast(spark.createDataFrame(salts, "s_length long, salts long"))
+    cut = cut.join(dealt, F.col("length") == F.col("s_length")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "start"), F.col("salts")).cast("int")).drop("s_length", "salts")
+    per = cut.groupBy("length", "salt").agg(F.count("*").alias("n")).collect()  # a row a length, and one for each SALT_ROWS pieces
     totals: dict[int, int] = defaultdict(int)
     ahead = []
     for r in sorted(per, key=lambda r: (r["length"], r["salt"])):
