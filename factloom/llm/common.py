@@ -134,6 +134,24 @@ def free_shuffles(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+#: Rows of tasks that one group adds up.
+FAN = 1024
+
+
+def added_up(sent: DataFrame, function, schema: str, key: str = "block") -> DataFrame:
+    """Sums of what every task sent for a ``key``, in two levels: ``FAN`` tasks at a time, then those sums.
+
+    ``function`` adds the rows of a table (one key) to one row with the same columns, so no group holds
+    more than ``FAN`` rows of tasks, or one for each ``FAN`` of them.
+    """
+    level = sent.withColumn("level", (F.spark_partition_id() / FAN).cast("int"))
+
+    def first(table: pa.Table) -> pa.Table:
+        return function(table.drop_columns(["level"]))
+
+    return level.groupBy(key, "level").applyInArrow(first, schema).groupBy(key).applyInArrow(function, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

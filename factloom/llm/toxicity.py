@@ -334,7 +334,7 @@ def fitted(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, calibra
         return model
     vocabulary = Vocabulary(common.sorted_distinct(np.concatenate([term[i] for i in learnt])))
     counts = common.mapped(docs.select("text"), _counted(spark.sparkContext.broadcast(vocabulary)), "block int, seen binary, rows long")
-    sums = counts.groupBy("block").applyInArrow(_summed, "block int, seen binary, rows long").collect()  # the vocabulary of the sample
+    sums = common.added_up(counts, _summed, "block int, seen binary, rows long").collect()  # the vocabulary of the sample
     seen = np.concatenate([np.frombuffer(r["seen"], np.int64) for r in sorted(sums, key=lambda r: r["block"])])
     idf = np.log((sums[0]["rows"] + 1) / (seen + 1)) + 1
     rows = [vocabulary.find(term[i])[1] for i in range(len(term))]
