@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from . import common, vectors
 
 NEIGHBOURS = 20
-RECALL = 0.96
+RECALL = 0.97
 PROBES = 256
 
 
