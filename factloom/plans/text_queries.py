@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import figures, text, urls
-from ..operators import checks, extract, fusion, robots, verify
+from ..operators import checks, extract, fusion, keywords, robots, verify
 from .tables import table
 
 Q, S = {}, {}
@@ -225,3 +225,14 @@ def _(spark, d):
     best = met.groupBy("source").agg(F.min_by("host", "page_id").alias("best"))
     kept = met.join(best, "source").where(F.right("host", F.lit(3)) == F.right("best", F.lit(3)))
     return kept.groupBy("source").agg(F.count("*").alias("kept"), F.sum("n_chars").alias("chars"))
+
+
+@query("keyword_table", """WITH k AS (SELECT min(doc_id) AS word_id, substring(text, 60, 6) AS word FROM documents WHERE length(text) >= 65 GROUP BY 2),
+h AS (SELECT doc_id, word_id, word, len(string_split(text, word)) - 1 AS n FROM documents JOIN k ON contains(text, word))
+SELECT d.doc_id, count(word_id) AS words, CAST(coalesce(sum(n), 0) AS BIGINT) AS times, min(word_id) AS first, CAST(coalesce(sum(word_id * n), 0) AS BIGINT) AS mark FROM documents d LEFT JOIN h ON d.doc_id = h.doc_id GROUP BY d.doc_id""")
+def _(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    words = docs.where("length(text) >= 65").groupBy(F.substring("text", 60, 6).alias("word")).agg(F.min("id").alias("word_id"))
+    found = keywords.keyword_hits(docs, words)
+    total = lambda make: F.aggregate("found", F.lit(0).cast("long"), lambda a, x: a + make(x))
+    return found.select(F.col("id").alias("doc_id"), F.size("found").cast("long").alias("words"), total(lambda x: x["n"]).alias("times"), F.try_element_at("found", F.lit(1))["word"].alias("first"), total(lambda x: x["word"] * x["n"]).alias("mark"))
