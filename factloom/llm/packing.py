@@ -38,8 +38,8 @@ from . import common
 
 LENGTH = 2048
 END = 0
-#: Pieces of one length that are ranked in one task, about.
-SALT_ROWS = 100_000
+#: A length is ranked in so many salts, and one more for each SALT_ROWS of its pieces.
+SALTS, SALT_ROWS = 16, 100_000
 REMEMBERED = 600_000
 TOKENIZER = "word_bpe_49k.json"
 #: The white space of the tokenizer (Python's own also has the bytes 1C to 1F).
@@ -226,11 +226,11 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     cut = common.mapped(rows, _pieces(path or tokenizer_path(), length, end, with_ids), schema)
     cut = common.stored(cut, "pack-pieces")
-    # a length has one salt for each SALT_ROWS of its pieces, so that what one task ranks does not grow
-    salts = [(r["length"], -(-r["n"] // SALT_ROWS)) for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()]  # a row a length
+    # the salts of a length follow its count, so that what one task ranks does not grow
+    salts = [(r["length"], SALTS + r["n"] // SALT_ROWS) for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()]  # a row a length
     dealt = F.broadcast(spark.createDataFrame(salts, "s_length long, salts long"))
     cut = cut.join(dealt, F.col("length") == F.col("s_length")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "start"), F.col("salts")).cast("int")).drop("s_length", "salts")
-    per = cut.groupBy("length", "salt").agg(F.count("*").alias("n")).collect()  # a row a length, and one for each SALT_ROWS pieces
+    per = cut.groupBy("length", "salt").agg(F.count("*").alias("n")).collect()  # SALTS rows a length, and one for each SALT_ROWS pieces
     totals: dict[int, int] = defaultdict(int)
     ahead = []
     for r in sorted(per, key=lambda r: (r["length"], r["salt"])):
