@@ -11,50 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import figures, geo, text, urls
-from . import checks, config, enrich, extract, fusion
+from . import checks, config, extract, fusion
 
 
 _EVIDENCE = "array<struct<seq:bigint,field:string,value:string,source:string,url:string,snippet:string>>"
 
 
-def best_by_rank(evidence: DataFrame, field: str, order: list[str], name: str) -> DataFrame:
-    """(entity_key, <name>, <name>_source, <name>_url, <name>_snippet, <name>_others) of one field."""
-    rows = evidence.where(F.col("field") == field).withColumn("_rank", fusion.rank_of(F.col("source"), order))
-    best = fusion.first_of(rows, ["entity_key"], [F.col("_rank"), F.col("seq")])
-    found = best.select("entity_key", F.col("value").alias(name), F.col("source").alias(f"{name}_source"), F.col("url").alias(f"{name}_url"), F.col("snippet").alias(f"{name}_snippet"))
-    claims = rows.select(F.col("entity_key").alias("_e"), F.col("value").alias("_v")).join(found.select("entity_key", name), F.col("_e") == F.col("entity_key"))
-    others = claims.where(F.col("_v") != F.col(name)).groupBy(F.col("_e")).agg(F.sort_array(F.collect_set("_v")).alias(f"{name}_others"))
-    return found.join(others, F.col("entity_key") == F.col("_e"), "left").drop("_e")
-
-
-def headcounts(evidence: DataFrame, adopted: DataFrame) -> DataFrame:
-    """The adopted headcount: human, official, then the newest; sources whose own address is in another prefecture do not count."""
-    claims = evidence.where("field = 'address'").select("entity_key", "source", geo.prefecture(F.col("value")).alias("region")).where("region IS NOT NULL")
-    own = adopted.select("entity_key", F.col("address_source").alias("source"), geo.prefecture(F.col("address")).alias("region"))
-    bad = fusion.rejected_sources(claims, own)
-    rows = evidence.where("field = 'employees'").withColumn("n", F.col("value").try_cast("bigint")).where("n IS NOT NULL")
-    rows = rows.join(bad, ["entity_key", "source"], "left_anti").withColumn("as_of", F.nullif(figures.as_of_ordinal(F.coalesce("snippet", F.lit(""))), F.lit(-1)))
-    best = fusion.pick_newest_tiered(rows, ["human", "official"], config.PRIORITY["employees"])
-    values = rows.groupBy("entity_key").agg(F.sort_array(F.collect_set("n")).alias("all_n"))
-    return best.join(values, "entity_key").select(
-        "entity_key", F.col("n").alias("employees"), F.col("source").alias("employees_source"), F.col("url").alias("employees_url"), F.col("snippet").alias("employees_snippet"),
-        F.array_except("all_n", F.array("n")).alias("employees_others"),
-    )
-
-
-def official(evidence: DataFrame) -> DataFrame:
-    """(entity_key, official_url, other_urls): the best url by the sources' order and what other domains say."""
-    return enrich.best_official(evidence).select("entity_key", "official_url", "other_urls")
-
-
-def alternates(evidence: DataFrame, best: DataFrame, k: int = 2) -> DataFrame:
-    """Up to k candidate urls of other domains, the earliest of each."""
-    rows = evidence.where("field = 'officialUrl'").select("entity_key", "seq", "value", urls.domain(F.col("value")).alias("domain"))
-    met = rows.join(best.select("entity_key", urls.domain(F.col("official_url")).alias("_d")), "entity_key").where("domain <> _d").drop("_d")
-    return extract.top_links(met.withColumn("score", F.lit(1)), "entity_key", "domain", "score", "seq", k).select("entity_key", "value", "place")
-
-
-def consolidate(entities: DataFrame, evidence: DataFrame, categories: dict = config.CATEGORIES, least: int = config.LEAST_EMPLOYEES, this_year: int = 2026) -> DataFrame:
+def consolidate(entities: DataFrame, evidence: DataFrame, categories: dict = config.CATEGORIES, least: int = config.LEAST_EMPLOYEES, this_year: int | None = None) -> DataFrame:
     """One record per entity (key, name, sources; seeds, an array of category keys, where there are any).
 
     Evidence is read once: its rows are ranked per field inside one array of the entity,

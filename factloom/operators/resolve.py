@@ -68,6 +68,18 @@ def by_name(entities: DataFrame, rows: DataFrame) -> DataFrame:
     return left.join(rows.withColumn("_key", text.normalize_name(F.col("name"))), "_key").drop("_key")
 
 
+def first_exact(entities: DataFrame, results: DataFrame) -> DataFrame:
+    """(entity_key, url): of an entity's search results (entity_key, pos, title, url) the first whose title's first line is its name.
+
+    entities: entity_key, name.  A result without an address is none; an entity without a match has no row.
+    """
+    key = lambda c: text.normalize_name(c)
+    asked = entities.select(F.col("entity_key").alias("_e"), key(F.col("name")).alias("_key"))
+    titled = results.where("url IS NOT NULL AND url <> ''").withColumn("_title", key(F.substring_index("title", "\n", 1)))
+    met = titled.join(asked, (F.col("entity_key") == F.col("_e")) & (F.col("_title") == F.col("_key")))
+    return met.groupBy("entity_key").agg(F.min_by("url", "pos").alias("url"))
+
+
 def _first(rows: DataFrame, order: list[Column]) -> DataFrame:
     return first_of(rows, ["entity_key"], order)
 

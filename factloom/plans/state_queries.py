@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..operators import checks, config, review, robots, rounds, workset
+from ..operators import checks, config, enrich, resolve, review, robots, rounds, workset
 from ..sources import stores
 from .tables import ORDER, RANK_SQL, table
 
@@ -136,3 +136,39 @@ def _(spark, d):
         k.cast("string").alias("entity_key"), k.cast("string").alias("name"), F.array(F.lit("ad_agency")).alias("seeds"), F.array(F.when(k % 11 == 0, "x").otherwise(label)).alias("categories"),
         F.when(k % 7 == 0, config.STATUS["check"]).otherwise(config.STATUS["OK"]).alias("status"), F.when(k % 13 == 0, config.MOST_EMPLOYEES["ad_agency"] + 1).otherwise(50).alias("employees"), missing.alias("missing"), stored.alias("checks"), said.alias("review"))
     return review.ordered(review.queue(records, "ad_agency", 1 << 30)).select("entity_key", "kind", "effort", "points")
+
+
+@query("moved_sites", """WITH e AS (SELECT page_id // 5 AS entity_key, page_id AS seq, url, CASE page_id % 3 WHEN 0 THEN 'official' WHEN 1 THEN 'boxil' ELSE 'salesnow' END AS source, regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1), '^www[.]', '') AS site FROM pages),
+b AS (SELECT entity_key, site FROM e WHERE source <> 'official' QUALIFY row_number() OVER (PARTITION BY entity_key ORDER BY CASE source WHEN 'salesnow' THEN 0 ELSE 1 END, seq) = 1),
+c AS (SELECT entity_key, site FROM e WHERE source = 'official' QUALIFY row_number() OVER (PARTITION BY entity_key ORDER BY seq) = 1), g AS (SELECT c.entity_key FROM c JOIN b ON b.entity_key = c.entity_key AND b.site <> c.site)
+SELECT CAST(entity_key AS BIGINT) AS entity_key, seq, source FROM e WHERE NOT (source = 'official' AND entity_key IN (SELECT entity_key FROM g))""")
+def _(spark, d):
+    k = F.col("page_id")
+    source = F.when(k % 3 == 0, "official").when(k % 3 == 1, "boxil").otherwise("salesnow")
+    ev = table(spark, d, "pages").select(F.floor(k / 5).alias("entity_key"), k.alias("seq"), F.lit("officialUrl").alias("field"), F.col("url").alias("value"), source.alias("source"), "url")
+    best = enrich.best_official(ev.where("source <> 'official'"))
+    return enrich.moved_sites(ev, best).select("entity_key", "seq", "source")
+
+
+@query("first_exact_match", """WITH e AS (SELECT c_custkey AS entity_key, c_custkey % 200 AS name FROM customer), r AS (SELECT o_custkey AS entity_key, o_orderkey AS pos, CAST(floor(o_totalprice) AS BIGINT) % 200 AS name, CASE WHEN o_orderkey % 9 > 0 THEN o_orderkey END AS url FROM orders)
+SELECT e.entity_key, CAST(arg_min(url, pos) AS VARCHAR) AS url FROM e JOIN r ON e.entity_key = r.entity_key AND e.name = r.name WHERE url IS NOT NULL GROUP BY 1""")
+def _(spark, d):
+    ents = table(spark, d, "customer").select(F.col("c_custkey").alias("entity_key"), F.concat(F.lit("株式会社　Ｎ"), F.col("c_custkey") % 200).alias("name"))
+    title = F.concat(F.lit("n"), F.floor("o_totalprice") % 200, F.lit(" Co., Ltd.\n東京都"))
+    found = table(spark, d, "orders").select(F.col("o_custkey").alias("entity_key"), F.col("o_orderkey").alias("pos"), title.alias("title"), F.when(F.col("o_orderkey") % 9 > 0, F.col("o_orderkey").cast("string")).alias("url"))
+    return resolve.first_exact(ents, found)
+
+
+@query("robots_sources_report", """WITH p AS (SELECT page_id, page_id % 4 AS s, regexp_extract(lower(url), '^([a-z]+://[^/?#]+)', 1) AS origin, regexp_replace(regexp_replace(url, '^[a-z]+://[^/?#]+', ''), '#.*$', '') AS path FROM pages),
+o AS (SELECT DISTINCT origin FROM p), f AS (SELECT origin, CASE length(origin) % 3 WHEN 0 THEN '200' WHEN 1 THEN '404' END AS status FROM o),
+a AS (SELECT p.origin, count(*) AS checked, count(*) FILTER (CASE f.status WHEN '200' THEN starts_with(path, '/en/') AND NOT starts_with(path, '/en/8') WHEN '404' THEN false ELSE true END) AS closed FROM p JOIN f USING (origin) GROUP BY 1)
+SELECT f.origin AS source, f.origin, coalesce(status, 'error') AS status, CAST(CASE WHEN status IS NULL THEN 0 ELSE 2 END AS INTEGER) AS groups, CAST(CASE WHEN status = '200' THEN 2 ELSE 0 END AS BIGINT) AS star_rules, checked, closed FROM f JOIN a ON a.origin = f.origin""")
+def _(spark, d):
+    p = table(spark, d, "pages").select("url", F.regexp_extract(F.lower("url"), "^([a-z]+://[^/?#]+)", 1).alias("source"))
+    sites = p.select("source", F.col("source").alias("origin")).distinct()
+    k = F.length("origin") % 3
+    text = F.when(k < 2, F.lit("User-agent: *\nDisallow: /en/\nAllow: /en/8\n\nUser-agent: other\nDisallow: /\n"))
+    files = sites.select("origin", F.when(k == 0, "200").when(k == 1, "404").otherwise("error").alias("status"), text.alias("text"), F.lit(None).cast("string").alias("error"))
+    got = robots.report(files, p.select("source", "url"), sites)
+    closed = F.size(F.filter("checks", lambda c: ~c["allowed"])).cast("long")
+    return got.select("source", "origin", "status", "groups", "star_rules", F.size("checks").cast("long").alias("checked"), closed.alias("closed"))

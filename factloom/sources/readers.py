@@ -91,11 +91,19 @@ def csv_cells(line: Column, n: int) -> Column:
     return F.from_csv(line, ", ".join(f"c{i} string" for i in range(n)), {"quote": '"', "escape": '"'})
 
 
+# How the header of the code list begins, and the member of an archive that holds an annual report's facts.
+CODE_HEADERS = ("ＥＤＩＮＥＴコード", "EDINETコード")
+REPORT_FOLDER, REPORT_NAME = "xbrl_to_csv/", "jpcrp030000-asr-"
+
+
 def code_list(spark: SparkSession, path: str, charset: str = "Shift_JIS") -> DataFrame:
-    """Registry codes: one line of metadata, one header, then rows with a code E and five digits."""
+    """Registry codes: the rows behind the header, wherever it stands, with a code E and five digits; a file without a header has none."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     decoded = files.mapInArrow(_decoded(charset), "path string, text string")
-    rows = decoded.select("path", F.posexplode(F.split("text", "\r?\n")).alias("pos", "line")).where("pos > 1 AND line <> ''")
+    lines = decoded.select("path", F.filter(F.split("text", "\r?\n"), lambda x: x != "").alias("lines"))
+    heads = F.transform("lines", lambda x: F.contains(x, F.lit(CODE_HEADERS[0])) | F.startswith(x, F.lit(CODE_HEADERS[1])))
+    found = lines.select("path", "lines", F.array_position(heads, True).alias("head")).where("head > 0")
+    rows = found.select("path", "head", F.posexplode("lines").alias("pos", "line")).where("pos >= head")
     c = csv_cells(F.col("line"), 13)
     picked = {"code": 0, "kind": 1, "listed": 2, "consolidated": 3, "fiscalEnd": 5, "name": 6, "address": 9, "industry": 10, "secCode": 11}
     return rows.withColumn("c", c).select("pos", *[F.col(f"c.c{i}").alias(n) for n, i in picked.items()]).where(F.col("code").rlike("^E[0-9]{5}$"))
@@ -140,6 +148,14 @@ def archive_members(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, "path string, member string, content binary")
 
 
+def report_members(members: DataFrame) -> DataFrame:
+    """Of every archive (path, member, content) the first member, by its place in the archive, that holds an annual report's facts."""
+    name = F.lower("member")
+    at = F.instr(name, REPORT_FOLDER + REPORT_NAME)
+    fits = members.withColumn("_at", F.monotonically_increasing_id()).where((at > 0) & F.endswith(name, F.lit(".csv")))
+    return fits.groupBy("path").agg(F.min_by(F.struct("member", "content"), "_at").alias("_m")).select("path", "_m.*")
+
+
 def choose_headcount(single: Column, consolidated: Column, has_group: Column) -> Column:
     """struct(value, scope, group): the company alone before its group; the group's number where it differs."""
     other = F.when(has_group & (consolidated != single), consolidated)

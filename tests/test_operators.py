@@ -64,3 +64,10 @@ def test_workset(spark):
     old = spark.createDataFrame([(1, 5)], "k int, v int").select("k", F.sha2(F.to_json(F.struct("k", "v")), 256).alias("sig"))
     now = spark.createDataFrame([(1, 5), (2, 5)], "k int, v int")
     assert [r["k"] for r in workset.changed(now, old, "k", ["k", "v"]).collect()] == [2]
+
+
+def test_first_exact_match_of_a_page_of_results(spark):
+    ents = spark.createDataFrame([("a", "株式会社Ａ"), ("b", "乙"), ("c", "丙")], "entity_key string, name string")
+    found = [("a", 0, "A商事", "u0"), ("a", 1, "A（株）\n東京", ""), ("a", 2, "(株)a\n東京", "u2"), ("a", 3, "㈱A", "u3"), ("b", 0, "丙", "u4")]
+    got = resolve.first_exact(ents, spark.createDataFrame(found, "entity_key string, pos int, title string, url string"))
+    assert [tuple(r) for r in got.collect()] == [("a", "u2")]

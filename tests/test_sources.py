@@ -23,9 +23,14 @@ def test_readers(spark, tmp_path):
 
 def test_registry_files(spark, tmp_path):
     line = "E00001,内国法人,上場,有,100,3月31日,\"甲,株式会社\",KO,コウ,東京都港区,小売業,12340,1"
-    (tmp_path / "codes.csv").write_bytes(f"meta\r\nheader\r\n{line}\r\nX1,a\r\n".encode("shift_jis"))
+    (tmp_path / "codes.csv").write_bytes(f"E99999,before\r\nmeta\r\nＥＤＩＮＥＴコード,提出者種別\r\n{line}\r\nX1,a\r\n".encode("shift_jis"))
     got = readers.code_list(spark, str(tmp_path / "codes.csv")).collect()
     assert [(r["code"], r["name"], r["address"]) for r in got] == [("E00001", "甲,株式会社", "東京都港区")]
+    (tmp_path / "none.csv").write_bytes(line.encode("shift_jis"))
+    assert readers.code_list(spark, str(tmp_path / "none.csv")).count() == 0
+    named = [("a", "X/XBRL_TO_CSV/jpaud-x.csv"), ("a", "XBRL_TO_CSV/JPCRP030000-asr-1.csv"), ("a", "XBRL_TO_CSV/jpcrp030000-asr-2.csv"), ("b", "XBRL_TO_CSV/jpcrp030000-asr-1.txt")]
+    members = spark.createDataFrame([(p, m, m.encode()) for p, m in named], "path string, member string, content binary").coalesce(1)
+    assert [(r["path"], r["member"]) for r in readers.report_members(members).collect()] == [("a", "XBRL_TO_CSV/JPCRP030000-asr-1.csv")]
     rows = [["jp:N", "", "Cur", "", "", "", "", "", "1,786"], ["jp:N", "", "Single", "", "", "", "", "", "-"], ["jp:N", "", "Single", "", "", "", "", "", "568"]]
     tsv = "\n".join("\t".join(f'"{c}"' for c in r) for r in rows).encode("utf-16-le")
     with zipfile.ZipFile(tmp_path / "f.zip", "w", zipfile.ZIP_DEFLATED) as z:
