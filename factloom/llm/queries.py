@@ -19,6 +19,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_suffixes": suffixes.SQL,
     "op7_minhash": minhash.SQL,
     "op8_embdup": embdup.SQL,
     "op9_mixing": mixing.SQL,

@@ -235,3 +235,21 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
 
 def op3_suffixes(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: All strings of a window, as hex digits; texts in blocks first, so that a string is not cut out of a whole text.
+SQL = """
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+b AS (SELECT doc_id, n, o, substr(h, 2 * o + 1, 1098) AS h FROM (SELECT *, unnest(range(0, greatest(n, 1), 500)) AS o FROM d)),
+w AS MATERIALIZED (SELECT doc_id, o + i AS i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT *, unnest(range(0, least(500, n - 49 - o))) AS i FROM b)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT w.doc_id, w.i FROM w JOIN f ON w.s = f.s AND w.doc_id > f.first),
+r AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM g),
+k AS (SELECT doc_id, i, count(*) FILTER (before IS NULL OR i - before > 50) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM r),
+spans AS MATERIALIZED (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS z FROM k GROUP BY 1, 2),
+gone AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY 1),
+edges AS (SELECT doc_id, a, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM spans UNION ALL SELECT d.doc_id, n, coalesce((SELECT max(z) FROM spans s WHERE s.doc_id = d.doc_id), 0) FROM d),
+kept AS (SELECT e.doc_id, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY since) AS h FROM edges e JOIN d ON d.doc_id = e.doc_id GROUP BY 1)
+SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+FROM d JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN gone ON gone.doc_id = d.doc_id
+"""
