@@ -1,9 +1,9 @@
 """Registered queries over the supplied tables, each with equivalent SQL."""
 
-from . import flow_queries, fusion_queries, record_queries, state_queries, text_queries
+from . import flow_queries, fusion_queries, match_queries, record_queries, state_queries, text_queries
 
 FLAGSHIP = "fusion_status_tristate"
-PLANS = (fusion_queries, text_queries, flow_queries, record_queries, state_queries)
+PLANS = (fusion_queries, text_queries, flow_queries, record_queries, state_queries, match_queries)
 
 
 def queries() -> dict:
