@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.folders import new_folder
+
 
 def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """Global places under a total order without one task for all rows.
@@ -15,8 +17,12 @@ def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
+    # written once: the bounds of ranges come from a sample, so two computations of them need not agree
+    path = new_folder(spark, "numbered")
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    before = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row a partition
     inside = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     return inside.join(F.broadcast(before), F.col("_part") == F.col("_p")).withColumn(name, F.col("_at") + F.col("_before")).drop("_part", "_p", "_at", "_before")
 

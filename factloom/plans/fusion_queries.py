@@ -122,6 +122,14 @@ def _(spark, d):
     return workset.numbered(rows, ["severity", "p_name", "p_partkey"], "place").select("p_partkey", "p_name", "place")
 
 
+@query("collated_names", """WITH n AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN upper(p_name) ELSE p_name END AS name FROM part)
+SELECT p_partkey, name, row_number() OVER (ORDER BY name COLLATE NOCASE, p_partkey) AS place FROM n""")
+def _(spark, d):
+    name = F.when(F.col("p_partkey") % 3 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
+    rows = table(spark, d, "part").select("p_partkey", F.collate(name, "UTF8_LCASE").alias("name"))
+    return workset.numbered(rows, ["name", "p_partkey"], "place").select("p_partkey", F.collate("name", "UTF8_BINARY").alias("name"), "place")
+
+
 @query("cumulative_cutoff", f"""WITH {EVIDENCE_SQL}, n AS (SELECT entity_key % 10 AS category, source, rk, count(*) AS found FROM ev WHERE value > 30 GROUP BY ALL),
 r AS (SELECT *, coalesce(sum(found) OVER (PARTITION BY category ORDER BY rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n)
 SELECT category, source, found, CAST(before AS BIGINT) AS before FROM r WHERE before < 100""")

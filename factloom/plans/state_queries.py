@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import urls
+from ..functions.folders import new_folder
 from ..operators import checks, config, enrich, resolve, review, robots, rounds, workset
 from ..sources import stores
 from .tables import ORDER, RANK_SQL, table
@@ -24,7 +25,7 @@ def query(name, sql=None):
 SELECT page_id, had AS cached, length(html) AS chars, substring(sha1(url), 1, 2) AS digits FROM p""")
 def _(spark, d):
     pages = table(spark, d, "pages").select("url", F.col("page_id"), F.col("html").alias("text"))
-    store = stores.SnapshotStore(spark, stores.new_folder(spark, "query-snapshots"), "url string, page_id long, text string")
+    store = stores.SnapshotStore(spark, new_folder(spark, "query-snapshots"), "url string, page_id long, text string")
     store.add(pages.where("page_id % 3 <> 0"))
     got = store.through(pages.select("url"), lambda asked: pages.join(asked, "url", "left_semi"))
     return got.select("page_id", "cached", F.length("text").cast("long").alias("chars"), F.substring(F.sha1("url"), 1, 2).alias("digits"))
@@ -41,7 +42,7 @@ def _(spark, d):
         day.alias("day"), F.col("o_orderkey").cast("string").alias("docID"), F.col("o_custkey").cast("string").alias("edinetCode"), F.lit("").alias("secCode"), F.date_format(day, "yyyy-MM").alias("periodEnd"),
         F.date_format(day, "yyyy-MM-dd").alias("submitDateTime"), F.when(F.col("o_orderkey") % 7 == 0, "130").otherwise("120").alias("docTypeCode"), F.lit("030000").alias("formCode"), F.lit("010").alias("ordinanceCode"),
         F.when(F.col("o_orderstatus") == "P", "1").otherwise("0").alias("withdrawalStatus"))
-    store = stores.DailyListing(spark, stores.new_folder(spark, "query-listing"), window=300)
+    store = stores.DailyListing(spark, new_folder(spark, "query-listing"), window=300)
     fetch = lambda days: listing.join(F.broadcast(days), "day", "left_semi")  # noqa: E731  at most a window's days
     store.refresh(F.lit("1995-06-30"), fetch)
     return store.refresh(F.lit("1995-08-15"), fetch).select(F.col("edinetCode").alias("code"), F.col("docID").alias("doc"), F.date_format("day", "yyyy-MM-dd").alias("day"))
@@ -52,7 +53,7 @@ SELECT key, last * 10 AS last, n * 10 AS n FROM (SELECT * FROM a WHERE key NOT I
 def _(spark, d):
     e = table(spark, d, "events")
     count = lambda rows: rows.groupBy(F.col("user_id").alias("key")).agg(F.max("event_id").alias("last"), F.count("*").alias("n"))
-    state = stores.VersionedTable(spark, stores.new_folder(spark, "query-state"), "key long, last long, n long")
+    state = stores.VersionedTable(spark, new_folder(spark, "query-state"), "key long, last long, n long")
     state.replace(count(e.where("event_type <> 'click'")))
     state.merge(count(e.where("event_type = 'click' AND user_id % 2 = 0")), ["key"])
     state.replace(state.read().selectExpr("key", "last * 10 AS last", "n * 10 AS n"))  # read, changed and written in its own place
@@ -79,7 +80,7 @@ def _(spark, d):
             return None
         return e.where(F.col("event_type") == ORDER[turn - 1]).join(open_groups.select("group"), "group", "left_semi").select("user_id", "group", "v")
 
-    rows, log = rounds.until_reached(goals, work, qualified, stores.new_folder(spark, "query-rounds"), "user_id long, group long, v long")
+    rows, log = rounds.until_reached(goals, work, qualified, new_folder(spark, "query-rounds"), "user_id long, group long, v long")
     took = log.where(F.col("round") <= len(ORDER)).groupBy("group_key").agg(F.max("round").alias("rounds")).select("group_key", F.col("rounds").cast("int").alias("rounds"))
     have = qualified(rows).select(F.col("group").alias("_g"), "have")
     met = goals.join(took, F.col("group").cast("string") == F.col("group_key"), "left").join(have, F.col("group") == F.col("_g"), "left")

@@ -7,9 +7,6 @@ table can be used to replace it, and a run that dies between the two leaves the
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -17,27 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.folders import new_folder
 from ..operators import workset
 from . import readers
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; only a local session without one gets a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="factloom-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-        root = f"file://{root}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/factloom/{name}-{uuid.uuid4().hex}"
-
-
 class Files:
     """The few file operations that a store needs, in any file system that Spark reaches."""
 
