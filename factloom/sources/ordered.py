@@ -10,7 +10,8 @@ folder of parts.  Nothing is held in memory but one block of bytes.
 
     lines.write.format("ordered_lines").mode("overwrite").option("header", "a,b").save(path)
 
-``path`` is a file in any file system that pyarrow reaches (file, hdfs, s3, gs).
+``path`` is a file in any file system that pyarrow reaches (file, hdfs, s3, gs) and that
+tasks and driver share; ``write_lines`` takes a path without a scheme as Spark does.
 """
 
 from __future__ import annotations
@@ -106,6 +107,10 @@ def register(spark: SparkSession) -> None:
 
 def write_lines(lines: DataFrame, path: str, header: str | None = None) -> None:
     """The one text column of ``lines``, in its order, as one file behind ``header``."""
-    register(lines.sparkSession)
+    spark = lines.sparkSession
+    register(spark)
+    named = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path = named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(named).toString()
+    path = path.removeprefix("file:") if path.startswith("file:/") else path
     writer = lines.write.format(FORMAT).mode("overwrite")
     (writer if header is None else writer.option("header", header)).save(path)
