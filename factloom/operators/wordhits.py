@@ -45,12 +45,23 @@ class WordHits:
         slots = [self.words[k * BITS : k * BITS + BITS] for k in range(self.slots)]
         return once(F.coalesce(text, F.lit("")), lambda t: self._bits(slots, lambda w: F.contains(t, w)))
 
-    def twice(self, text: Column, words) -> Column:
-        """array<long>: those of ``words`` that occur twice or more, without overlap."""
+    def twice(self, text: Column, words, bits: Column | None = None) -> Column:
+        """array<long>: those of ``words`` that occur twice or more, without overlap.  With the text's ``bits`` only words that it holds are searched."""
         asked = set(words)
         slots = [[w if w in asked else "" for w in self.words[k * BITS : k * BITS + BITS]] for k in range(self.slots)]
-        again = lambda t, w: (w != "") & F.contains(t, w) & (F.call_function("locate", w, t, F.instr(t, w) + F.length(w)) > 0)
-        return once(F.coalesce(text, F.lit("")), lambda t: self._bits(slots, lambda w: again(t, w)))
+        held = bits is not None
+        again = lambda t, w: F.call_function("locate", w, t, F.instr(t, w) + F.length(w)) > 0
+
+        def slot(t: Column, own: list[str], mine: Column | None) -> Column:
+            none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+            holds = lambda w, i: (F.call_function("shiftright", mine, i).bitwiseAND(one) != 0) if held else F.contains(t, w)
+            hit = lambda w, i: F.when((w != "") & holds(w, i) & again(t, w), F.call_function("shiftleft", one, i)).otherwise(none)
+            return F.aggregate(F.transform(listed(own), hit), none, lambda a, b: a.bitwiseOR(b))
+
+        text = F.coalesce(text, F.lit(""))
+        if not held:
+            return once(text, lambda t: F.array(*[slot(t, own, None) for own in slots]))
+        return once(F.struct(text.alias("t"), bits.alias("b")), lambda x: F.array(*[slot(x["t"], own, x["b"][k]) for k, own in enumerate(slots)]))
 
     def _masked(self, bits: Column, words) -> list[Column]:
         return [bits[k].bitwiseAND(F.lit(_signed(m)).cast("long")) for k, m in enumerate(self._masks(words)) if m]
