@@ -244,6 +244,15 @@ def test_preference(spark):
     assert preference.format_pairs(df.where("false")).count() == 0
 
 
+def test_preference_of_very_long_texts_and_many_turns(spark):
+    long = "é long turn " * 60_000
+    turns = [(c, k, "user" if k % 2 == 0 else "assistant", f"turn {k}" if k < 400 else long + str(c)) for c in (0, 1) for k in range(401)] + [(2, 0, "user", long), (3, 0, "user", long)]
+    got = {r["pair_id"]: r for r in preference.format_pairs(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()}
+    pair = got[0]
+    assert pair["prompt_turns"] == 400 and pair["chosen"].count(long) == pair["rejected"].count(long) == 1
+    assert long + "0" in pair["chosen"] and long + "1" in pair["rejected"] and long not in pair["prompt"]
+
+
 def test_toxicity(spark):
     rows, labels = [], []
     for i in range(400):
