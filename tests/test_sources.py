@@ -67,6 +67,19 @@ def test_a_report_that_fails_leaves_the_old_one(spark, tmp_path):
     assert path.read_text(encoding="utf-8").splitlines()[1:] == ["0", "1", "2"] and [p.name for p in tmp_path.iterdir()] == ["r.csv"]
 
 
+def test_json_and_robots_reports(spark, tmp_path):
+    from factloom.operators import robots
+
+    sinks.write_json(spark.createDataFrame([(1, "é")], "n int, t string"), str(tmp_path / "j"))
+    assert [tuple(r) for r in spark.read.schema("n int, t string").json(str(tmp_path / "j")).collect()] == [(1, "é")]
+    sites = spark.createDataFrame([("b", "https://b.jp"), ("a", "https://a.jp"), ("c", "https://c.jp")], "source string, origin string")
+    files = spark.createDataFrame([("https://a.jp", "200", "User-agent: *\nDisallow: /x\nAllow: /x/y", None), ("https://b.jp", "error", None, "timeout")], "origin string, status string, text string, error string")
+    used = spark.createDataFrame([("a", "https://a.jp/x/z"), ("a", "https://a.jp/x/y"), ("b", "https://b.jp/")], "source string, url string")
+    sinks.write_robots_report(robots.report(files, used, sites), str(tmp_path / "r.csv"))
+    lines = (tmp_path / "r.csv").read_text(encoding="utf-8").splitlines()
+    assert lines == ["\ufeffsource,origin,status,error,groups,star_rules,checked,disallowed", "a,https://a.jp,200,,1,2,2,https://a.jp/x/z", "b,https://b.jp,error,timeout,0,0,1,https://b.jp/", "c,https://c.jp,error,,0,0,0,"]
+
+
 def test_runs_one_by_one_all_at_once_and_as_a_stream(spark, tmp_path):
     """One rule: applied run by run, as aggregates, and over micro-batches."""
     from factloom.operators import progress
