@@ -50,22 +50,22 @@ def _(spark, d):
     return resolve.pick_filer(resolve.by_name(suppliers(spark, d, 60), filers), known(spark, d)).select("entity_key", "c_custkey", "by_address")
 
 
-@query("listing_entry_picked", f"""WITH s AS ({_KNOWN}), r AS (SELECT o_orderkey, o_orderkey % 97 AS name, o_custkey % 60 AS other, CASE WHEN o_orderkey % 6 > 0 THEN {_PLACE.format(k='o_orderkey')} END AS place FROM orders WHERE o_orderkey % 4 > 0),
+@query("listing_entry_picked", f"""WITH s AS ({_KNOWN}), r AS (SELECT o_orderkey, o_orderkey % 997 AS name, o_custkey % 1201 AS other, CASE WHEN o_orderkey % 6 > 0 THEN {_PLACE.format(k='o_orderkey')} END AS place FROM orders WHERE o_orderkey % 4 > 0),
 n AS (SELECT DISTINCT o_orderkey, place, unnest([name, other]) AS name FROM r)
 SELECT s.e AS entity_key, min(o_orderkey) AS entry FROM s JOIN n USING (name) WHERE known IS NULL OR place IS NULL OR left(place, 3) = left(known, 3) GROUP BY 1""")
 def _(spark, d):
     k = F.col("o_orderkey")
-    title = F.concat(F.lit("Company"), k % 97, F.lit("（株）【株式会社company"), F.col("o_custkey") % 60, F.lit("／グループ】[2027]"))
+    title = F.concat(F.lit("Company"), k % 997, F.lit("（株）【株式会社company"), F.col("o_custkey") % 1201, F.lit("／グループ】[2027]"))
     rows = table(spark, d, "orders").select(title.alias("name"), F.when(k % 6 > 0, place(k)).alias("place"), F.when(k % 4 > 0, k.cast("string")).alias("ref"), k.alias("pos"))
     return resolve.pick_listing(suppliers(spark, d, 60), rows, known(spark, d)).select("entity_key", F.col("pos").alias("entry"))
 
 
-_ENTRIES = f"r AS (SELECT o_orderkey, o_orderkey % 60 AS name, {_PLACE.format(k='o_custkey')} AS place FROM orders WHERE o_orderkey % 3 = 1)"
+_ENTRIES = f"r AS (SELECT o_orderkey, o_orderkey % 607 AS name, {_PLACE.format(k='o_custkey')} AS place FROM orders WHERE o_orderkey % 3 = 1)"
 
 
 def entries(spark, d):
     k = F.col("o_orderkey")
-    return table(spark, d, "orders").where("o_orderkey % 3 = 1").select(F.concat(F.lit("company"), k % 60).alias("name"), place(F.col("o_custkey")).alias("place"), k.alias("pos"))
+    return table(spark, d, "orders").where("o_orderkey % 3 = 1").select(F.concat(F.lit("company"), k % 607).alias("name"), place(F.col("o_custkey")).alias("place"), k.alias("pos"))
 
 
 @query("entry_by_prefecture", f"""WITH s AS ({_KNOWN}), {_ENTRIES},
