@@ -67,7 +67,7 @@ a AS (SELECT entity_key, source, region FROM c QUALIFY row_number() OVER (PARTIT
 bad AS (SELECT DISTINCT c.entity_key, c.source FROM c JOIN a ON c.entity_key = a.entity_key AND c.region <> a.region AND c.source <> a.source)
 SELECT entity_key, count(*) AS kept, max(value) AS most FROM ev e WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE b.entity_key = e.entity_key AND b.source = e.source) GROUP BY entity_key""")
 def _(spark, d):
-    claims = evidence(spark, d).withColumn("region", F.round("value").cast("long") % 3)
+    claims = evidence(spark, d).withColumn("region", F.rint("value").cast("long") % 3)  # halves to the even number, as the SQL's cast does
     adopted = fusion.first_of(claims.withColumn("_r", fusion.rank_of(F.col("source"), ORDER)), ["entity_key"], [F.col("_r"), F.col("seq")])
     bad = fusion.rejected_sources(claims, adopted)
     return claims.join(bad, ["entity_key", "source"], "left_anti").groupBy("entity_key").agg(F.count("*").alias("kept"), F.max("value").alias("most"))
