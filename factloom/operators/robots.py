@@ -80,7 +80,8 @@ def report(files: DataFrame, used: DataFrame, sites: DataFrame) -> DataFrame:
     rules = parse(files.where(policy(F.col("status")) == "rules"))
     star = rules.where("agent = '*'").groupBy("origin").agg(F.count("*").alias("star_rules"))
     groups = files.select("origin", F.size(F.regexp_extract_all(F.concat(F.lit("\n"), F.lower(F.coalesce("text", F.lit("")))), F.lit("(?:\\nuser-agent[^\\n]*)+"), F.lit(0))).alias("groups"))
-    asked = used.join(sites, "source").withColumn("path", request_path(F.col("url"))).withColumn("ident", F.monotonically_increasing_id())
+    asked = used.join(sites, "source").withColumn("path", request_path(F.col("url")))
+    asked = asked.withColumn("ident", F.struct("origin", "path"))  # a verdict's own key: the place of a row can change between two readings of it
     verdict = allowed(asked, rules, "origin", "path", "ident", files=files.select("origin", policy(F.col("status")).alias("policy")))
     per = verdict.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("url", "allowed"))).alias("checks"))
     own = sites.join(files.select("origin", "status", "error"), "origin", "left").join(star, "origin", "left").join(groups, "origin", "left").join(per, "source", "left")
