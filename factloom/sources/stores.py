@@ -8,7 +8,7 @@ table can be used to replace it, and a run that dies between the two leaves the
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,10 +119,14 @@ class VersionedTable:
 
 
 class SnapshotStore:
-    """Pages by the digest of their address, in 256 partitions by its first two digits; looked up before anything is fetched."""
+    """Pages by the digest of their address, in 256 partitions by its first two digits; looked up before anything is fetched.
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
+    ``keys`` tell snapshots apart: the address, and what else it takes where an address holds several pages.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str] = ("url",)):
         self.spark, self.path, self.files = spark, path.rstrip("/"), Files(spark)
+        self.keys = list(keys)
         self.schema = StructType.fromDDL(f"digest string, {schema}, digits string")
         self.columns = [f.name for f in self.schema.fields][1:-1]
 
@@ -141,25 +145,29 @@ class SnapshotStore:
         rows.select("digest", *self.columns, "digits").repartition("digits").write.mode("append").partitionBy("digits").parquet(self.path)
 
     def lookup(self, urls: DataFrame) -> DataFrame:
-        """Stored snapshots of the asked ``urls`` (url), the newest of each; only partitions of digits that are asked for are read."""
-        asked = self.keyed(urls.select("url").distinct()).select(F.col("digest").alias("_digest"), F.col("digits").alias("_digits"))
+        """Stored snapshots of the asked ``urls`` (their keys), the newest of each; only partitions of digits that are asked for are read."""
+        others = [k for k in self.keys if k != "url"]
+        asked = self.keyed(urls.select(self.keys).distinct()).select(F.col("digest").alias("_digest"), F.col("digits").alias("_digits"), *[F.col(k).alias(f"_{k}") for k in others])
         digits = [r[0] for r in asked.select("_digits").distinct().collect()]  # 256 at most
-        found = self.stored().where(F.col("digits").isin(digits)).join(asked, (F.col("digits") == F.col("_digits")) & (F.col("digest") == F.col("_digest")), "left_semi")
+        same = [F.col("digits") == F.col("_digits"), F.col("digest") == F.col("_digest"), *[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in others]]
+        found = self.stored().where(F.col("digits").isin(digits)).join(asked, same, "left_semi")
         if "fetchedAt" not in self.columns:
-            return found.select(self.columns).dropDuplicates(["url"])
-        return found.groupBy("url").agg(F.max_by(F.struct(*self.columns), "fetchedAt").alias("_s")).select("_s.*")
+            return found.select(self.columns).dropDuplicates(self.keys)
+        return found.groupBy(*self.keys).agg(F.max_by(F.struct(*self.columns), "fetchedAt").alias("_s")).select("_s.*")
 
     def through(self, urls: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Snapshots of ``urls``, from the store where they are there; misses are fetched and added first.  ``cached`` tells which."""
-        had = self.lookup(urls).select("url").withColumnRenamed("url", "_url")
+        """Snapshots of ``urls`` (their keys), from the store where they are there; misses are fetched and added first.  ``cached`` tells which."""
+        own = [F.col(k).alias(f"_{k}") for k in self.keys]
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys]
+        had = self.lookup(urls).select(*own, F.lit(True).alias("_had"))
         path = new_folder(self.spark, "snapshots-asked")
-        marked = urls.select("url").distinct().join(had, F.col("url") == F.col("_url"), "left").select("url", F.col("_url").isNotNull().alias("cached"))
+        marked = urls.select(self.keys).distinct().join(had, same, "left").select(*self.keys, F.col("_had").isNotNull().alias("cached"))
         marked.write.parquet(path)
-        marked = self.spark.read.schema("url string, cached boolean").parquet(path)
-        misses = marked.where("NOT cached").select("url")
+        marked = self.spark.read.schema(marked.schema).parquet(path)
+        misses = marked.where("NOT cached").select(self.keys)
         if misses.limit(1).count():
             self.add(fetch(misses))
-        return self.lookup(urls).join(marked.withColumnRenamed("url", "_url"), F.col("url") == F.col("_url")).drop("_url")
+        return self.lookup(urls).join(marked.select(*own, "cached"), same).drop(*[f"_{k}" for k in self.keys])
 
 
 class DailyListing:

@@ -3,7 +3,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from factloom.operators import robots
 from factloom.plans import catalog
 
 from .conftest import canonical
@@ -24,3 +26,28 @@ def test_claims_of_halves_are_rounded_as_the_sql_does(spark, tmp_path):
     t = dt.datetime(2026, 1, 1)
     rows = [(0, 1, t, "signup", 0.5), (1, 1, t, "view", 3.0), (2, 2, t, "signup", 2.5), (3, 2, t, "click", 3.0), (4, 3, t, "purchase", 1.5), (5, 3, t, "error", 2.0)]
     equal(spark, tmp_path, "fusion_rejected_sources", events=(rows, "event_id long, user_id long, ts timestamp, event_type string, value double"))
+
+
+def test_pages_that_share_an_address_are_all_looked_up(spark, tmp_path):
+    rows = [(k, f"https://a.jp/{k // 3}", "x" * (k + 1)) for k in range(12)]
+    equal(spark, tmp_path, "snapshot_lookup", pages=(rows, "page_id long, url string, html string"))
+
+
+def test_a_robots_report_does_not_hang_on_the_order_of_rows(spark):
+    def shuffled(batches):
+        import os
+        import random
+
+        for b in batches:
+            yield b.sample(frac=1, random_state=random.Random(os.urandom(8)).randrange(1 << 30))
+
+    files = spark.createDataFrame([("https://a.jp", "200", "User-agent: *\nDisallow: /x", None)], "origin string, status string, text string, error string")
+    sites = spark.createDataFrame([("a", "https://a.jp")], "source string, origin string")
+    used = spark.range(0, 400, 1, 2).select(F.lit("a").alias("source"), F.concat(F.lit("https://a.jp/"), F.when(F.col("id") % 2 == 0, "x").otherwise("y"), "id").alias("url"))
+    used = used.mapInPandas(shuffled, "source string, url string")
+    spark.conf.set("spark.sql.exchange.reuse", "false")  # each reading of the addresses is one of its own
+    try:
+        checks = robots.report(files, used, sites).first()["checks"]
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert len(checks) == 400 and all(c["allowed"] == ("/y" in c["url"]) for c in checks)
