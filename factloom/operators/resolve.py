@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +56,16 @@ def two_step_match(rows: DataFrame, entities: DataFrame, raw: str, normal: Colum
 
 
 # ------------------------------------------------ picking a row of a registry by name
+#
+# A name may have many entities and many rows, so the two are not paired.  Rows are cut down to the few
+# that can be picked by name and place first; entities meet those.
+
+
+class SameName(NamedTuple):
+    """Entities (entity_key, _key) and registry rows (_key, ...) by the name that they have once both are normalised."""
+
+    entities: DataFrame
+    rows: DataFrame
 
 
 def _known(rows: DataFrame, known: DataFrame) -> DataFrame:
@@ -61,11 +73,37 @@ def _known(rows: DataFrame, known: DataFrame) -> DataFrame:
     return rows.join(known, "entity_key", "left").withColumn("known", F.coalesce("addresses", F.array().cast("array<string>"))).drop("addresses")
 
 
-def by_name(entities: DataFrame, rows: DataFrame) -> DataFrame:
+def _regions(known: Column) -> Column:
+    """The prefectures of known addresses."""
+    return F.array_distinct(F.filter(F.transform(known, geo.prefecture), lambda p: p.isNotNull()))
+
+
+def _places(known: Column) -> Column:
+    """The prefectures and cities of known addresses, each once; a bare ward's is Tokyo in ``area``."""
+    def place(k):
+        return F.struct(geo.prefecture(k).alias("pref"), geo.city(k).alias("city"), geo.area(k).alias("area"))
+
+    return F.array_distinct(F.transform(known, place))
+
+
+def by_name(entities: DataFrame, rows: DataFrame) -> SameName:
     """Registry rows (name, ...) that have an entity's name once both are normalised; what stands in brackets is not part of a name."""
     key = lambda c: text.normalize_name(F.regexp_replace(c, "[（(].*[）)]", ""))
     left = entities.select("entity_key", key(F.col("name")).alias("_key")).where("_key <> ''")
-    return left.join(rows.withColumn("_key", text.normalize_name(F.col("name"))), "_key").drop("_key")
+    return SameName(left, rows.withColumn("_key", text.normalize_name(F.col("name"))))
+
+
+def _marked(rows: DataFrame, marks: Column, order: list[Column]) -> DataFrame:
+    """(_key, _mark, _row): the first row of every name and each of its marks."""
+    columns = [c for c in rows.columns if c != "_key"]
+    dealt = rows.select("_key", F.explode(marks).alias("_mark"), F.struct(*columns).alias("_row"), F.struct(*order).alias("_order"))
+    return dealt.groupBy("_key", "_mark").agg(F.min_by("_row", "_order").alias("_row"))
+
+
+def _by_marks(entities: DataFrame, wanted: Column, marked: DataFrame) -> DataFrame:
+    """Entities (entity_key, _key, ...) with the row of each mark that they want, and the mark."""
+    asked = entities.withColumn("_mark", F.explode(wanted))
+    return asked.join(marked, ["_key", "_mark"]).select(*[c for c in entities.columns if c != "_key"], "_mark", "_row.*")
 
 
 def first_exact(entities: DataFrame, results: DataFrame) -> DataFrame:
@@ -84,25 +122,33 @@ def _first(rows: DataFrame, order: list[Column]) -> DataFrame:
     return first_of(rows, ["entity_key"], order)
 
 
-def pick_registry(matched: DataFrame, known: DataFrame, seq: str = "seq") -> DataFrame:
+def pick_registry(matched: SameName, known: DataFrame, seq: str = "seq") -> DataFrame:
     """gbizinfo: closed companies left out; with known addresses only rows of their prefecture and city, else those in Tokyo if several; a row with a headcount first."""
-    rows = _known(matched.where(~F.col("name").contains("閉鎖")), known)
+    address, columns = F.col("address"), [c for c in matched.rows.columns if c != "_key"]
+    pref = geo.prefecture(address)
+    open_ = matched.rows.where(~F.col("name").contains("閉鎖")).withColumn("_pref", pref).withColumn("_city", F.when(pref.isNotNull(), geo.city(address)))
+    per = open_.groupBy("_key", "_pref", "_city").agg(F.count("*").alias("_n"), F.min_by(F.struct(*columns), F.struct(F.col("employees").isNull(), F.col(seq))).alias("_row"))
+    ents = _known(matched.entities, known).withColumn("_places", _places(F.col("known")))
     count = Window.partitionBy("entity_key")
-    pref, city = geo.prefecture(F.col("address")), geo.city(F.col("address"))
-    near = F.exists("known", lambda k: (geo.prefecture(k) == pref) & F.coalesce(geo.prefix_of_other(geo.city(k), city), F.lit(True)))
-    rows = rows.withColumn("same_name", F.count("*").over(count)).withColumn("_tokyo", F.coalesce(pref == "東京都", F.lit(False))).withColumn("_any", F.max("_tokyo").over(count))
+    near = F.exists("_places", lambda k: (k["pref"] == F.col("_pref")) & F.coalesce(geo.prefix_of_other(k["city"], F.col("_city")), F.lit(True)))
+    rows = ents.join(per, "_key").withColumn("same_name", F.sum("_n").over(count)).withColumn("_tokyo", F.coalesce(F.col("_pref") == "東京都", F.lit(False))).withColumn("_any", F.max("_tokyo").over(count))
     fits = F.when(F.size("known") > 0, F.coalesce(near, F.lit(False))).otherwise(F.col("_tokyo") | (F.col("same_name") == 1) | ~F.col("_any"))
-    return _first(rows.where(fits), [F.col("employees").isNull(), F.col(seq)]).drop("_tokyo", "_any", "known")
+    return _first(rows.where(fits).select("entity_key", "_row.*", "same_name"), [F.col("employees").isNull(), F.col(seq)])
 
 
-def pick_filer(matched: DataFrame, known: DataFrame) -> DataFrame:
+def pick_filer(matched: SameName, known: DataFrame) -> DataFrame:
     """edinet: companies only, names of two letters or more; the one row whose place agrees with a known address, or the only row where none is known."""
-    rows = _known(matched.where((F.col("kind") == "内国法人・組合") & (F.length(text.normalize_name(F.col("name"))) >= 2)), known)
+    address, columns = F.col("address"), [c for c in matched.rows.columns if c != "_key"]
+    city = geo.city(address)
+    firms = matched.rows.where((F.col("kind") == "内国法人・組合") & (F.length(text.normalize_name(F.col("name"))) >= 2))
+    per = firms.withColumn("_city", city).withColumn("_area", F.when(city.isNotNull(), geo.area(address))).groupBy("_key", "_city", "_area").agg(F.count("*").alias("_n"), F.first(F.struct(*columns)).alias("_row"))
+    ents = _known(matched.entities, known).withColumn("_places", _places(F.col("known")))
     w = Window.partitionBy("entity_key")
-    near = F.exists("known", lambda k: geo.same_location(k, F.col("address")))
-    rows = rows.withColumn("same_name", F.count("*").over(w)).withColumn("by_address", F.size("known") > 0)
-    kept = rows.where(F.when(F.col("by_address"), near).otherwise(F.col("same_name") == 1)).withColumn("_n", F.count("*").over(w)).where("_n = 1")
-    return kept.withColumn("same_name", F.when(F.col("by_address"), F.col("same_name")).otherwise(1)).withColumn("address", geo.with_prefecture(F.col("address"), F.col("known"))).drop("_n", "known")
+    near = F.exists("_places", lambda k: geo.same_place(k["city"], k["area"], F.col("_city"), F.col("_area")))
+    rows = ents.join(per, "_key").withColumn("same_name", F.sum("_n").over(w)).withColumn("by_address", F.size("known") > 0)
+    kept = rows.where(F.when(F.col("by_address"), near).otherwise(F.col("same_name") == 1)).withColumn("_one", F.sum("_n").over(w)).where("_one = 1")
+    kept = kept.withColumn("same_name", F.when(F.col("by_address"), F.col("same_name")).otherwise(1)).select("entity_key", "_row.*", "same_name", "by_address", "known")
+    return kept.withColumn("address", geo.with_prefecture(address, F.col("known"))).drop("known")
 
 
 def heading_keys(title: Column) -> Column:
@@ -115,23 +161,26 @@ def heading_keys(title: Column) -> Column:
 def pick_listing(entities: DataFrame, rows: DataFrame, known: DataFrame, seq: str = "pos") -> DataFrame:
     """mynavi: the first linked row (name: its title, place, ref) with the entity's name, in a known prefecture where both state one."""
     key = text.normalize_name(F.regexp_replace("name", "[（(].*[）)]", ""))
-    left = entities.select("entity_key", key.alias("_key"))
+    ents = _known(entities.select("entity_key", key.alias("_key")), known).withColumn("_regions", _regions(F.col("known"))).drop("known")
     dealt = rows.where("ref IS NOT NULL").withColumn("_key", F.explode(heading_keys(F.col("name"))))
-    met = _known(left.join(dealt, "_key").drop("_key"), known)
-    regions = F.filter(F.transform("known", geo.prefecture), lambda p: p.isNotNull())
-    fits = (F.size(regions) == 0) | F.col("place").isNull() | F.exists(regions, lambda p: F.contains(F.col("place"), p))
-    return _first(met.where(fits), [F.col(seq)]).drop("known")
+    # marks of a row: all, no place stated, each prefecture that its place holds
+    marks = F.concat(F.array(F.lit("*")), F.when(F.col("place").isNull(), F.array(F.lit(""))).otherwise(geo.prefectures_in(F.col("place"))))
+    wanted = F.when(F.size("_regions") == 0, F.array(F.lit("*"))).otherwise(F.concat(F.array(F.lit("")), F.col("_regions")))
+    met = _by_marks(ents, wanted, _marked(dealt, marks, [F.col(seq)]))
+    return _first(met, [F.col(seq)]).drop("_regions", "_mark")
 
 
-def pick_by_prefecture(matched: DataFrame, known: DataFrame, place: str, seq: str = "pos", most: int | None = None) -> DataFrame:
+def pick_by_prefecture(matched: SameName, known: DataFrame, place: str, seq: str = "pos", most: int | None = None) -> DataFrame:
     """careertasu, openwork (the first three rows): with known addresses the first row of their prefectures, else the first in Tokyo, else the first."""
-    rows = _known(matched, known)
-    if most is not None:
-        rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy("entity_key").orderBy(seq))).where(F.col("_k") <= most).drop("_k")
-    region = F.coalesce(geo.prefecture(F.col(place)), F.col(place))
-    regions = F.filter(F.transform("known", geo.prefecture), lambda p: p.isNotNull())
-    fits = (F.size(regions) == 0) | F.coalesce(F.array_contains(regions, region), F.lit(False))
-    return _first(rows.where(fits), [(F.coalesce(region == "東京都", F.lit(False)) & (F.size(regions) == 0)).desc(), F.col(seq)]).drop("known")
+    ents = _known(matched.entities, known).withColumn("_regions", _regions(F.col("known"))).drop("known")
+    region, unknown = geo.prefecture(F.col(place)), F.size("_regions") == 0
+    if most is None:
+        marks = F.array_compact(F.array(F.lit("*"), region))
+        rows = _by_marks(ents, F.when(unknown, F.array(F.lit("*"), F.lit("東京都"))).otherwise(F.col("_regions")), _marked(matched.rows, marks, [F.col(seq)])).drop("_mark")
+    else:
+        firsts = lambda of, by: of.withColumn("_k", F.row_number().over(Window.partitionBy(by).orderBy(seq))).where(F.col("_k") <= most).drop("_k")
+        rows = firsts(ents.join(firsts(matched.rows, "_key"), "_key").drop("_key"), "entity_key").where(unknown | F.coalesce(F.array_contains("_regions", region), F.lit(False)))
+    return _first(rows, [(F.coalesce(region == "東京都", F.lit(False)) & unknown).desc(), F.col(seq)]).drop("_regions")
 
 
 def name_index(listed: DataFrame, order: list[str]) -> DataFrame:

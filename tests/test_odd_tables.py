@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from factloom.operators import robots
+from factloom.operators import resolve, robots
 from factloom.plans import catalog
 
 from .conftest import canonical
@@ -51,3 +51,40 @@ def test_a_robots_report_does_not_hang_on_the_order_of_rows(spark):
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
     assert len(checks) == 400 and all(c["allowed"] == ("/y" in c["url"]) for c in checks)
+
+
+def joined(frame):
+    """Rows that a frame's joins made."""
+    frame.collect()
+
+    def walk(node):
+        name = node.nodeName()
+        own = node.metrics().apply("numOutputRows").value() if "Join" in name else 0
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        below = node.children()
+        return own + sum(walk(below.apply(k)) for k in range(below.size()))
+
+    return walk(frame._jdf.queryExecution().executedPlan())
+
+
+def test_rows_of_a_frequent_name_are_not_paired_with_its_entities(spark):
+    k = F.col("id")
+    place = F.when(k % 3 == 0, "東京都港区").when(k % 3 == 1, "大阪府大阪市")
+    ents = spark.range(300).select(k.alias("entity_key"), F.lit("甲社").alias("name"))
+    known = spark.range(0, 300, 2).select(k.alias("entity_key"), F.array(F.coalesce(place, F.lit("神奈川県横浜市"))).alias("addresses"))
+    rows = spark.range(300).select(F.lit("株式会社甲社").alias("name"), place.alias("address"), place.alias("place"), k.alias("seq"), k.alias("pos"), k.alias("employees"), F.lit("内国法人・組合").alias("kind"), k.cast("string").alias("ref"))
+    met = resolve.by_name(ents, rows)
+    for got in (resolve.pick_registry(met, known), resolve.pick_filer(met, known), resolve.pick_listing(ents, rows, known), resolve.pick_by_prefecture(met, known, "place"), resolve.pick_by_prefecture(met, known, "place", most=3)):
+        assert joined(got) < 3000  # pairs would be 90000
+
+
+def test_sources_of_a_domain_stay_once_in_order(spark):
+    ents = spark.range(200).select(F.col("id").alias("entity_key"), F.col("id").cast("string").alias("name"), F.col("id").alias("seq"), F.lit("a.jp").alias("domain"),
+        F.array(F.struct(F.lit("x").alias("source"), (F.col("id") * 7 % 50).cast("string").alias("url"))).alias("sources"), F.array(F.lit("k")).alias("seeds"))
+    one, _ = resolve.merged_by_domain(ents, spark.createDataFrame([], "entity_key long, seq long"))
+    got = one.first()
+    assert [s["url"] for s in got["sources"]] == [str(k * 7 % 50) for k in range(50)] and len(got["seeds"]) == 200 and got["name"] == "0"
+    assert "array_position" not in one._jdf.queryExecution().analyzed().toString()  # a list looked through for each of its own entries
