@@ -21,8 +21,9 @@ is the order of ids; a chunk and a bucket of the sort exchange one row of sorted
 names and one row of bits (``chunks``).  A name that a third of all documents
 hold is still one entry per chunk.  A sampled name only finds candidates; the name of
 a window decides, and its length in bits follows the input: at most 64 up to 2**33
-bytes, from there on 64 and 64 more of an independent fingerprint, so that the
-expected number of false matches stays below 0.1 at any size.
+bytes, from there on 64 and as many bytes more of an independent fingerprint as
+the input asks for (one up to 2**37 bytes), so that the expected number of false
+matches stays below 0.1 at any size.
 
 Defined cases: a null text is empty; a null id comes before all others; rows
 that share an id are not compared with each other; texts shorter than a window
@@ -74,8 +75,19 @@ def _sampled(off: np.ndarray, data: np.ndarray, copies: np.ndarray, bits: int):
     return np.concatenate(positions), np.concatenate(names)
 
 
-def _windows(off: np.ndarray, data: np.ndarray, live: np.ndarray, repeated: np.ndarray, bits: int, wide: bool):
-    """(positions, names, further bits where ``wide``) of the windows over which a repeated sampled suffix starts."""
+def _further(wide: int) -> str:
+    """The type of ``wide`` further bits."""
+    return f"u{wide // 8}"
+
+
+def further_bits(total: int) -> int:
+    """Bits of a window's name beyond 64 for so many bytes of text: none below ``WIDE_BYTES``, then 8, 16, 32 or 64."""
+    need = math.ceil(2 * math.log2(max(total, 2))) - 2 - 64
+    return 0 if total < WIDE_BYTES else next(k for k in (8, 16, 32, 64) if need <= k)
+
+
+def _windows(off: np.ndarray, data: np.ndarray, live: np.ndarray, repeated: np.ndarray, bits: int, wide: int):
+    """(positions, names, ``wide`` further bits) of the windows over which a repeated sampled suffix starts."""
     mark = np.zeros(len(data) + 2, np.int8)  # at most the cover's size is open at once
     first = repeated - MODULUS + 1
     mark[first[first > 0]] += 1
@@ -94,10 +106,10 @@ def _windows(off: np.ndarray, data: np.ndarray, live: np.ndarray, repeated: np.n
         if len(pos):
             names.append(common.span_hash(common.prefix_hash(data[a:b]), pos, pos + WINDOW) >> U64(64 - bits))
             if wide:
-                more.append(common.span_hash(common.prefix_hash(data[a:b], 1), pos, pos + WINDOW, 1))
+                more.append((common.span_hash(common.prefix_hash(data[a:b], 1), pos, pos + WINDOW, 1) >> U64(64 - wide)).astype(_further(wide)))
             positions.append(pos + a)
     if not names:
-        return _NOTHING[0], _NOTHING[1], _NOTHING[1] if wide else None
+        return _NOTHING[0], _NOTHING[1], _NOTHING[1].astype(_further(wide)) if wide else None
     return np.concatenate(positions), np.concatenate(names), np.concatenate(more) if wide else None
 
 
@@ -115,7 +127,7 @@ def _grouped(names: np.ndarray, more: np.ndarray | None = None):
 def _candidates(ids, off, data, copies, answers, bits1, bits2, wide):
     pos, names = _sampled(off, data, copies, bits1)
     if not len(pos):
-        return _NOTHING[0], _NOTHING[1], _NOTHING[1] if wide else None
+        return _NOTHING[0], _NOTHING[1], _NOTHING[1].astype(_further(wide)) if wide else None
     _, order, group, start = _grouped(names)
     doc = ids[np.searchsorted(off, pos[order], "right") - 1]
     local = np.minimum.reduceat(doc, start) < np.maximum.reduceat(doc, start)
@@ -139,7 +151,7 @@ def _first_messages(bits: int, buckets: int):
     return run
 
 
-def _second_messages(bits1: int, bits2: int, wide: bool, buckets: int):
+def _second_messages(bits1: int, bits2: int, wide: int, buckets: int):
     def run(batches):
         for batch in batches:
             for r, ids, off, data, copies in _rows(batch):
@@ -153,7 +165,7 @@ def _second_messages(bits1: int, bits2: int, wide: bool, buckets: int):
     return run
 
 
-def _removed(bits1: int, bits2: int, wide: bool, with_text: bool):
+def _removed(bits1: int, bits2: int, wide: int, with_text: bool):
     def run(batches):
         for batch in batches:
             for r, ids, off, data, copies in _rows(batch):
@@ -194,10 +206,10 @@ def _removed(bits1: int, bits2: int, wide: bool, with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False, wide: bool | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False, wide: bool | int | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes) of every row.
 
-    ``wide`` names (128 bits) are used from ``WIDE_BYTES`` on, or as given.
+    Names have ``further_bits`` more than 64 from ``WIDE_BYTES`` on, or as many as ``wide`` gives (64 where it is true).
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(docs[key].cast("long"), F.lit(_NULL_ID)).alias("id"), docs[text].alias("text"))
@@ -209,25 +221,28 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     texts = rows.select("id", F.xxhash64("text").alias("print"), "text", F.lit(False).alias("mark"))
     texts = texts.unionAll(copies.select("id", "print", F.lit(None).cast("string").alias("text"), F.lit(True).alias("mark")))
     ranged = texts.repartitionByRange(common.partitions(spark), "id").sortWithinPartitions("id", F.desc("mark"))
-    table = common.stored(chunks.chunked(ranged), "repeats-chunks")
+    table = common.Stored(chunks.chunked(ranged), "repeats-chunks")
     del ranged, texts, copies, least, printed
     common.free_shuffles(spark)
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     scale = math.log2(max(total, 2))
-    wide = total >= WIDE_BYTES if wide is None else wide
+    wide = further_bits(total) if wide is None else 64 if wide is True else int(wide)
     bits1, bits2 = min(60, max(32, math.ceil(scale) + 9)), min(64, max(40, math.ceil(2 * scale) - 2))
     buckets = 2 * common.partitions(spark)
-    sent = common.mapped(table, _first_messages(bits1, buckets), chunks.SENT)
+    sent = common.mapped(table.df, _first_messages(bits1, buckets), chunks.SENT)
     first = common.stored(chunks.ask(sent, earlier=False).withColumnRenamed("answers", "first").withColumnRenamed("chunk_id", "f_id"), "repeats-first")
     del sent
     common.free_shuffles(spark)
-    known = table.join(first, F.col("chunk_id") == F.col("f_id"), "left").drop("f_id")
+    # chunks with their answers take the place of the chunks: joined on the way, they would lie beside the messages once more
+    known = common.stored(table.df.join(first, F.col("chunk_id") == F.col("f_id"), "left").drop("f_id"), "repeats-known")
+    table.drop()
+    del first
+    common.free_shuffles(spark)
     sent = common.mapped(known, _second_messages(bits1, bits2, wide, buckets), chunks.SENT)
     second = common.stored(chunks.ask(sent, earlier=True).withColumnRenamed("answers", "second").withColumnRenamed("chunk_id", "s_id"), "repeats-second")
-    del sent, known
+    del sent
     common.free_shuffles(spark)
-    both = first.join(second, F.col("f_id") == F.col("s_id"), "left").drop("s_id")
-    known = table.join(both, F.col("chunk_id") == F.col("f_id"), "left").drop("f_id")
+    known = known.join(second, F.col("chunk_id") == F.col("s_id"), "left").drop("s_id")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     out = common.mapped(known, _removed(bits1, bits2, wide, with_text), schema)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != _NULL_ID, F.col("doc_id")))

@@ -61,3 +61,13 @@ def test_overlaps_of_blocks():
     for share in (0.05, 1.0):
         pairs = rng.random((40, 40)) < share
         assert (minhash.overlaps(x, y, pairs)[pairs] == want[pairs]).all()
+
+
+def test_further_bits_of_names_follow_the_input(spark):
+    from factloom.llm import suffixes
+
+    assert [suffixes.further_bits(n) for n in (1 << 30, (1 << 33) - 1, 1 << 33, 10**10, 1 << 37, 1 << 38, 1 << 50)] == [0, 0, 8, 8, 8, 16, 64]
+    same = "".join(chr(97 + k * k % 23) for k in range(120))
+    df = spark.createDataFrame([(k, f"{k} {same} {k}{'x' * k}") for k in range(30)], "doc_id long, text string")
+    plain, narrow = (sorted(map(tuple, suffixes.remove_repeats(df, wide=w).collect())) for w in (0, 8))
+    assert plain == narrow and sum(r[2] for r in plain) > 0
