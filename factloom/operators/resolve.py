@@ -201,9 +201,11 @@ def merged_by_domain(entities: DataFrame, evidence: DataFrame) -> tuple[DataFram
     w = Window.partitionBy("canonical").orderBy("_seq", "seq")
     moved = evidence.join(to, F.col("entity_key") == F.col("_from")).withColumn("_at", F.row_number().over(w))
     moved = moved.withColumn("seq", F.col("_at").cast("long")).withColumn("entity_key", F.col("canonical")).select(evidence.columns)
+    # of sources of one address the first stays: found address by address, not by looking through an entity's list again for each
+    each = canon.select("canonical", F.struct("seq", "sources", "seeds", "name").alias("_o"), F.posexplode("sources").alias("_p", "_s"))
+    once = each.groupBy("canonical", F.col("_s.url").alias("_url")).agg(F.min_by("_s", F.struct("_o", "_p")).alias("_s"), F.min(F.struct("_o", "_p")).alias("_o"))
+    listed = once.where("_url IS NOT NULL").groupBy("canonical").agg(F.transform(F.sort_array(F.collect_list(F.struct("_o", "_s"))), lambda x: x["_s"]).alias("sources")).withColumnRenamed("canonical", "_c")
     parts = F.sort_array(F.collect_list(F.struct("seq", "sources", "seeds", "name")))
-    per = canon.groupBy("canonical").agg(parts.alias("p"), F.min("domain").alias("domain"))
-    sources = F.flatten(F.transform("p", lambda x: x["sources"]))
-    links = F.transform(sources, lambda s: s["url"])
-    kept = F.filter(sources, lambda s, i: F.array_position(links, s["url"]) == i + 1)
+    per = canon.groupBy("canonical").agg(parts.alias("p"), F.min("domain").alias("domain")).join(listed, F.col("canonical") == F.col("_c"), "left")
+    kept = F.coalesce("sources", F.array().cast(canon.schema["sources"].dataType))
     return per.select(F.col("canonical").alias("entity_key"), F.col("p")[0]["name"].alias("name"), F.col("p")[0]["seq"].alias("seq"), "domain", kept.alias("sources"), F.flatten(F.transform("p", lambda x: x["seeds"])).alias("seeds")), moved
