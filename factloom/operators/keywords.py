@@ -26,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no c
 GRAM, LIMIT, SLICE = 4, 32 << 20, 1 << 20
 #: Slots of the table that most grams are dismissed by.
 SLOTS = 1 << 20
+#: Words that are compared at a time.
+MET = 1 << 20
 FOUND = "array<struct<word:long,n:int>>"
 
 
@@ -86,21 +88,30 @@ class KeywordIndex:
             met = distinct[k] == values[place]
             place, k = place[met], k[met]
             n = bound[k + 1] - bound[k]
-            pick = np.repeat(bound[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            word, begin = words[pick], np.repeat(place, n) - offset[pick]
-            doc = np.searchsorted(off, np.repeat(place, n), "right") - 1
-            fits = (begin >= off[doc]) & (begin + self.size[word] <= off[doc + 1])
-            word, begin, doc = word[fits], begin[fits], doc[fits]
-            for j in range(int(self.size[word].max()) if len(word) else 0):  # shorter at every byte
-                longer = self.size[word] > j
-                same = np.ones(len(word), bool)
-                same[longer] = data[begin[longer] + j] == self.body[self.start[word[longer]] + j]
-                word, begin, doc = word[same], begin[same], doc[same]
-            found.append((doc, word, begin))
+            upto = np.cumsum(n)
+            lo = 0
+            while lo < len(place):  # what meets is compared MET at a time: frequent grams with many words meet often
+                hi = max(int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + MET, "right")), lo + 1)
+                found.append(self._same(data, off, words, offset, place[lo:hi], bound[k[lo:hi]], n[lo:hi]))
+                lo = hi
         if not found:
             return (np.zeros(0, np.int64),) * 3
         return tuple(np.concatenate(x) for x in zip(*found))
 
+    def _same(self, data, off, words, offset, place, first, n):
+        """(document, word, place) of the words that stand at ``place``: of each the ``n`` from ``first`` on are compared."""
+        pick = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        word, begin = words[pick], np.repeat(place, n) - offset[pick]
+        doc = np.searchsorted(off, np.repeat(place, n), "right") - 1
+        fits = (begin >= off[doc]) & (begin + self.size[word] <= off[doc + 1])
+        word, begin, doc = word[fits], begin[fits], doc[fits]
+        for j in range(int(self.size[word].max()) if len(word) else 0):  # shorter at every byte
+            longer = self.size[word] > j
+            same = np.ones(len(word), bool)
+            same[longer] = data[begin[longer] + j] == self.body[self.start[word[longer]] + j]
+            word, begin, doc = word[same], begin[same], doc[same]
+        return doc, word, begin
+
     def counts(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, word, how often without overlap), by document and word."""
         doc, word, begin = self.find(data, off)
@@ -129,19 +140,15 @@ def _searched(shared):
             column = batch.column("text").cast(pa.large_string()).fill_null("")
             offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
             data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None else np.zeros(0, np.uint8)
-            sizes, words, times = np.zeros(len(column), np.int64), [], []
             lo = 0
-            while lo < len(column):
+            while lo < len(column):  # a slice's hits leave before the next is searched: they can be many times its text
                 hi = min(max(int(np.searchsorted(offsets, offsets[lo] + SLICE, "right")) - 1, lo + 1), len(column))
                 doc, word, n = index.counts(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                sizes[lo:hi] = np.bincount(doc, minlength=hi - lo)
-                words.append(index.ids[word])
-                times.append(n)
+                sizes = np.bincount(doc, minlength=hi - lo)
+                pairs = pa.StructArray.from_arrays([pa.array(index.ids[word]), pa.array(n.astype(np.int32))], ["word", "n"])
+                found = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pairs)
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), found], ["id", "found"])
                 lo = hi
-            none = np.zeros(0, np.int64)
-            pairs = pa.StructArray.from_arrays([pa.array(np.concatenate([*words, none])), pa.array(np.concatenate([*times, none]).astype(np.int32))], ["word", "n"])
-            found = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pairs)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), found], ["id", "found"])
 
     return run
 

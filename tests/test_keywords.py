@@ -41,3 +41,33 @@ def test_empty_tables_and_classes(spark):
     found = keywords.keyword_hits(spark.createDataFrame([(1, "ab"), (2, "a"), (3, "c")], "id long, text string"), spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "word_id long, word string"))
     groups = spark.createDataFrame([("x", 0, 0), ("x", 1, 1), ("y", 0, 0), ("y", 0, 2)], "label string, group int, word_id long")
     assert sorted(map(tuple, keywords.classes(found, groups).collect())) == [(1, "x"), (1, "y"), (2, "y"), (3, "y")]
+
+
+def test_memory_does_not_follow_the_words_of_a_gram():
+    import itertools
+    import tracemalloc
+
+    import numpy as np
+
+    words = ["".join(w).encode() for w in itertools.product("ab", repeat=12)]
+    rng = random.Random(3)
+    data = np.frombuffer("".join(rng.choice("ab") for _ in range(20_000)).encode(), np.uint8)
+    index = keywords.KeywordIndex(words, list(range(len(words))))
+    tracemalloc.start()
+    doc, word, n = index.counts(data, np.array([0, len(data)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6 and len(word) > 3900
+
+
+def test_hits_leave_slice_by_slice():
+    import types
+
+    import pyarrow as pa
+
+    texts = ["ab" * 200_000] * 6 + [None, "b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], ["id", "text"])
+    index = keywords.KeywordIndex([b"ab", b"b"], [7, 9])
+    got = list(keywords._searched(types.SimpleNamespace(value=vars(index)))([batch]))
+    assert len(got) > 1 and max(sum(len(texts[k] or "") for k in b.column("id").to_pylist()) for b in got) <= keywords.SLICE
+    assert [r for b in got for r in b.to_pylist()] == [{"id": k, "found": [{"word": w, "n": (t or "").count(x)} for w, x in ((7, "ab"), (9, "b")) if x in (t or "")]} for k, t in enumerate(texts)]
