@@ -96,7 +96,7 @@ def multi_sequence(left: np.ndarray, right: np.ndarray):
                 heapq.heappush(heap, (left[a[p]] + right[b[q]], p, q))
 
 
-def _celled(index):
+def celled(index):
     def run(batches):
         for batch in batches:
             cells = index.value.cells(matrix(batch.column("v")))
@@ -112,14 +112,14 @@ def blocks(rows: DataFrame, index, extra: tuple[str, ...] = (), block: int = BLO
     third of all rows is many blocks and no task sees it whole.
     """
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    celled = common.stored(common.mapped(rows, _celled(index), f"{fields}, cell int"), "vectors-celled")
-    counted = celled.groupBy(*extra, "cell").agg(F.count("*").alias("rows"))
+    placed = common.stored(common.mapped(rows, celled(index), f"{fields}, cell int"), "vectors-celled")
+    counted = placed.groupBy(*extra, "cell").agg(F.count("*").alias("rows"))
     cells = common.stored(counted.withColumn("blocks", F.ceil(F.col("rows") / block).cast("int")), "vectors-cells")
     dealt = cells.select(*[F.col(c).alias(f"c_{c}") for c in extra], F.col("cell").alias("c_cell"), "blocks")
     same = F.col("cell") == F.col("c_cell")
     for c in extra:
         same = same & F.col(c).eqNullSafe(F.col(f"c_{c}"))
-    salted = celled.join(dealt, same).withColumn("block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")).cast("int"))
+    salted = placed.join(dealt, same).withColumn("block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")).cast("int"))
     others = [f.name for f in rows.schema.fields if f.name not in extra]
     packed = salted.groupBy(*extra, "cell", "block").agg(*[F.collect_list(F.struct(*others)).alias("members")])
     return packed.select(*extra, "cell", "block", *[F.col(f"members.{c}").alias(c) for c in others]), cells
