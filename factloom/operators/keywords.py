@@ -98,21 +98,20 @@ class KeywordIndex:
     def find(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, word, place) of every occurrence, overlapping ones too, never across documents."""
         found = []
-        docs = np.repeat(np.arange(len(off) - 1), np.diff(off))
         for begin in range(0, len(data), PLACES):
+            docs = np.repeat(np.arange(len(off) - 1), np.diff(np.clip(off, begin, begin + PLACES)))
             eight = eights(data[begin : begin + PLACES + GRAMS[-1]])
             for size, bits, seen, head, anchors, bound, words, offset in self.tables:
                 values = grams(eight, size)[:PLACES]
                 at = slot(values, bits)
                 place = np.flatnonzero(seen[at])
                 place, k = self._met(place, values[place], at[place] >> 1, head, anchors)
-                place += begin
-                n = bound[k + 1] - bound[k]
+                doc, place, n = docs[place], place + begin, bound[k + 1] - bound[k]
                 upto = np.cumsum(n)
                 lo = 0
                 while lo < len(place):  # what meets is compared MET at a time: frequent grams with many words meet often
                     hi = max(int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + MET, "right")), lo + 1)
-                    found.append(self._same(data, off, docs, size, words, offset, place[lo:hi], bound[k[lo:hi]], n[lo:hi]))
+                    found.append(self._same(data, off, size, words, offset, doc[lo:hi], place[lo:hi], bound[k[lo:hi]], n[lo:hi]))
                     lo = hi
         if not found:
             return (np.zeros(0, np.int64),) * 3
@@ -132,12 +131,12 @@ class KeywordIndex:
             place, values, k, end = place[more], values[more], k[more] + 1, end[more]
         return tuple(np.concatenate(x) for x in zip(*met))
 
-    def _same(self, data, off, docs, size, words, offset, place, first, n):
-        """(document, word, place) of the words that stand at ``place``: of each the ``n`` from ``first`` on are compared."""
-        pick, at = first, place
+    def _same(self, data, off, size, words, offset, doc, place, first, n):
+        """(document, word, place) of the words that stand at ``place`` in ``doc``: of each the ``n`` from ``first`` on are compared."""
+        pick = first
         if (n > 1).any():
-            pick, at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum()), np.repeat(place, n)
-        word, begin, doc = words[pick], at - offset[pick], docs[at]
+            pick, place, doc = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum()), np.repeat(place, n), np.repeat(doc, n)
+        word, begin = words[pick], place - offset[pick]
         fits = (begin >= off[doc]) & (begin + self.size[word] <= off[doc + 1])
         word, begin, doc = word[fits], begin[fits], doc[fits]
         for j in range(int(self.size[word].max()) if len(word) and size > 8 else 0):  # shorter at every byte; grams of up to 8 bytes are the words

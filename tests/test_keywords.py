@@ -118,3 +118,17 @@ def test_totals_of_no_words_and_of_large_ids(spark):
     assert said((2**62, "a"), (-(2**62), "b"), (2**62, "ab")) == [(1, 3, 3, -(2**62), 2**62), (2, 0, 0, None, 0)]
     with pytest.raises(Exception, match="(?i)overflow|too (big|large)|out of bounds|convert"):
         said((2**62, "a"), (2**62, "b"))
+
+
+def test_memory_does_not_follow_a_long_text():
+    import tracemalloc
+
+    import numpy as np
+
+    data = np.frombuffer(b"the quick brown fox jumps over " * 500_000, np.uint8)
+    index = keywords.KeywordIndex([b"jumps overt", b"zebra1"], [1, 2])
+    tracemalloc.start()
+    assert not len(index.counts(data, np.array([0, len(data)]))[0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
